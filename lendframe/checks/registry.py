@@ -132,9 +132,13 @@ def check(name: str, sql: str | None = None):
     return register
 
 
+# whole numbers over 10^7: rounding to 6 places would fall on ties
+_EXACT_PLACES = {"credit_x_income": 8}
+
+
 def rounded(df: DataFrame, columns, places: int = 6) -> DataFrame:
-    return df.withColumns({c: F.round(c, places) for c in columns})
+    return df.withColumns({c: F.round(c, _EXACT_PLACES.get(c, places)) for c in columns})
 
 
 def sql_rounded(columns, places: int = 6) -> str:
-    return ", ".join(f"round({c}, {places}) AS {c}" for c in columns)
+    return ", ".join(f"round({c}, {_EXACT_PLACES.get(c, places)}) AS {c}" for c in columns)

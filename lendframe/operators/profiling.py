@@ -2,6 +2,8 @@
 
 from functools import reduce
 
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -359,20 +361,35 @@ def quantiles(df: DataFrame, columns, probabilities) -> DataFrame:
 
 # --- correlation and tests --------------------------------------------------
 def correlation_matrix(df: DataFrame, columns=tuple(S.CORRELATION_COLUMNS)) -> DataFrame:
-    """Pearson r of every pair below the diagonal, pairwise complete, in one scan."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[:i]]
-    one = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}")
-                   for a, b in pairs])
-    return one.select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("row_name"), F.lit(b).alias("column_name"),
-                 F.round(F.col(f"`{a}|{b}`"), 6).alias("r")) for a, b in pairs])))
+    """Pearson r of every pair below the diagonal, each over its complete rows.
+
+    With no nulls, one pass builds the small matrix of products in every task; with
+    nulls each column is correlated with the earlier ones in a pass of its own.
+    """
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    nulls = rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    if any(nulls):
+        parts = [_correlations(rows, columns[:i], a).select(
+            F.lit(a).alias("row_name"), F.col("column").alias("column_name"), F.round("_r", 6).alias("r"))
+            for i, a in enumerate(columns) if i]
+        return reduce(DataFrame.unionByName, parts)
+    vectors = rows.select(array_to_vector(F.array(*columns)).alias("v"))
+    matrix = Correlation.corr(vectors, "v").first()[0].toArray()
+    cells = [(a, b, float(matrix[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns[:i])]
+    frame = df.sparkSession.createDataFrame(cells, "row_name string, column_name string, r double")
+    return frame.withColumn("r", F.round(F.when(~F.isnan("r"), F.col("r")), 6))
+
+
+def _correlations(df: DataFrame, columns, target: str) -> DataFrame:
+    names = list(columns)
+    long = df.select(F.col(target).cast("double").alias("_y"),
+                     *[F.col(c).cast("double").alias(c) for c in names]).unpivot(
+        ["_y"], names, "column", "_x")
+    return long.groupBy("column").agg(F.corr("_x", "_y").alias("_r"))
 
 
 def target_correlation(df: DataFrame, columns, target: str = S.TARGET_CLASS) -> DataFrame:
-    names = [c for c in columns if c != target]
-    one = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c)
-                   for c in names])
-    return one.unpivot([], names, "column", "_r").select(
+    return _correlations(df, [c for c in columns if c != target], target).select(
         "column", F.round("_r", 6).alias("r"), F.when(F.col("_r") >= 0, "+").otherwise("-").alias("sign"))
 
 
