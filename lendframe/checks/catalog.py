@@ -2,7 +2,9 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendframe.checks import cleaning, features, loading, models, profile  # noqa: F401
+from lendframe.checks import (  # noqa: F401
+    cleaning, features, loading, models, profile, serving,
+)
 from lendframe.checks.registry import QUERIES, SQL, Tables  # noqa: F401
 from lendframe.operators import scoring
 from lendframe.plans.cleaner import clean

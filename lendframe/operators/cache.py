@@ -97,23 +97,59 @@ def invalidated(store: DataFrame, customers: DataFrame, customer: str = "custome
 
 
 # --- replay -----------------------------------------------------------------
+# keys with more events than this are walked by time cells, not gathered in an array
+GATHERED_EVENTS = 20_000
 CELLS_PER_STAGE = 8
 
 
 def replay_misses(events: DataFrame, key: str = "user_id", ts: str = "ts",
                   order: str = "event_id", ttl: int = S.CACHE_TTL_SECONDS,
-                  prior: DataFrame | None = None) -> DataFrame:
+                  prior: DataFrame | None = None, gathered: int = GATHERED_EVENTS) -> DataFrame:
     """The events that miss: ``(key, _at, order)``, times in microseconds.
 
-    An entry lives ``ttl`` from its miss, and hits do not renew it. Time is cut into
-    cells of one lifetime, so a key misses at most once per cell: at its first event
-    not covered by the miss of the cell before. That is a minimum per key and cell,
-    combined in each task, hence no key's events are ever gathered. Cells are walked in
-    order, a few per job, reading one cell's events at a time. ``prior`` holds the last
-    miss per key of earlier data.
+    An entry lives ``ttl`` from its miss, and hits do not renew it. ``prior`` holds the
+    last miss per key of earlier data. Keys of few events are folded over their sorted
+    events; the size of that array is checked first, and busy keys go another way.
     """
-    width = ttl * _MICROS
     rows = events.select(key, F.unix_micros(ts).alias("_at"), order)
+    busy = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(
+        F.col("_n") > gathered).select(key)
+    if busy.isEmpty():
+        return _folded_misses(rows, key, order, ttl, prior)
+    busy = staged(busy, "busy-keys")
+    return _folded_misses(rows.join(busy, key, "left_anti"), key, order, ttl, prior).unionByName(
+        _walked_misses(rows.join(busy, key, "left_semi"), key, order, ttl, prior))
+
+
+def _folded_misses(rows: DataFrame, key: str, order: str, ttl: int, prior: DataFrame | None) -> DataFrame:
+    width = ttl * _MICROS
+    kind = f"struct<_at:bigint,{order}:{rows.schema[order].dataType.simpleString()}>"
+    lists = rows.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_at", order))).alias("_list"))
+    if prior is None:
+        lists = lists.withColumn("_until", F.lit(None).cast("long"))
+    else:
+        ends = prior.groupBy(key).agg((F.max("_at") + width).alias("_until"))
+        lists = lists.join(ends, key, "left")
+
+    def step(state, event):
+        missed = F.struct((event["_at"] + width).alias("until"),
+                          F.array_append(state["misses"], event).alias("misses"))
+        return F.when(state["until"].isNull() | (event["_at"] >= state["until"]), missed).otherwise(state)
+
+    start = F.struct(F.col("_until").alias("until"), F.array().cast(f"array<{kind}>").alias("misses"))
+    misses = F.aggregate("_list", start, step, lambda state: state["misses"])
+    return lists.select(key, F.inline(misses))
+
+
+def _walked_misses(rows: DataFrame, key: str, order: str, ttl: int, prior: DataFrame | None) -> DataFrame:
+    """The same rule for keys of any number of events.
+
+    Time is cut into cells of one lifetime, so a key misses at most once per cell: at
+    its first event not covered by the miss of the cell before. That is a minimum per
+    key and cell, combined in each task. Cells are walked in order, a few per job,
+    reading one cell's events at a time.
+    """
+    width = ttl * _MICROS
     # written by cell once: every step then reads only the files of its own cell
     slim = staged(rows.withColumn("_cell", F.floor(F.col("_at") / F.lit(width))),
                   "replay-events", ["_cell"])

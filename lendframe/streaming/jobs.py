@@ -4,6 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from lendframe import schema as S
@@ -48,7 +49,9 @@ def late_rows(query: StreamingQuery) -> int:
 
 def latest(spark: SparkSession, out: str, keys: list[str], schema) -> DataFrame:
     """Last update of each key over all micro-batches."""
-    rows = spark.read.option("basePath", out).schema(schema.add("batch", "int")).parquet(out)
+    # every micro-batch rewrites the keys it touched; only those rows are kept in its folder
+    with_batch = T.StructType([*schema.fields, T.StructField("batch", T.IntegerType())])
+    rows = spark.read.option("basePath", out).schema(with_batch).parquet(out)
     rest = [c for c in rows.columns if c not in (*keys, "batch")]
     return rows.groupBy(*keys).agg(
         F.max_by(F.struct(*rest), "batch").alias("_r")).select(*keys, "_r.*")
