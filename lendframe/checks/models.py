@@ -198,35 +198,37 @@ def _halves(t):
     return reference, current
 
 
-def _drift_sql(columns):
-    """Distances by plain window functions over every value of every column."""
-    numeric = [c for c in columns if c in S.NUMERIC_COLUMNS or c in S.ENGINEERED_NUMERIC]
-    text = [c for c in columns if c not in numeric]
-    parts = []
-    for c in numeric:
-        parts.append(f"""SELECT "column", 'num' AS kind, CASE WHEN n_values <= 5 THEN 'jensenshannon' ELSE 'wasserstein' END AS test,
+def _side_counts(c):
+    return f"""(SELECT v, sum(r) AS r, sum(c) AS c FROM (SELECT {c} AS v, 1 AS r, 0 AS c FROM reference_rows
+    UNION ALL SELECT {c}, 0, 1 FROM current_rows) WHERE v IS NOT NULL GROUP BY v)"""
+
+
+def _half_js(x):
+    return f"CASE WHEN {x} > 0 THEN {x} * ln({x} / ((pp + qq) / 2)) ELSE 0 END"
+
+
+_JS = f"({_half_js('pp')} + {_half_js('qq')})"
+
+
+def _numeric_drift_sql(c):
+    return f"""SELECT "column", 'num' AS kind, CASE WHEN n_values <= 5 THEN 'jensenshannon' ELSE 'wasserstein' END AS test,
   n_values, round(CASE WHEN n_values <= 5 THEN js ELSE w END, 6) AS score FROM (
-  SELECT '{c}' AS "column", count(*) AS n_values, sqrt(greatest(sum(js) / 2, 0)) AS js,
+  SELECT '{c}' AS "column", count(*) AS n_values, sqrt(greatest(sum({_JS}) / 2, 0)) AS js,
     coalesce(sum(abs(rc / rt - cc / ct) * (nxt - v)), 0) / greatest((SELECT stddev_pop({c}) FROM reference_rows), 0.001) AS w
   FROM (SELECT v, sum(r) OVER (ORDER BY v) AS rc, sum(c) OVER (ORDER BY v) AS cc, sum(r) OVER () AS rt, sum(c) OVER () AS ct,
-      lead(v) OVER (ORDER BY v) AS nxt, coalesce(p * ln(p / ((p + q) / 2)), 0) + coalesce(q * ln(q / ((p + q) / 2)), 0) AS js
-    FROM (SELECT *, nullif(r / sum(r) OVER (), 0) AS p0, nullif(c / sum(c) OVER (), 0) AS q0,
-        r / sum(r) OVER () AS pp, c / sum(c) OVER () AS qq, CASE WHEN r > 0 THEN r / sum(r) OVER () ELSE 0 END AS p1
-      FROM (SELECT v, sum(r) AS r, sum(c) AS c FROM (SELECT {c} AS v, 1 AS r, 0 AS c FROM reference_rows
-        UNION ALL SELECT {c}, 0, 1 FROM current_rows) WHERE v IS NOT NULL GROUP BY v)) z0
-    CROSS JOIN LATERAL (SELECT pp AS p, qq AS q) z))""".replace(
-            "coalesce(p * ln(p / ((p + q) / 2)), 0) + coalesce(q * ln(q / ((p + q) / 2)), 0)",
-            "CASE WHEN pp > 0 THEN pp * ln(pp / ((pp + qq) / 2)) ELSE 0 END + CASE WHEN qq > 0 THEN qq * ln(qq / ((pp + qq) / 2)) ELSE 0 END")
-            .replace(" z0\n    CROSS JOIN LATERAL (SELECT pp AS p, qq AS q) z", "")
-            .replace("nullif(r / sum(r) OVER (), 0) AS p0, nullif(c / sum(c) OVER (), 0) AS q0,\n        ", "")
-            .replace(", CASE WHEN r > 0 THEN r / sum(r) OVER () ELSE 0 END AS p1", ""))
-    for c in text:
-        parts.append(f"""SELECT '{c}' AS "column", 'cat' AS kind, 'jensenshannon' AS test, count(*) AS n_values,
-  round(sqrt(greatest(sum(CASE WHEN pp > 0 THEN pp * ln(pp / ((pp + qq) / 2)) ELSE 0 END
-    + CASE WHEN qq > 0 THEN qq * ln(qq / ((pp + qq) / 2)) ELSE 0 END) / 2, 0)), 6) AS score
-  FROM (SELECT r / sum(r) OVER () AS pp, c / sum(c) OVER () AS qq FROM (SELECT v, sum(r) AS r, sum(c) AS c FROM (
-    SELECT {c} AS v, 1 AS r, 0 AS c FROM reference_rows UNION ALL SELECT {c}, 0, 1 FROM current_rows)
-    WHERE v IS NOT NULL GROUP BY v))""")
+      lead(v) OVER (ORDER BY v) AS nxt, r / sum(r) OVER () AS pp, c / sum(c) OVER () AS qq FROM {_side_counts(c)}))"""
+
+
+def _category_drift_sql(c):
+    return f"""SELECT '{c}' AS "column", 'cat' AS kind, 'jensenshannon' AS test, count(*) AS n_values,
+  round(sqrt(greatest(sum({_JS}) / 2, 0)), 6) AS score
+  FROM (SELECT r / sum(r) OVER () AS pp, c / sum(c) OVER () AS qq FROM {_side_counts(c)})"""
+
+
+def _drift_sql(columns):
+    """Distances by plain window functions over every value of every column."""
+    parts = [_numeric_drift_sql(c) if c in S.NUMERIC_COLUMNS or c in S.ENGINEERED_NUMERIC
+             else _category_drift_sql(c) for c in columns]
     return ("SELECT *, CAST(0.1 AS DOUBLE) AS threshold, score >= 0.1 AS drifted FROM ("
             + Q.union_all(parts) + ")")
 

@@ -156,11 +156,12 @@ def _walked_misses(rows: DataFrame, key: str, order: str, ttl: int, prior: DataF
     low, high = slim.agg(F.min("_cell"), F.max("_cell")).first()
     if low is None:
         return rows
-    parts, last, chunk = [], prior, []
+    parts, chunk = [], []
+    last = None if prior is None else prior.groupBy(key).agg(F.max("_at").alias("_at"))
     for cell in range(low, high + 1):
         here = slim.filter(F.col("_cell") == cell)
         if last is not None:
-            covered = last.groupBy(key).agg((F.max("_at") + width).alias("_until"))
+            covered = last.select(key, (F.col("_at") + width).alias("_until"))
             here = here.join(covered, key, "left").filter(
                 F.col("_until").isNull() | (F.col("_at") >= F.col("_until")))
         # the earliest event, and among events of that instant the first by order
@@ -171,7 +172,7 @@ def _walked_misses(rows: DataFrame, key: str, order: str, ttl: int, prior: DataF
         chunk.append(missed)
         last = missed.select(key, "_at")
         if cell == low and prior is not None:
-            last = last.unionByName(prior.select(key, "_at"))
+            last = last.unionByName(prior.select(key, "_at")).groupBy(key).agg(F.max("_at").alias("_at"))
         elif len(chunk) >= CELLS_PER_STAGE or cell == high:
             done = staged(reduce(DataFrame.unionByName, chunk), "replay-misses")
             parts.append(done)

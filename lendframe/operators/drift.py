@@ -66,23 +66,24 @@ def categorical_distances(reference: DataFrame, current: DataFrame, columns: lis
 
 
 def _chi_parts() -> list[Column]:
-    """Pieces of the chi-square of current counts against scaled reference counts."""
+    """Chi-square of current counts against scaled reference counts, and the sums that
+    give the Z of two shares: plain sums, so the aggregate stays hashed."""
     expected = F.col("r") * F.col("c_total") / F.col("r_total")
-    first = F.struct("value", "r", "c")
+    gap = F.col("r") / F.col("r_total") - F.col("c") / F.col("c_total")
+    pooled = (F.col("r") + F.col("c")) / (F.col("r_total") + F.col("c_total"))
     return [
         F.sum(F.when(F.col("r") > 0, F.pow(F.col("c") - expected, 2) / expected)
               .when(F.col("c") > 0, F.lit(float("inf")))).alias("_chi"),
-        F.min(first)["r"].alias("_r1"), F.min(first)["c"].alias("_c1"),
+        F.sum(gap * gap).alias("_gap2"), F.sum(pooled * pooled).alias("_pooled2"),
     ]
 
 
 def _two_share_z() -> Column:
-    """Z of the difference of the first value's shares, by the pooled share."""
-    n1, n2 = F.col("n_reference"), F.col("n_current")
-    p1, p2 = F.col("_r1") / n1, F.col("_c1") / n2
-    pooled = (F.col("_r1") + F.col("_c1")) / (n1 + n2)
-    z = X.ratio(p1 - p2, F.sqrt(pooled * (1 - pooled) * (1 / n1 + 1 / n2)))
-    return F.coalesce(z, F.lit(0.0))
+    """|Z| of the difference of two shares by the pooled share. Over two values the
+    squared gaps sum to 2 (p1 - p2)^2 and 1 less the squared pooled shares is
+    2 p (1 - p)."""
+    spread = (1 - F.col("_pooled2")) * (1 / F.col("n_reference") + 1 / F.col("n_current"))
+    return F.coalesce(F.sqrt(X.ratio(F.col("_gap2"), spread)), F.lit(0.0))
 
 
 def column_kinds(df: DataFrame, columns: list[str]) -> tuple[list[str], list[str]]:
