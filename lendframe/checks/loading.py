@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from lendframe import schema as S
 from lendframe.checks import sql_parts as Q
-from lendframe.checks.registry import check
+from lendframe.checks.registry import check, rounded, sql_rounded
 from lendframe.functions import expr as X
 from lendframe.operators import cleaning, profiling, sampling, scoring
 from lendframe.operators.evaluation import eval_classifier
@@ -94,15 +94,16 @@ def load_summary(t):
 
 _CUSTOMER = ["customer_id", "age", "gender", "monthly_salary", "house_type", "credit_score",
              "requested_amount", "requested_tenure"]
+_CAPPED = ["monthly_salary", "requested_amount"]
 
 
 @check("explode_requests", Q.query("clean", f"""
 SELECT application_id // 500 AS request_id,
   CAST(row_number() OVER (PARTITION BY application_id // 500 ORDER BY application_id) - 1 AS INTEGER) AS position,
-  {Q.cols(_CUSTOMER)} FROM clean"""))
+  {Q.cols(c for c in _CUSTOMER if c not in _CAPPED)}, {sql_rounded(_CAPPED, 4)} FROM clean"""))
 def explode_requests(t):
-    return scoring.explode_requests(scoring.batch_requests(t.clean)).select(
-        "request_id", "position", *_CUSTOMER)
+    rows = scoring.explode_requests(scoring.batch_requests(t.clean))
+    return rounded(rows.select("request_id", "position", *_CUSTOMER), _CAPPED, 4)
 
 
 _RANGES = [

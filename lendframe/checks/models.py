@@ -110,8 +110,8 @@ _RESIDUALS = "residual AS (SELECT actual - predicted AS x FROM amounts WHERE mod
 
 
 @check("residuals", Q.query("clean", """
-SELECT CAST(b.bin AS INTEGER) AS bin, round(lo + b.bin * (hi - lo) / 60, 4) AS from_value,
-  round(lo + (b.bin + 1) * (hi - lo) / 60, 4) AS to_value, count(r.x) AS "rows"
+SELECT CAST(b.bin AS INTEGER) AS bin, round(lo + b.bin * ((hi - lo) / 60), 6) AS from_value,
+  round(lo + (b.bin + 1) * ((hi - lo) / 60), 6) AS to_value, count(r.x) AS "rows"
 FROM range(60) b(bin) CROSS JOIN (SELECT min(x) AS lo, max(x) AS hi FROM residual) e
 LEFT JOIN residual r ON least(floor((r.x - lo) / ((hi - lo) / 60)), 59) = b.bin
 GROUP BY b.bin, lo, hi""", _AMOUNT_ROWS, _RESIDUALS))

@@ -96,8 +96,8 @@ def distribution_stats(t):
 
 def _histogram_sql(column, bins):
     return f"""
-SELECT CAST(b.bin AS INTEGER) AS bin, round(lo + b.bin * (hi - lo) / {bins}, 4) AS from_value,
-  round(lo + (b.bin + 1) * (hi - lo) / {bins}, 4) AS to_value, count(c.x) AS "rows"
+SELECT CAST(b.bin AS INTEGER) AS bin, round(lo + b.bin * ((hi - lo) / {bins}), 6) AS from_value,
+  round(lo + (b.bin + 1) * ((hi - lo) / {bins}), 6) AS to_value, count(c.x) AS "rows"
 FROM range({bins}) b(bin) CROSS JOIN (SELECT min({column}) AS lo, max({column}) AS hi FROM clean) e
 LEFT JOIN (SELECT {column} AS x FROM clean) c
   ON least(floor((c.x - lo) / ((hi - lo) / {bins})), {bins - 1}) = b.bin

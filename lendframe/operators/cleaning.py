@@ -148,7 +148,8 @@ def measure_first_medians(rows: DataFrame, stats: CleaningStats, count: int | No
 def measure_second_medians(rows: DataFrame, stats: CleaningStats, count: int | None = None) -> None:
     """Medians that depend on the bracket fill and on the salary fill."""
     salary = F.coalesce(F.col("monthly_salary"), F.lit(stats.medians.get("monthly_salary")))
-    values = {c: bracket_filled(c, stats) for c in BRACKET_FILLED if stats.null_gates.get(c)}
+    values = {c: bracket_filled(c, stats) if stats.null_gates.get(c) else F.col(c)
+              for c in BRACKET_FILLED if c in rows.columns}
     values["positive_salary"] = F.when(salary > 0, salary)
     found = quantile_map(rows, values, rows=count)
     stats.global_medians = {c: found.get((c, 0.5)) for c in BRACKET_FILLED}
@@ -183,8 +184,16 @@ def measure_caps(ruled: DataFrame, count: int | None = None) -> dict[str, tuple[
 
 
 # --- step 6: flags ----------------------------------------------------------
-def missing_flags(df: DataFrame, gates: dict[str, bool]) -> DataFrame:
-    """A flag is set only if its column held a null before the numbers were read."""
+def missing_flags(df: DataFrame, gates: dict[str, bool] | None) -> DataFrame:
+    """A flag is set only if its column held a null before the numbers were read.
+
+    Without gates every prepared row is its own batch: its flag is its raw null.
+    """
+    if gates is None:
+        return df.withColumns({
+            f"{c}_missing": F.col(f"{_RAW_NULL}{c}").cast("int")
+            for c in S.FLAGGED_COLUMNS if c in df.columns
+        })
     return df.withColumns({
         f"{c}_missing": (F.col(c).isNull().cast("int") if gates.get(c) else F.lit(0))
         for c in S.FLAGGED_COLUMNS if c in df.columns
@@ -203,15 +212,20 @@ def rent_filled(renter_median: float | None) -> Column:
     )
 
 
-def bracket_filled(c: str, stats: CleaningStats) -> Column:
-    """Null outside the salary brackets, even where the value was known."""
+def bracket_median(c: str, stats: CleaningStats) -> Column:
     medians = stats.bracket_medians.get(c, {})
     salary = F.col("monthly_salary")
-    by_bracket = X.stepped(salary, [(bound, medians.get(label)) for bound, label in S.SALARY_BRACKETS])
-    return F.when(salary > 0, F.coalesce(F.col(c), by_bracket))
+    return F.when(salary > 0, X.stepped(
+        salary, [(bound, medians.get(label)) for bound, label in S.SALARY_BRACKETS]))
 
 
-def fill_missing(df: DataFrame, stats: CleaningStats) -> DataFrame:
+def bracket_filled(c: str, stats: CleaningStats) -> Column:
+    """Null outside the salary brackets, even where the value was known."""
+    return F.when(F.col("monthly_salary") > 0, F.coalesce(F.col(c), bracket_median(c, stats)))
+
+
+def fill_missing(df: DataFrame, stats: CleaningStats, single: bool = False) -> DataFrame:
+    """Fills of a batch; ``single`` treats every row as a batch of its own."""
     def constant(c, value):
         return F.coalesce(F.col(c), F.lit(value).cast("double"))
 
@@ -224,9 +238,11 @@ def fill_missing(df: DataFrame, stats: CleaningStats) -> DataFrame:
         elif c == "credit_score":
             fills[c] = constant(c, S.NO_CREDIT_SCORE)
         elif c in BRACKET_FILLED:
-            if stats.null_gates.get(c):
-                fills[c] = F.coalesce(bracket_filled(c, stats),
-                                      F.lit(stats.global_medians.get(c)).cast("double"))
+            overall = F.lit(stats.global_medians.get(c)).cast("double")
+            if single:
+                fills[c] = F.coalesce(F.col(c), bracket_median(c, stats), overall)
+            elif stats.null_gates.get(c):
+                fills[c] = F.coalesce(bracket_filled(c, stats), overall)
         elif c in S.ZERO_FILL_COLUMNS:
             fills[c] = constant(c, 0)
         elif c not in S.CRITICAL_COLUMNS:
@@ -307,15 +323,18 @@ def encode_target(df: DataFrame) -> DataFrame:
 
 
 # --- the whole --------------------------------------------------------------
-def project(prepared: DataFrame, stats: CleaningStats, training: bool = True) -> DataFrame:
+def project(prepared: DataFrame, stats: CleaningStats, training: bool = True,
+            single: bool = False) -> DataFrame:
     """Steps 6-16 as one projection over prepared rows.
 
+    ``single``: the statistics come from elsewhere and each row is cleaned for itself.
+
     Rows carry ``application_id``, so the closing duplicate check of the table
     cannot find copies that the opening one left; without keys it is made.
     """
-    df = missing_flags(prepared, stats.flag_gates)
+    df = missing_flags(prepared, None if single else stats.flag_gates)
     df = training_rows(df, training)
-    df = standardize_categories(fill_missing(df, stats), stats.modes)
+    df = standardize_categories(fill_missing(df, stats, single), stats.modes)
     df = cap_outliers(apply_rules(df, stats), stats.caps)
     if training and S.TARGET_CLASS in df.columns:
         df = encode_target(df)

@@ -325,8 +325,8 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("rows"))
     grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return grid.join(counted, "bin", "left").select(
-        "bin", F.round(F.lit(low) + F.col("bin") * width, 4).alias("from_value"),
-        F.round(F.lit(low) + (F.col("bin") + 1) * width, 4).alias("to_value"),
+        "bin", F.round(F.lit(low) + F.col("bin") * width, 6).alias("from_value"),
+        F.round(F.lit(low) + (F.col("bin") + 1) * width, 6).alias("to_value"),
         F.coalesce("rows", F.lit(0)).alias("rows"))
 
 

@@ -102,10 +102,10 @@ def exact_quantiles(
         F.max(F.when(_holds("_low", "_from", "_upto"), F.col("_v"))).alias("_lo"),
         F.max(F.when(_holds("_high", "_from", "_upto"), F.col("_v"))).alias("_hi"),
     )
-    return found.select(
-        *keys, "probability",
-        (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_part")).alias("quantile"),
-    )
+    # from the nearer neighbour, as the column libraries do, so that equal ends stay equal
+    step, part = F.col("_hi") - F.col("_lo"), F.col("_part")
+    between = F.when(part < 0.5, F.col("_lo") + step * part).otherwise(F.col("_hi") - step * (1 - part))
+    return found.select(*keys, "probability", between.alias("quantile"))
 
 
 def _holds(rank: str, start: str, end: str) -> Column:
