@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from lendframe import schema as S
 
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# --- fixed values: the white space that text stripping removes
+_WHITE = (" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+          "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 # runs of cased letters, and the runs between them
 _WORDS = r"([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)"
 
@@ -17,39 +20,58 @@ def col(c: Column | str) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    """Trim every kind of white space; SQL ``trim`` takes spaces only."""
-    return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
+    """Trim every kind of white space; plain ``trim`` takes spaces only."""
+    return F.btrim(col(c), F.lit(_WHITE))
+
+
+def bare_number(c: Column | str) -> Column:
+    """Text without currency and grouping marks; plain numbers skip the replacements."""
+    c = col(c)
+    bare = strip(reduce(lambda x, mark: F.replace(x, F.lit(mark), F.lit("")), S.CURRENCY_MARKS, c))
+    return F.when(c.rlike(_NUMBER), c).otherwise(bare)
+
+
+def known_text(c: Column | str) -> Column:
+    """Null for the null-like texts."""
+    c = col(c)
+    return F.when(~c.isin(S.NULL_STRINGS), c)
 
 
 def strip_currency(c: Column | str) -> Column:
     """Remove currency and grouping marks, trim, and null the null-like texts."""
-    bare = reduce(lambda x, mark: F.replace(x, F.lit(mark), F.lit("")),
-                  S.CURRENCY_MARKS, col(c))
-    bare = strip(bare)
-    return F.when(~bare.isin(S.NULL_STRINGS), bare)
+    return known_text(bare_number(c))
+
+
+def parsed(text: Column | str) -> Column:
+    """Double of a trimmed text, or null; ``try_cast`` alone would read ``12d``."""
+    text = col(text)
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
 def to_number(c: Column | str) -> Column:
     """Text to double; unreadable, infinite and NaN values become null."""
-    text = strip(c)
-    number = F.when(text.rlike(_NUMBER), text.try_cast("double"))
-    return F.when(F.abs(number) < F.lit(float("inf")), number)
+    return finite(parsed(strip(c)))
 
 
 def finite(c: Column | str) -> Column:
     """Null for NaN and infinities, so that neither enters the pipeline."""
     c = col(c)
-    return F.when(~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))), c)
+    # NaN is above every number here, so it fails the comparison as well
+    return F.when(F.abs(c) < F.lit(float("inf")), c)
 
 
 def title_case(c: Column | str) -> Column:
-    """Capital after every non-letter, as in ``Post-Graduate``; ``initcap`` differs."""
-    parts = F.regexp_extract_all(F.lower(col(c)), F.lit(_WORDS), F.lit(1))
+    """Capital after every non-letter, as in ``Post-Graduate``.
+
+    ``initcap`` capitalizes after spaces only, which is the same for plain words.
+    """
+    c = col(c)
+    parts = F.regexp_extract_all(F.lower(c), F.lit(_WORDS), F.lit(1))
     cased = F.transform(
         parts,
         lambda w: F.concat(F.upper(w.substr(F.lit(1), F.lit(1))), w.substr(F.lit(2), F.length(w))),
     )
-    return F.array_join(cased, "")
+    return F.when(c.rlike("^[A-Za-z ]*$"), F.initcap(c)).otherwise(F.array_join(cased, ""))
 
 
 def mapped(c: Column | str, mapping: dict[str, str]) -> Column:

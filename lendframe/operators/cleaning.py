@@ -35,15 +35,18 @@ def _text_numbers(df: DataFrame) -> list[str]:
 
 
 def clean_currency(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: X.strip_currency(c) for c in _text_numbers(df)})
+    """Each step is a projection of its own, so no text is worked on twice."""
+    columns = _text_numbers(df)
+    return df.withColumns({c: X.bare_number(c) for c in columns}).withColumns(
+        {c: X.known_text(c) for c in columns})
 
 
 def coerce_numbers(df: DataFrame) -> DataFrame:
-    text = set(_text_numbers(df))
-    return df.withColumns({
-        c: X.to_number(c) if c in text else X.finite(F.col(c).cast("double"))
-        for c in S.NUMERIC_COLUMNS if c in df.columns
-    })
+    text = _text_numbers(df)
+    columns = [c for c in S.NUMERIC_COLUMNS if c in df.columns]
+    df = df.withColumns({c: X.strip(c) for c in text})
+    df = df.withColumns({c: X.parsed(c) if c in text else F.col(c).cast("double") for c in columns})
+    return df.withColumns({c: X.finite(c) for c in columns})
 
 
 def prepare(df: DataFrame) -> DataFrame:
