@@ -6,7 +6,8 @@ from lendframe import schema as S
 from lendframe.checks import sql_parts as Q
 from lendframe.checks.registry import check
 from lendframe.operators import cache, scoring, serving
-from lendframe.plans import batch
+from lendframe.plans import batch, online
+from lendframe.plans.features import add_features
 from lendframe.sources.applications import table
 from lendframe.staging import staging_path
 from lendframe.streaming import jobs
@@ -68,6 +69,14 @@ for _zone in scoring.ZONES:
     _single(_zone)
 
 
+@check("zone_single", _events("SELECT " + ", ".join(
+    f"count(*) FILTER (conf_zone = '{z}') AS {z}" for z in scoring.ZONES) + " FROM requests", Q.REQUESTS))
+def zone_single(t):
+    return serving.zone_totals(t.requests).agg(*[
+        F.coalesce(F.sum(F.when(F.col("conf_zone") == z, F.col("predictions"))), F.lit(0)).alias(z)
+        for z in scoring.ZONES])
+
+
 @check("last_status", _events("""
 SELECT endpoint, CASE WHEN arg_max(status, {'a': ts, 'b': event_id}) = '200' THEN 1 ELSE 0 END AS up,
   arg_max(event_id, {'a': ts, 'b': event_id}) AS event_id,
@@ -153,6 +162,51 @@ def stream_score(t):
     return jobs.stream_score(stream, scoring.score_with_rules).drop("customer_id")
 
 
+@check("stream_score_models")
+def stream_score_models(t):
+    """The same stream through the fitted encoder and models."""
+    from lendframe.plans import training as M
+
+    encoder, train, _ = t.encoded
+    classifier = M.logistic_regression(iterations=30).fit(train)
+    regressor = M.forest_regressor(trees=5, depth=5).fit(train)
+    folder = staging_path(t.spark, "feature-files")
+    t.features.repartition(4, "application_id").write.parquet(folder)
+    stream = t.spark.readStream.schema(t.features.schema).option("maxFilesPerTrigger", 2).parquet(folder)
+    return jobs.stream_score(
+        stream, lambda df: M.scored_with_models(encoder.transform(df), classifier, regressor), "models")
+
+
+_STORED = """stored AS (SELECT customer_id, max(application_id) AS seq FROM clean WHERE application_id % 3 = 0 GROUP BY 1),
+vectors AS (SELECT c.application_id, c.customer_id, s.seq IS NOT NULL AS cache_hit,
+  v.* EXCLUDE (application_id, customer_id) FROM clean c LEFT JOIN stored s ON c.customer_id = s.customer_id
+  JOIN clean v ON v.application_id = coalesce(s.seq, c.application_id)),"""
+
+
+@check("online_requests", Q.query("clean", """
+SELECT application_id, cache_hit, clf_proba, clf_label, conf_zone, predicted_emi FROM scored""",
+                                  _STORED + Q.SCORED.replace("customer_id, ", "customer_id, cache_hit, ", 1)
+                                  .replace("FROM clean", "FROM vectors")))
+def online_requests(t):
+    """Requests with a stored vector are scored from it, the others are computed."""
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    store = online.feature_entries(t.features.filter("application_id % 3 = 0"), at)
+    out = online.serve(t.clean, store, F.lit("2024-01-01 06:00:00").cast("timestamp"),
+                       lambda rows: add_features(rows, t.fallback), t.features.schema)
+    return out.scored.drop("customer_id")
+
+
+@check("online_writes", Q.query("features", """
+SELECT 'emi:features:' || substring(sha256(customer_id), 1, 16) AS cache_key, max(application_id) AS seq FROM features
+WHERE customer_id NOT IN (SELECT customer_id FROM features WHERE application_id % 3 = 0) GROUP BY customer_id"""))
+def online_writes(t):
+    """The vectors computed on misses go to the store."""
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    store = online.feature_entries(t.features.filter("application_id % 3 = 0"), at)
+    out = online.serve(t.clean, store, at, lambda rows: add_features(rows, t.fallback), t.features.schema)
+    return out.entries.select("cache_key", "seq")
+
+
 _DAILY = Q.query("clean", """
 SELECT application_id, conf_zone, predicted_emi FROM scored""", Q.SCORED, training=False)
 

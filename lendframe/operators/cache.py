@@ -4,6 +4,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lendframe import schema as S
 from lendframe.functions import expr as X
@@ -18,11 +19,15 @@ def cache_key(customer: Column | str) -> Column:
     return F.concat(F.lit(f"{S.CACHE_PREFIX}:"), digest)
 
 
-def payload_text(df: DataFrame, columns) -> Column:
-    """JSON of the columns present, nulls written. Numbers go as plain decimal text."""
+def payload_text(df: DataFrame, columns, exact: bool = False) -> Column:
+    """JSON of the columns present, nulls written, values as text.
+
+    Reals go as plain decimals of six places, or with all their digits if ``exact``.
+    """
     def text(c):
         kind = df.schema[c].dataType.typeName()
-        x = F.col(c).cast("decimal(28,6)") if kind in ("double", "float") else F.col(c)
+        plain = kind in ("double", "float") and not exact
+        x = F.col(c).cast("decimal(28,6)") if plain else F.col(c)
         return x.cast("string").alias(c)
 
     return F.to_json(F.struct(*[text(c) for c in columns if c in df.columns]),
@@ -37,11 +42,11 @@ def content_key(df: DataFrame, columns) -> Column:
 
 def batch_write(df: DataFrame, columns, customer: str = "customer_id",
                 sequence: str = "application_id", ttl: int = S.CACHE_TTL_SECONDS,
-                written_at: Column | None = None) -> DataFrame:
+                written_at: Column | None = None, exact: bool = False) -> DataFrame:
     """One entry per customer with a usable id; the later row wins."""
     usable = df.filter(_usable(customer))
     rows = usable.select(cache_key(X.strip(F.col(customer).cast("string"))).alias("cache_key"),
-                         F.col(sequence).alias("seq"), payload_text(df, columns).alias("payload"))
+                         F.col(sequence).alias("seq"), payload_text(df, columns, exact).alias("payload"))
     entries = rows.groupBy("cache_key").agg(F.max_by("payload", "seq").alias("payload"),
                                             F.max("seq").alias("seq"))
     return with_expiry(entries, written_at, ttl)
@@ -83,6 +88,15 @@ def uncached(requests: DataFrame, store: DataFrame, now: Column, customer: str =
     return requests.withColumn("cache_key", cache_key(customer)).join(live, "cache_key", "left_anti")
 
 
+def restored(rows: DataFrame, schema: T.StructType, payload: str = "cached") -> DataFrame:
+    """The stored columns back in their types, beside the other columns of ``rows``."""
+    names = schema.names
+    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    rest = [c for c in rows.columns if c not in names and c != payload]
+    return rows.select(*rest, F.from_json(payload, text).alias("_p")).select(
+        *rest, *[F.col(f"_p.{f.name}").cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def invalidate(store: DataFrame, customers: DataFrame, customer: str = "customer_id") -> DataFrame:
     """The store without the listed customers."""
     gone = customers.select(cache_key(customer).alias("cache_key")).distinct()
@@ -99,7 +113,7 @@ def invalidated(store: DataFrame, customers: DataFrame, customer: str = "custome
 # --- replay -----------------------------------------------------------------
 # keys with more events than this are walked by time cells, not gathered in an array
 GATHERED_EVENTS = 20_000
-CELLS_PER_STAGE = 8
+CELLS_PER_STAGE = 4
 
 
 def replay_misses(events: DataFrame, key: str = "user_id", ts: str = "ts",

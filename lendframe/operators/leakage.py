@@ -1,11 +1,14 @@
 """Overlap between train and test rows, and the shuffled-label check."""
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendframe import schema as S
 from lendframe.operators.evaluation import auc
 from lendframe.operators.sampling import permute_labels
+from lendframe.plans.training import logistic_regression
+from lendframe.staging import staged
 
 
 def overlap(train: DataFrame, test: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -31,17 +34,12 @@ def shuffled_target(train: DataFrame, test: DataFrame, label: str = S.TARGET_CLA
                     features: str = "features", runs: int = 5, tolerance: float = 0.05,
                     seed: int = 42) -> DataFrame:
     """AUC on the true test labels of models fitted to permuted train labels."""
-    from pyspark.ml.functions import vector_to_array
-
-    from lendframe.plans.training import logistic_regression
-    from lendframe.staging import staged
-
     train = train.select("application_id", label, features).persist()
     test = test.select("application_id", label, features).persist()
     scored = None
     for run in range(runs):
         dealt = staged(permute_labels(train, label, seed + run), "permuted")
-        model = logistic_regression(label, features, dealt, iterations=50).fit(dealt)
+        model = logistic_regression(label, features, iterations=50).fit(dealt)
         one = model.transform(test).select(
             F.lit(run).alias("run"), F.col(label).alias("label"),
             vector_to_array("probability")[1].alias("score"))

@@ -98,12 +98,13 @@ def value_counts(df: DataFrame, columns) -> DataFrame:
 
 def audit_labels(df: DataFrame, columns) -> DataFrame:
     counts = value_counts(df, columns)
-    of_column = F.sum("rows").over(Window.partitionBy("column"))
+    # one total per column
+    totals = F.broadcast(counts.groupBy("column").agg(F.sum("rows").alias("_total")))
     text = F.coalesce(F.col("value"), F.lit("nan"))
     note = (F.when((F.col("column") == "gender") & text.isin(S.GENDER_ABBREVIATIONS), "abbreviation")
             .when(F.lower(text).isin(S.SUSPICIOUS_LABELS), "suspicious").otherwise("ok"))
-    return counts.select("column", "value", "rows",
-                         X.share(F.col("rows"), of_column, 1).alias("pct"), note.alias("note"))
+    return counts.join(totals, "column").select(
+        "column", "value", "rows", X.share(F.col("rows"), F.col("_total"), 1).alias("pct"), note.alias("note"))
 
 
 def audit_ranges(df: DataFrame, bounds=S.AUDIT_BOUNDS) -> DataFrame:

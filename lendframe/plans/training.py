@@ -46,8 +46,7 @@ class _Weighted:
         return self.pipeline.fit(weighted(df, self.label))
 
 
-def logistic_regression(label=S.TARGET_CLASS, features="features", df=None, iterations=100,
-                        reg=0.0) -> _Weighted:
+def logistic_regression(label=S.TARGET_CLASS, features="features", iterations=100, reg=0.0) -> _Weighted:
     return _Weighted([
         StandardScaler(inputCol=features, outputCol="scaled", withMean=True, withStd=True),
         LogisticRegression(featuresCol="scaled", labelCol=label, weightCol=WEIGHT,

@@ -49,14 +49,18 @@ def _damaged(df: DataFrame) -> bool:
 
 
 def scan_validated(spark: SparkSession, path: str, validate: bool = True,
-                   minimum: int = S.MIN_TRAINING_ROWS, multiline: bool = False) -> DataFrame:
-    """Checked scan: file there, ``.csv``, not empty, columns complete, enough rows."""
+                   minimum: int = S.MIN_TRAINING_ROWS, multiline: bool = False,
+                   encoding: str | None = None) -> DataFrame:
+    """Checked scan: file there, ``.csv``, not empty, columns complete, enough rows.
+
+    With no encoding given, one pass looks for bytes that are not UTF-8.
+    """
     if not re.search(r"\.csv/?$", path.lower()):
         raise ValueError(f"expected a .csv input, got {path}")
     if not _exists(spark, path):
         raise ValueError(f"file is empty: {path}")
-    df = read_text_csv(spark, path, multiline=multiline)
-    if _damaged(df):
+    df = read_text_csv(spark, path, encoding or "UTF-8", multiline)
+    if encoding is None and _damaged(df):
         df = read_text_csv(spark, path, "ISO-8859-1", multiline)
     df = null_tokens_to_null(normalize_columns(df))
     gate = row_count_gate(df, minimum if validate else 1)
