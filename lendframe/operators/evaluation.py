@@ -56,7 +56,10 @@ def eval_classifier(scored: DataFrame, by=("model",), label="label", score="scor
     precision = _or_zero(F.col("tp"), F.col("tp") + F.col("fp"))
     recall = _or_zero(F.col("tp"), F.col("tp") + F.col("fn"))
     f1 = _or_zero(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn"))
-    return counts.join(auc(rows, by, label, score), by, "left").select(
+    # one row of counts and one of AUC per model, laid side by side
+    both = counts.unionByName(auc(rows, by, label, score), allowMissingColumns=True)
+    parts = [c for c in both.columns if c not in by]
+    return both.groupBy(*by).agg(*[F.max(c).alias(c) for c in parts]).select(
         *by, "n", F.round("auc", 6).alias("auc"), F.round(f1, 6).alias("f1"),
         F.round(precision, 6).alias("precision"), F.round(recall, 6).alias("recall"),
         F.round(_or_zero(F.col("tp") + F.col("tn"), F.col("n")), 6).alias("accuracy"),
@@ -137,16 +140,18 @@ def threshold_gates(classifier: DataFrame, amounts: DataFrame, min_auc: float =
     ``classifier`` holds one evaluation row, ``amounts`` actual and predicted amounts.
     """
     seen = classifier.select(
-        F.lit(1).alias("_one"), (F.col("auc") >= min_auc).alias("auc_ok"),
+        (F.col("auc") >= min_auc).alias("auc_ok"),
         ((F.col("auto_approve") > 0) & (F.col("human_review") > 0) & (F.col("auto_reject") > 0))
         .alias("zones_ok"))
     miss = F.col("actual") - F.col("predicted")
     sane = amounts.agg(
         (F.sqrt(F.avg(miss * miss)) <= max_rmse).alias("rmse_ok"),
         F.bool_and(F.col("predicted").between(S.EMI_MIN, S.EMI_MAX)).alias("emi_ok"),
-    ).withColumn("_one", F.lit(1))
+    )
     gates = ["auc_ok", "zones_ok", "rmse_ok", "emi_ok"]
-    return seen.join(sane, "_one").select(
+    # two one-row frames side by side
+    both = seen.unionByName(sane, allowMissingColumns=True).agg(*[F.max(g).alias(g) for g in gates])
+    return both.select(
         *gates, (F.col("auc_ok") & F.col("zones_ok") & F.col("rmse_ok") & F.col("emi_ok")).alias("promote"))
 
 

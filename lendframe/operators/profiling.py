@@ -182,11 +182,12 @@ def cleaning_report(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
             (F.sum("_n") - F.count(F.lit(1))).alias(f"{name}_duplicates"),
             *([F.round(F.sum(F.col(S.TARGET_CLASS) * F.col("_n")) * 100.0 / F.sum("_n"), 2)
                .alias("eligible_pct")] if name == "clean" else []),
-        ).withColumn("_one", F.lit(1))
+        )
 
     new = [c for c in cleaned.columns if c not in raw.columns]
-    both = snapshot(raw, "raw").join(snapshot(cleaned, "clean"), "_one").drop("_one")
-    return both.withColumn("rows_removed", F.col("raw_rows") - F.col("clean_rows")).withColumn(
+    # two one-row frames side by side
+    both = snapshot(raw, "raw").unionByName(snapshot(cleaned, "clean"), allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns]).withColumn("rows_removed", F.col("raw_rows") - F.col("clean_rows")).withColumn(
         "new_columns", F.lit(",".join(new)))
 
 

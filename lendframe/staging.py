@@ -6,15 +6,24 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _DIR_SETTING = "spark.checkpoint.dir"
+_local_roots: dict[str, str] = {}
 
 
 def staging_root(spark: SparkSession) -> str:
-    """Shared folder named by the cluster; a private one only where none is set."""
+    """Shared folder named by the cluster.
+
+    Only a local session without that setting gets a folder of its own; on a cluster a
+    machine's own folder would not be seen by the other machines.
+    """
     root = spark.conf.get(_DIR_SETTING, None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="lendframe-")
-        spark.conf.set(_DIR_SETTING, root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise ValueError(f"set {_DIR_SETTING} to a folder that all machines share")
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="lendframe-")
+    return _local_roots[context.applicationId]
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
