@@ -10,7 +10,7 @@ import time
 
 from lendframe.checks.registry import Tables
 from lendframe.operators import cache, drift, evaluation, leakage, profiling, scoring, serving
-from lendframe.plans.batch import score_batch
+from lendframe.plans.batch import featured_batch, score_features
 from lendframe.plans.cleaner import clean
 from lendframe.plans.features import FeatureBuilder
 from lendframe.session import local_session
@@ -25,7 +25,7 @@ def clean_training(t):
 
 
 def clean_inference_scored(t):
-    return score_batch(t.applicants, 20000.0)
+    return score_features(featured_batch(t.applicants, 20000.0))
 
 
 def features(t):

@@ -5,17 +5,22 @@ from pyspark.sql import DataFrame
 from lendframe.operators import drift, scoring
 from lendframe.plans.cleaner import clean
 from lendframe.plans.features import add_features
+from lendframe.plans.training import scored_with_models
 from lendframe.sources.files import write_predictions
 from lendframe.staging import staged
 
 
-def score_batch(rows: DataFrame, expense_fallback: float, models=None) -> DataFrame:
-    """Scores of a raw batch; with no models the rules score it."""
-    featured = add_features(clean(rows, training=False), expense_fallback)
+def featured_batch(rows: DataFrame, expense_fallback: float) -> DataFrame:
+    return add_features(clean(rows, training=False), expense_fallback)
+
+
+def score_features(featured: DataFrame, models=None) -> DataFrame:
+    """Scores of feature rows; with no models the rules score them.
+
+    ``models`` is (encoder, classifier, regressor).
+    """
     if models is None:
         return scoring.score_with_rules(featured)
-    from lendframe.plans.training import scored_with_models
-
     encoder, classifier, regressor = models
     return scored_with_models(encoder.transform(featured), classifier, regressor)
 
@@ -25,11 +30,13 @@ def nightly(rows: DataFrame, root: str, date: str, run_id: str, expense_fallback
     """Publishes predictions and returns their path, the summary and the drift row."""
     if rows.isEmpty():
         return {"skipped": "input is empty"}
-    scored = staged(score_batch(rows, expense_fallback, models), "scored")
+    featured = featured_batch(rows, expense_fallback)
+    if reference is not None:
+        # written once, for the scores and for the drift check
+        featured = staged(featured, "features")
+    scored = staged(score_features(featured, models), "scored")
     out = {"path": write_predictions(scored, root, date, run_id),
            "summary": scoring.batch_summary(scored)}
     if reference is not None:
-        out["drift"] = drift.guarded_drift(
-            rows.sparkSession, lambda: reference,
-            lambda: add_features(clean(rows, training=False), expense_fallback))
+        out["drift"] = drift.guarded_drift(rows.sparkSession, lambda: reference, lambda: featured)
     return out

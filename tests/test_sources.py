@@ -81,6 +81,10 @@ def test_nightly_job(spark, sample, tmp_path):
     out = batch.nightly(sample, str(tmp_path / "out"), "2024-01-31", "manual", 1000.0)
     assert spark.read.parquet(out["path"]).count() == 10
     assert out["summary"].first()["total_scored"] == 10
+    reference = batch.featured_batch(sample, 1000.0)
+    watched = batch.nightly(sample, str(tmp_path / "out"), "2024-01-31", "again", 1000.0, reference)
+    report = watched["drift"].first()
+    assert not report["skipped"] and not report["drift_detected"]
     assert batch.nightly(sample.limit(0), str(tmp_path / "none"), "2024-01-31", "r", 1.0) == {
         "skipped": "input is empty"}
 
