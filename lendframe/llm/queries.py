@@ -27,8 +27,42 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), limit=512)
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lendframe.llm import decontaminate
+
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+
+
 QUERIES = {
+    "op5_decontaminate": op5_decontaminate,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_token_counts": op9_token_counts,
 }
-SQL: dict[str, str] = {}
+_WORDS5 = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+SQL: dict[str, str] = {
+    "op5_decontaminate": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS5} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS5} AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS win
+       FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM bw),
+dw AS (SELECT r, i, size, array_to_string(w[i:i + size - 1], ' ') AS win
+       FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, sizes WHERE len(w) >= size)),
+hit AS (SELECT r, i, dw.size, item_id FROM dw JOIN bw USING (size, win)),
+words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + size)) AS p FROM hit) GROUP BY r),
+bj AS (SELECT DISTINCT item_id, j, least(len(w), 10) AS size, array_to_string(w[j:j + least(len(w), 10) - 1], ' ') AS win
+       FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS j FROM b WHERE len(w) > 0)),
+runs AS (SELECT r, max(n) AS longest FROM (
+    SELECT r, max(i + size) - min(i) AS n
+    FROM (SELECT r, item_id, i, size, i - j AS diagonal, i - row_number() OVER (PARTITION BY r, item_id, i - j ORDER BY i) AS island
+          FROM dw JOIN bj USING (size, win))
+    GROUP BY r, item_id, diagonal, island) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+          FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM hit) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated,
+       CAST(coalesce(longest, 0) AS BIGINT) AS longest_match
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r) LEFT JOIN runs USING (r)""",
+}
