@@ -27,6 +27,12 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), limit=512)
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lendframe.llm import suffix_dedup
+
+    return suffix_dedup.report(table(spark, sf_dir, "documents"), length=100)
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lendframe.llm import decontaminate
 
@@ -34,6 +40,7 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_token_counts": op9_token_counts,
@@ -42,6 +49,22 @@ _WORDS5 = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOP
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
 SQL: dict[str, str] = {
+    "op4_suffix_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+s AS (SELECT doc_id, p, substr(h, 2 * p + 1, 200) AS x FROM (SELECT doc_id, h, unnest(range(len(h) // 2 - 99)) AS p FROM d WHERE len(h) >= 200)),
+later AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY x ORDER BY doc_id, p) AS n FROM s) WHERE n > 1),
+spans AS (SELECT doc_id, min(p) AS a, max(p) + 100 AS b FROM (
+    SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS span FROM (
+        SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100 THEN 0 ELSE 1 END AS new FROM later))
+    GROUP BY doc_id, span),
+cuts AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS upto FROM spans),
+kept AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+                string_agg(substr(h, 2 * upto + 1, 2 * (a - upto)), '' ORDER BY a) AS head
+         FROM cuts JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)""",
     "op5_decontaminate": f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS5} AS w FROM documents),
 b AS (SELECT item_id, {_WORDS5} AS w FROM benchmark),
