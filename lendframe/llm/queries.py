@@ -15,6 +15,12 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lendframe.llm import toxicity
+
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lendframe.llm import pieces
 
@@ -48,6 +54,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_decontaminate": op5_decontaminate,
+    "op6_toxicity": op6_toxicity,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_token_counts": op9_token_counts,
     "op10_jaccard_join": op10_jaccard_join,
