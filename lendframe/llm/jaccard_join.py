@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from lendframe.llm.bytes_np import LOWER, U, flat, window_hashes, word_hashes, word_spans
 from lendframe.llm.components import components
 from lendframe.llm.ids import keyed
-from lendframe.llm.packed import BLOB_SCHEMA, bucket_count, bucket_of, by_bucket, column, deal, gathered, mix, unpack
+from lendframe.llm.packed import BLOB_SCHEMA, bucket_count, bucket_of, by_bucket, column, deal, gathered, mix, unpack, unpacked
 from lendframe.llm.token_counts import parts
 from lendframe.staging import staged
 
@@ -168,19 +168,18 @@ def _prefix_entries(texts: DataFrame, estimates: np.ndarray, size: int, percent:
     sent = texts.sparkSession.sparkContext.broadcast(estimates)
 
     def run(batches):
-        for batch in batches:
-            for blob in batch.column("blob").to_pylist():
-                for part in _text_parts(unpack([blob])):
-                    of, hashes, n = shingles(part.column("value"), size)
-                    common = sent.value[(hashes >> U(64 - SKETCH_BITS)).astype(np.int64)]
-                    order = np.lexsort((hashes, common, of))
-                    of, hashes, common = of[order], hashes[order], common[order]
-                    k, length = prefix_lengths(of, common, n, percent)
-                    place = np.arange(len(of)) - (np.cumsum(n) - n)[of]
-                    taken = place < length[of]
-                    of, hashes = of[taken], hashes[taken]
-                    yield from deal(bucket_of(hashes, buckets), {
-                        "shingle": hashes, "uid": column(part, "uid")[of], "size": _size_class(n)[of], "k": k[of].astype(np.uint8)}, ENTRIES)
+        for table in unpacked(batches, PART_BYTES):
+            for part in _text_parts(table):
+                of, hashes, n = shingles(part.column("value"), size)
+                common = sent.value[(hashes >> U(64 - SKETCH_BITS)).astype(np.int64)]
+                order = np.lexsort((hashes, common, of))
+                of, hashes, common = of[order], hashes[order], common[order]
+                k, length = prefix_lengths(of, common, n, percent)
+                place = np.arange(len(of)) - (np.cumsum(n) - n)[of]
+                taken = place < length[of]
+                of, hashes = of[taken], hashes[taken]
+                yield from deal(bucket_of(hashes, buckets), {
+                    "shingle": hashes, "uid": column(part, "uid")[of], "size": _size_class(n)[of], "k": k[of].astype(np.uint8)}, ENTRIES)
 
     return texts.mapInArrow(run, BLOB_SCHEMA)
 
@@ -346,10 +345,8 @@ def _verify(size: int, percent: int, buckets: int):
 def _rows(blobs: DataFrame, columns: list[str]) -> DataFrame:
     """Blobs of whole numbers as plain rows."""
     def run(batches):
-        for batch in batches:
-            for blob in batch.column("blob").to_pylist():
-                t = unpack([blob])
-                yield pa.record_batch([pa.array(column(t, c).astype(np.int64)) for c in columns], names=columns)
+        for t in unpacked(batches):
+            yield pa.record_batch([pa.array(column(t, c).astype(np.int64)) for c in columns], names=columns)
 
     return blobs.select("blob").mapInArrow(run, ", ".join(f"{c} long" for c in columns))
 

@@ -17,12 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 BLOB_SCHEMA = "bucket int, kind int, blob binary"
 _ARROW_SCHEMA = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary())])
 _WRITE = pa.ipc.IpcWriteOptions(compression="zstd")
-#: Buckets for each shuffle partition: small enough to hold one in memory, many enough to balance.
-BUCKETS_PER_PARTITION = 4
 
 
 def bucket_count(spark: SparkSession) -> int:
-    return BUCKETS_PER_PARTITION * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    """One bucket for each shuffle partition: the setting bounds what a task holds, and the number of blobs."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def pack(columns: dict[str, np.ndarray | pa.Array]) -> bytes:
@@ -39,6 +38,20 @@ def unpack(blobs: list[bytes]) -> pa.Table | None:
     return pa.concat_tables(tables).combine_chunks() if tables else None
 
 
+def unpacked(batches: Iterator[pa.RecordBatch], limit_bytes: int = 8 << 20) -> Iterator[pa.Table]:
+    """Records of many blobs of one kind, joined up to a size."""
+    held, size = [], 0
+    for batch in batches:
+        for blob in batch.column("blob").to_pylist():
+            held.append(pa.ipc.open_stream(blob).read_all())
+            size += held[-1].nbytes
+            if size >= limit_bytes:
+                yield pa.concat_tables(held).combine_chunks()
+                held, size = [], 0
+    if held:
+        yield pa.concat_tables(held).combine_chunks()
+
+
 def column(table: pa.Table, name: str) -> np.ndarray:
     return table.column(name).to_numpy()
 
@@ -72,15 +85,18 @@ def deal(bucket: np.ndarray, columns: dict[str, np.ndarray | pa.Array], kind: in
         yield blob_batch(rows)
 
 
-def gathered(batches: Iterator[pa.RecordBatch], limit_bytes: int = 48 << 20) -> Iterator[pa.Table]:
-    """Input batches joined up to a size, so that blobs get large while memory stays bounded."""
+def gathered(batches: Iterator[pa.RecordBatch], limit_bytes: int) -> Iterator[pa.Table]:
+    """Input batches joined or split to about a size, so that blobs get large while memory stays bounded."""
     held, size = [], 0
     for batch in batches:
-        held.append(batch)
-        size += batch.nbytes
-        if size >= limit_bytes:
-            yield pa.Table.from_batches(held).combine_chunks()
-            held, size = [], 0
+        rows = max(1, batch.num_rows * limit_bytes // max(1, batch.nbytes))
+        for a in range(0, batch.num_rows, rows):
+            part = batch.slice(a, rows)
+            if held and size + part.nbytes > limit_bytes:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held, size = [], 0
+            held.append(part)
+            size += part.nbytes
     if held:
         yield pa.Table.from_batches(held).combine_chunks()
 
@@ -105,7 +121,7 @@ def by_bucket(blobs: DataFrame, function, schema: str) -> DataFrame:
 
     Blobs of one bucket meet in one task; a bucket's size is bounded by the number of buckets.
     """
-    def run(table: pa.Table) -> pa.Table:
+    def run(table: pa.Table) -> pa.Table | None:
         kinds, blobs_ = table.column("kind").to_pylist(), table.column("blob").to_pylist()
         by_kind: dict[int, list[bytes]] = {}
         for k, b in zip(kinds, blobs_):
@@ -123,4 +139,6 @@ def by_bucket(blobs: DataFrame, function, schema: str) -> DataFrame:
     kind_of = _parse_datatype_string(schema)
     assert isinstance(kind_of, StructType)
     empty = to_arrow_schema(kind_of).empty_table()
+    # plans show which step a group belongs to
+    guarded.__name__ = function.__qualname__.split(".")[0].strip("_")
     return blobs.groupBy("bucket").applyInArrow(guarded, schema)

@@ -21,6 +21,12 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lendframe.llm import quality
+
+    return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lendframe.llm import pieces
 
@@ -55,6 +61,7 @@ QUERIES = {
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op6_toxicity": op6_toxicity,
+    "op7_quality": op7_quality,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_token_counts": op9_token_counts,
     "op10_jaccard_join": op10_jaccard_join,

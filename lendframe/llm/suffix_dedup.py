@@ -35,7 +35,7 @@ from lendframe.llm.packed import BLOB_SCHEMA, bucket_count, bucket_of, by_bucket
 from lendframe.llm.token_counts import parts
 from lendframe.staging import staged
 
-ANCHOR, PART_BYTES = 40, 4 << 20
+ANCHOR, PART_BYTES = 40, 2 << 20
 TEXTS, SPANS, WANTED, RUNS = range(4)
 _B = 0x9E3779B97F4A7C15
 _VALUE = mix(np.arange(1, 257, dtype=np.uint64) * U(0xD6E8FEB86659FD93)) | U(1)
@@ -264,25 +264,30 @@ def _cut(as_text: bool):
             return
         t = kinds[TEXTS]
         uid = column(t, "uid")
-        data, offsets = flat(t.column("value"))
-        removed = np.zeros(len(data) + 1, np.int32)
-        n_spans = np.zeros(len(uid), np.int64)
+        order = np.argsort(uid)
+        of = begin = end = np.zeros(0, np.int64)
         if SPANS in kinds:
-            doc, start, end = joined(*(column(kinds[SPANS], c).astype(np.int64) for c in ("doc", "start", "end")))
-            order = np.argsort(uid)
+            doc, begin, end = joined(*(column(kinds[SPANS], c).astype(np.int64) for c in ("doc", "start", "end")))
             of = order[np.searchsorted(uid, doc, sorter=order)]
-            np.add.at(removed, offsets[of] + start, 1)
-            np.add.at(removed, offsets[of] + end, -1)
-            n_spans = np.bincount(of, minlength=len(uid))
-        gone = np.cumsum(removed[:-1]) > 0
-        lost = np.append(0, np.cumsum(gone))
-        n_removed = lost[offsets[1:]] - lost[offsets[:-1]]
-        kept = data[~gone].tobytes()
-        ends = (offsets[1:] - lost[offsets[1:]]).tolist()
-        texts = [kept[a:b] for a, b in zip([0, *ends[:-1]], ends)]
-        held = pa.array([x.decode("utf-8", "ignore") for x in texts] if as_text else [hashlib.sha256(x).hexdigest() for x in texts], pa.string())
-        yield pa.record_batch([t.column("row").combine_chunks(), pa.array(np.diff(offsets), pa.int64()), pa.array(n_removed, pa.int64()),
-                               pa.array(n_spans, pa.int64()), held], names=["row", "n_bytes", "n_removed", "n_spans", "kept"])
+            rows = np.argsort(of, kind="stable")
+            of, begin, end = of[rows], begin[rows], end[rows]
+        for a, b in parts(pa.compute.binary_length(t.column("value")).to_pylist(), PART_BYTES):
+            data, offsets = flat(t.column("value").slice(a, b - a))
+            own = slice(np.searchsorted(of, a), np.searchsorted(of, b))
+            n_spans = np.bincount(of[own] - a, minlength=b - a)
+            cut = np.zeros(len(data) + 1, np.int8)
+            # spans of a text neither meet nor touch; those of neighbouring texts may touch, and cancel out
+            np.add.at(cut, offsets[of[own] - a] + begin[own], 1)
+            np.add.at(cut, offsets[of[own] - a] + end[own], -1)
+            gone = np.cumsum(cut[:-1], dtype=np.int8) > 0
+            lost = np.append(0, np.cumsum(gone, dtype=np.int64))[offsets]
+            kept = data[~gone].tobytes()
+            ends = (offsets - lost).tolist()
+            texts = [kept[x:y] for x, y in zip(ends, ends[1:])]
+            held = [x.decode("utf-8", "ignore") for x in texts] if as_text else [hashlib.sha256(x).hexdigest() for x in texts]
+            yield pa.record_batch([t.column("row").slice(a, b - a).combine_chunks(), pa.array(np.diff(offsets), pa.int64()),
+                                   pa.array(np.diff(lost), pa.int64()), pa.array(n_spans, pa.int64()), pa.array(held, pa.string())],
+                                  names=["row", "n_bytes", "n_removed", "n_spans", "kept"])
     return run
 
 
