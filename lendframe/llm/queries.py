@@ -39,6 +39,12 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), limit=512)
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lendframe.llm import embedding_dedup
+
+    return embedding_dedup.report(table(spark, sf_dir, "embeddings"), least=0.9, recall=0.95)
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lendframe.llm import suffix_dedup
 
@@ -58,6 +64,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op6_toxicity": op6_toxicity,
@@ -70,6 +77,15 @@ _WORDS5 = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOP
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
 SQL: dict[str, str] = {
+    "op3_embedding_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+n AS (SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM v),
+ok AS (SELECT * FROM n WHERE norm > 0 AND isfinite(norm)),
+edges AS (SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b ON a.vec_id != b.vec_id AND len(a.e) = len(b.e)
+          WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.9),
+reach AS (SELECT vec_id AS node, vec_id AS seen FROM v UNION SELECT r.node, e.y FROM reach r JOIN edges e ON e.x = r.seen)
+SELECT v.vec_id, (SELECT count(*) FROM edges WHERE x = v.vec_id) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+FROM v JOIN (SELECT node AS vec_id, min(seen) AS component_id FROM reach GROUP BY node) c USING (vec_id)""",
     "op4_suffix_dedup": """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
 s AS (SELECT doc_id, p, substr(h, 2 * p + 1, 200) AS x FROM (SELECT doc_id, h, unnest(range(len(h) // 2 - 99)) AS p FROM d WHERE len(h) >= 200)),
