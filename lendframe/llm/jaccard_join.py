@@ -4,7 +4,7 @@ Documents are sets of word shingles. Sorted by one global order, rare shingles f
 three quarters of the larger one share a shingle in their first quarter. A prefix that is longer by k - 1 shingles shares
 k of them, which fewer pairs do by chance. Each document takes the k with the least estimated cost: the entries that its
 prefix reads, plus the candidates that are left, each of which has to be verified. A pair is a candidate if it shares as
-many prefix shingles as the smaller k of the two asks for.
+many prefix shingles as the smaller k of the two asks for, and as many as sets of their sizes must share there.
 
 1. Exact copies are merged first; one of them stands for all.
 2. How common shingles are is counted over all documents in a sketch of fixed size. It only sets the global order and the
@@ -42,9 +42,6 @@ SKETCH_BITS, LONGEST, PART_BYTES = 20, 8, 8 << 20
 TEXTS, COPIES, SKETCH, ENTRIES, LISTS, PAIRS, WANTED, LABELS, LINKS, TRIED = range(10)
 WORD_BYTES = np.ones(256, bool)
 WORD_BYTES[[9, 10, 11, 12, 13, 32]] = False
-#: Set sizes as steps of 6 percent; similar sets differ by at most this many steps.
-STEP, STEPS_APART = np.log(1.06), 5
-
 
 def shingles(texts, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingles of all texts by text: text number, hash; and how many each text has."""
@@ -69,8 +66,17 @@ def shingles(texts, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return of[new], hashes[new], np.bincount(of[new], minlength=len(offsets) - 1)
 
 
-def _size_class(n: np.ndarray) -> np.ndarray:
-    return np.floor(np.log(np.maximum(n, 1)) / STEP).astype(np.uint8)
+def least_shared(n: np.ndarray, k: np.ndarray, m: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """How many shingles the prefixes of two sets of ``n`` and ``m`` shingles share at least, if the sets are similar.
+
+    Of the whole overlap that similar sets of these sizes need, at most what lies behind one of the two prefixes can be
+    missing in both. Sets of too different sizes get more than any prefix has.
+    """
+    n, m, k, j = (x.astype(np.int64) for x in (n, m, k, j))
+    overlap = -(-percent * (n + m) // (100 + percent))
+    behind = np.maximum(-(-percent * n // 100) - k, -(-percent * m // 100) - j)
+    least = np.maximum(np.minimum(k, j), overlap - behind)
+    return np.where(100 * np.minimum(n, m) >= percent * np.maximum(n, m), least, 1 << 30)
 
 
 def _text_parts(table: pa.Table):
@@ -179,18 +185,18 @@ def _prefix_entries(texts: DataFrame, estimates: np.ndarray, size: int, percent:
                 taken = place < length[of]
                 of, hashes = of[taken], hashes[taken]
                 yield from deal(bucket_of(hashes, buckets), {
-                    "shingle": hashes, "uid": column(part, "uid")[of], "size": _size_class(n)[of], "k": k[of].astype(np.uint8)}, ENTRIES)
+                    "shingle": hashes, "uid": column(part, "uid")[of], "size": n[of].astype(np.uint32), "k": k[of].astype(np.uint8)}, ENTRIES)
 
     return texts.mapInArrow(run, BLOB_SCHEMA)
 
 
-def _count_pairs(x, y, k, buckets: int, kind: int = PAIRS):
-    """Pairs met in one bucket, with how often and the smaller k, dealt by x."""
+def _count_pairs(x, y, least, buckets: int):
+    """Pairs met in one bucket, with how often and how often it takes, dealt by x."""
     order = np.lexsort((y, x))
-    x, y, k = x[order], y[order], k[order]
+    x, y, least = x[order], y[order], least[order]
     first = np.flatnonzero(np.append(True, (x[1:] != x[:-1]) | (y[1:] != y[:-1]))) if len(x) else np.zeros(0, np.int64)
     times = np.diff(np.append(first, len(x)))
-    return deal(bucket_of(x[first], buckets), {"x": x[first], "y": y[first], "k": k[first], "times": times.astype(np.uint32)}, kind)
+    return deal(bucket_of(x[first], buckets), {"x": x[first], "y": y[first], "least": least[first].astype(np.uint32), "times": times.astype(np.uint32)}, PAIRS)
 
 
 def _sorted_lists(t: pa.Table, *more: str):
@@ -202,7 +208,7 @@ def _sorted_lists(t: pa.Table, *more: str):
     return columns, new
 
 
-def _pair_with_first(buckets: int):
+def _pair_with_first(percent: int, buckets: int):
     """Lists of one shingle: every document with the list's first one; the lists with several documents, dealt by document."""
     def run(kinds):
         c, new = _sorted_lists(kinds[ENTRIES])
@@ -210,9 +216,9 @@ def _pair_with_first(buckets: int):
         first = np.flatnonzero(new)
         several = np.bincount(number)[number] > 1
         hub = first[number]
-        near = np.abs(c["size"].astype(np.int16) - c["size"][hub].astype(np.int16)) <= STEPS_APART
-        rows = several & ~new & near
-        yield from _count_pairs(c["uid"][rows], c["uid"][hub[rows]], np.minimum(c["k"], c["k"][hub])[rows], buckets)
+        least = least_shared(c["size"], c["k"], c["size"][hub], c["k"][hub], percent)
+        rows = several & ~new & (least < 1 << 30)
+        yield from _count_pairs(c["uid"][rows], c["uid"][hub[rows]], least[rows], buckets)
         yield from deal(bucket_of(c["uid"][several], buckets), {n: v[several] for n, v in c.items()}, LISTS)
     return run
 
@@ -237,7 +243,7 @@ def _label(buckets: int):
     return run
 
 
-def _pair_components(buckets: int, at_once: int = 2_000_000):
+def _pair_components(percent: int, buckets: int, at_once: int = 2_000_000):
     """Pairs of documents of different components that share a shingle and are of similar size."""
     def run(kinds):
         c, new = _sorted_lists(kinds[ENTRIES], "component")
@@ -248,8 +254,8 @@ def _pair_components(buckets: int, at_once: int = 2_000_000):
         held, count = [], 0
 
         def out():
-            x, y = (np.concatenate(p) for p in zip(*held))
-            return _count_pairs(c["uid"][x], c["uid"][y], np.minimum(c["k"][x], c["k"][y]), buckets)
+            x, y, least = (np.concatenate(p) for p in zip(*held))
+            return _count_pairs(c["uid"][x], c["uid"][y], least, buckets)
 
         # the entry ``step`` places behind each one, for all lists that are long enough
         reach = np.repeat(start + size, size)
@@ -260,10 +266,10 @@ def _pair_components(buckets: int, at_once: int = 2_000_000):
             row, reach = row[live], reach[live]
             for a in range(0, len(row), at_once):
                 y, x = row[a:a + at_once], row[a:a + at_once] + step
-                ok = (c["component"][x] != c["component"][y]) & (
-                    np.abs(c["size"][x].astype(np.int16) - c["size"][y].astype(np.int16)) <= STEPS_APART)
+                least = least_shared(c["size"][x], c["k"][x], c["size"][y], c["k"][y], percent)
+                ok = (c["component"][x] != c["component"][y]) & (least < 1 << 30)
                 if ok.any():
-                    held.append((x[ok], y[ok]))
+                    held.append((x[ok], y[ok], least[ok]))
                     count += int(ok.sum())
                 if count >= at_once:
                     yield from out()
@@ -280,16 +286,17 @@ def _candidates(buckets: int):
         if PAIRS not in kinds:
             return
         t = kinds[PAIRS]
-        x, y, k, times = (column(t, c) for c in ("x", "y", "k", "times"))
+        x, y, least, times = (column(t, c) for c in ("x", "y", "least", "times"))
         tried = np.zeros(len(x), bool)
         if TRIED in kinds:
             old = kinds[TRIED]
             x, y = np.append(x, column(old, "x")), np.append(y, column(old, "y"))
-            k, times, tried = np.append(k, np.ones(old.num_rows, k.dtype)), np.append(times, np.zeros(old.num_rows, times.dtype)), np.append(tried, np.ones(old.num_rows, bool))
+            least, times = (np.append(z, np.zeros(old.num_rows, z.dtype)) for z in (least, times))
+            tried = np.append(tried, np.ones(old.num_rows, bool))
         order = np.lexsort((y, x))
         x, y = x[order], y[order]
         first = np.flatnonzero(np.append(True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])))
-        enough = np.add.reduceat(times[order].astype(np.int64), first) >= np.minimum.reduceat(k[order], first)
+        enough = np.add.reduceat(times[order].astype(np.int64), first) >= np.maximum.reduceat(least[order], first)
         if len(tried):
             enough &= ~np.maximum.reduceat(tried[order], first)
         x, y = x[first][enough], y[first][enough]
@@ -387,12 +394,12 @@ class _Work:
     def joined(self) -> DataFrame:
         """``node`` and ``component`` of the texts that link with another text."""
         entries = _prefix_entries(self.texts, _estimates(self.found), self.size, self.percent, self.buckets)
-        lists = self._kept(by_bucket(entries, _pair_with_first(self.buckets), BLOB_SCHEMA), "lists")
+        lists = self._kept(by_bucket(entries, _pair_with_first(self.percent, self.buckets), BLOB_SCHEMA), "lists")
         first = self._links(self._of(lists, PAIRS), None)
         nodes = staged(components(_rows(self._of(first, LINKS), ["x", "y"]), "x", "y"), "components")
         labels = _blobs(nodes, "node", LABELS, self.buckets)
         labelled = by_bucket(self._of(lists, LISTS).unionByName(labels), _label(self.buckets), BLOB_SCHEMA)
-        rest = by_bucket(labelled, _pair_components(self.buckets), BLOB_SCHEMA)
+        rest = by_bucket(labelled, _pair_components(self.percent, self.buckets), BLOB_SCHEMA)
         second = self._links(rest, self._of(first, TRIED))
         links = nodes.select(F.col("node").alias("x"), F.col("component").alias("y")).unionByName(_rows(self._of(second, LINKS), ["x", "y"]))
         return components(links, "x", "y")

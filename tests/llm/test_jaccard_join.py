@@ -121,3 +121,25 @@ def test_components(spark):
             parent[b] = a
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {i: root(i) for i in list(parent)}
+
+
+def test_similar_sets_share_what_is_asked_for():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    met = 0
+    for _ in range(3000):
+        n = int(rng.integers(1, 40))
+        x = rng.choice(200, n, replace=False)
+        y = np.unique(np.append(rng.choice(x, max(1, n - int(rng.integers(0, 6))), replace=False), rng.choice(200, int(rng.integers(0, 5)), replace=False)))
+        both = len(np.intersect1d(x, y))
+        if 100 * both < 75 * (len(x) + len(y) - both):
+            continue
+        met += 1
+        sets, sizes, ks = [np.sort(x), np.sort(y)], np.array([len(x), len(y)]), rng.integers(1, 5, 2)
+        need = -(-75 * sizes // 100)
+        ks = np.minimum(ks, need)
+        prefixes = [s[:size - w + k] for s, size, w, k in zip(sets, sizes, need, ks)]
+        least = jaccard_join.least_shared(sizes[:1], ks[:1], sizes[1:], ks[1:], 75)[0]
+        assert len(np.intersect1d(*prefixes)) >= least
+    assert met > 500
