@@ -131,6 +131,7 @@ def by_bucket(blobs: DataFrame, function, schema: str) -> DataFrame:
 
     def guarded(table: pa.Table) -> pa.Table:
         made = run(table)
+        pa.default_memory_pool().release_unused()
         return made if made is not None else empty
 
     from pyspark.sql.pandas.types import to_arrow_schema

@@ -35,7 +35,7 @@ from lendframe.llm.packed import BLOB_SCHEMA, bucket_count, bucket_of, by_bucket
 from lendframe.llm.token_counts import parts
 from lendframe.staging import staged
 
-ANCHOR, PART_BYTES = 40, 2 << 20
+ANCHOR, PART_BYTES, SORT_BYTES = 40, 2 << 20, 1 << 20
 TEXTS, SPANS, WANTED, RUNS = range(4)
 _B = 0x9E3779B97F4A7C15
 _VALUE = mix(np.arange(1, 257, dtype=np.uint64) * U(0xD6E8FEB86659FD93)) | U(1)
@@ -244,16 +244,24 @@ def _fetch(length: int, buckets: int):
         ends = np.cumsum(span)
         raw = data[np.repeat(base - (ends - span), span) + np.arange(int(span.sum()))]
         held = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(doc), [None, pa.py_buffer(np.append(0, ends)), pa.py_buffer(raw)])
-        yield from deal(bucket_of(key, buckets), {"doc": doc, "start": start, "size": size, "bytes": held}, RUNS)
+        yield from deal(bucket_of(key, buckets), {"doc": doc, "start": start, "size": size, "key": key, "bytes": held}, RUNS)
     return run
 
 
 def _sort_contexts(length: int, buckets: int):
+    """Contexts of one minimum are sorted together, those of several minima as far as they are few."""
     def run(kinds):
         t = kinds[RUNS]
-        data, offsets = flat(t.column("bytes"))
-        doc, start, size = column(t, "doc"), column(t, "start").astype(np.int64), column(t, "size").astype(np.int64)
-        yield from _span_blobs(repeats(data, offsets, size, doc, start, length), buckets)
+        order = np.argsort(column(t, "key"), kind="stable")
+        key, size = column(t, "key")[order], column(t, "size").astype(np.int64)[order]
+        new = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        bytes_ = np.add.reduceat(size + length - 1, new).tolist()
+        for a, b in parts(bytes_, SORT_BYTES):
+            rows = order[new[a]:new[b] if b < len(new) else len(order)]
+            part = t.take(pa.array(rows)).combine_chunks()
+            data, offsets = flat(part.column("bytes"))
+            doc, start = column(part, "doc"), column(part, "start").astype(np.int64)
+            yield from _span_blobs(repeats(data, offsets, column(part, "size").astype(np.int64), doc, start, length), buckets)
     return run
 
 
