@@ -41,6 +41,12 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), limit=512)
 
 
+def op1_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lendframe.llm import chaining
+
+    return chaining.passages(table(spark, sf_dir, "documents"), least_words=40, least_identity=0.8)
+
+
 def op2_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lendframe.llm import archive
 
@@ -72,6 +78,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chaining": op1_chaining,
     "op2_warc_archive": op2_warc_archive,
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_suffix_dedup": op4_suffix_dedup,
