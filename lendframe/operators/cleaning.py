@@ -120,15 +120,15 @@ def measure(prepared: DataFrame, training: bool = True) -> CleaningStats:
     stats.flag_gates = {c: gates[f"raw_{c}"] for c in raw}
     stats.null_gates = {c: gates[f"null_{c}"] for c in gated}
 
-    rows, kept = training_rows(prepared, training), gates["kept"]
-    measure_first_medians(rows, stats, kept)
+    rows = training_rows(prepared, training)
+    measure_first_medians(rows, stats)
     stats.modes = measure_modes(rows)
-    measure_second_medians(rows, stats, kept)
-    stats.caps = measure_caps(apply_rules(fill_missing(rows, stats), stats), kept)
+    measure_second_medians(rows, stats)
+    stats.caps = measure_caps(apply_rules(fill_missing(rows, stats), stats))
     return stats
 
 
-def measure_first_medians(rows: DataFrame, stats: CleaningStats, count: int | None = None) -> None:
+def measure_first_medians(rows: DataFrame, stats: CleaningStats) -> None:
     """Plain medians, the renters' median, and medians per salary bracket."""
     values = {c: F.col(c) for c in S.NUMERIC_COLUMNS
               if c in rows.columns and c != S.TARGET_AMOUNT
@@ -139,7 +139,7 @@ def measure_first_medians(rows: DataFrame, stats: CleaningStats, count: int | No
     cells = {(c, label): F.when(X.in_salary_bracket("monthly_salary", label), F.col(c))
              for c in BRACKET_FILLED for label in labels}
     found = quantile_map(
-        rows, values | {f"{c}|{label}": e for (c, label), e in cells.items()}, rows=count)
+        rows, values | {f"{c}|{label}": e for (c, label), e in cells.items()})
     stats.medians = {name: found.get((name, 0.5)) for name in values}
     stats.bracket_medians = {
         c: {label: found[f"{c}|{label}", 0.5] for label in labels
@@ -148,13 +148,13 @@ def measure_first_medians(rows: DataFrame, stats: CleaningStats, count: int | No
     }
 
 
-def measure_second_medians(rows: DataFrame, stats: CleaningStats, count: int | None = None) -> None:
+def measure_second_medians(rows: DataFrame, stats: CleaningStats) -> None:
     """Medians that depend on the bracket fill and on the salary fill."""
     salary = F.coalesce(F.col("monthly_salary"), F.lit(stats.medians.get("monthly_salary")))
     values = {c: bracket_filled(c, stats) if stats.null_gates.get(c) else F.col(c)
               for c in BRACKET_FILLED if c in rows.columns}
     values["positive_salary"] = F.when(salary > 0, salary)
-    found = quantile_map(rows, values, rows=count)
+    found = quantile_map(rows, values)
     stats.global_medians = {c: found.get((c, 0.5)) for c in BRACKET_FILLED}
     stats.positive_salary_median = found.get(("positive_salary", 0.5))
 
@@ -179,9 +179,9 @@ def measure_modes(rows: DataFrame) -> dict[str, str]:
     return {r["column"]: r["mode"] for r in best.collect()}
 
 
-def measure_caps(ruled: DataFrame, count: int | None = None) -> dict[str, tuple[float, float]]:
+def measure_caps(ruled: DataFrame) -> dict[str, tuple[float, float]]:
     columns = [c for c in S.CAP_COLUMNS if c in ruled.columns]
-    found = quantile_map(ruled, {c: F.col(c) for c in columns}, S.CAP_PROBABILITIES, count)
+    found = quantile_map(ruled, {c: F.col(c) for c in columns}, S.CAP_PROBABILITIES)
     low, high = S.CAP_PROBABILITIES
     return {c: (found[c, low], found[c, high]) for c in columns if (c, low) in found}
 

@@ -1,35 +1,22 @@
 """Exact order statistics without a global sort or a value map in one task.
 
-Every helper splits the value range into ordered buckets. Bucket totals are small
-(their number depends on the bucket width, not on the data), so running totals over
-buckets are cheap; inside a bucket the rows are few and sorted in parallel. Equal
-values are counted before any shuffle, so a value held by a third of all rows costs
-one row per task.
+Quantiles take two passes: a quantile sketch per key brackets each wanted rank between
+two values of the data, then only the distinct values between them are counted and
+ranked. Running totals split the values of a key at quantiles of its own distinct
+values, so the pieces are of equal size wherever the values lie. Equal values are
+counted before any shuffle, so a value held by a third of all rows costs one row per
+task.
 """
 
 from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# buckets are 1/4096 of a power of e wide: about .02 % of the value
-_BUCKETS_PER_E = 4096
-_SMALLEST = 1e-6
-# above this many hit buckets the second pass joins by shuffle, not by broadcast
-MAX_BROADCAST_BUCKETS = 100_000
-# up to this many rows an exact percentile may keep its value counts in one task
-MAX_VALUE_MAP_ROWS = 1_000_000
-
-
-def value_bucket(value: Column) -> Column:
-    """Order-preserving bucket number, at most some 10^5 per sign for |x| < 10^12.
-
-    Never null, so joins on it add no filter and both join sides keep one plan.
-    """
-    bucket = F.floor(F.asinh(value / F.lit(_SMALLEST)) * F.lit(float(_BUCKETS_PER_E)))
-    return F.coalesce(bucket, F.lit(0))
+# rank error of the sketches: one part of so many
+_ACCURACY = 20_000
+# pieces of a key's values for running totals: a power of two
+_PIECES = 512
 
 
 def long_values(df: DataFrame, values: dict[str, Column]) -> DataFrame:
@@ -38,13 +25,6 @@ def long_values(df: DataFrame, values: dict[str, Column]) -> DataFrame:
         [], list(values), "key", "value")
 
 
-def local_frame(spark, rows: list, schema: T.StructType) -> DataFrame:
-    """A small frame of rows already on the driver, without a job to read it."""
-    names = schema.names
-    columns = {n: [r[n] for r in rows] for n in names}
-    return spark.createDataFrame(pa.table(columns), schema)
-
-
 def exact_quantiles(
     df: DataFrame,
     probabilities: Sequence[float],
@@ -53,79 +33,54 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linear-interpolated quantiles per key: ``(*keys, probability, quantile)``.
 
-    First pass counts buckets, which tells the buckets holding the wanted ranks;
-    second pass counts distinct values of those buckets only.
+    The sketch brackets each rank by two values of the data, at most four parts in
+    ``_ACCURACY`` apart. What lies below or above counts as one row with its nearest
+    value, since a rank may fall one place beside the bracket.
     """
-    spark, keys = df.sparkSession, list(keys)
-    # keys may be null (a null group); -0.0 and 0.0 fall in one bucket
-    source = (df.select(*keys, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
-              .withColumn("_b", value_bucket(F.col("_v"))))
-    by_key = Window.partitionBy(*keys)
-    buckets = (
-        source.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_upto", F.sum("_n").over(by_key.orderBy("_b").rowsBetween(
-            Window.unboundedPreceding, Window.currentRow)))
-        .withColumn("_total", F.sum("_n").over(by_key))
+    keys, probabilities = list(keys), [float(p) for p in probabilities]
+    # keys may be null (a null group); -0.0 and 0.0 are one value
+    source = df.select(*keys, (F.col(value).cast("double") + F.lit(0.0)).alias("_v")).filter("_v IS NOT NULL")
+    edge = 2.0 / _ACCURACY
+    bounds = [min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-edge, edge)]
+    sketch = source.groupBy(*keys).agg(
+        F.percentile_approx("_v", bounds, _ACCURACY).alias("_q"), F.count(F.lit(1)).alias("_total"))
+    wanted = [F.struct(F.lit(p).alias("probability"), F.get("_q", F.lit(2 * i)).alias("_from"),
+                       F.get("_q", F.lit(2 * i + 1)).alias("_to")) for i, p in enumerate(probabilities)]
+    sketch = sketch.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_total", F.array(*wanted).alias("_wanted"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    each = source.join(sketch, same).select(*keys, "_v", "_total", F.inline("_wanted"))
+    zone = F.when(F.col("_v") < F.col("_from"), -1).when(F.col("_v") > F.col("_to"), 1).otherwise(0)
+    counted = (
+        each.withColumn("_zone", zone).withColumn("_at", F.when(F.col("_zone") == 0, F.col("_v")))
+        .groupBy(*keys, "probability", "_total", "_zone", "_at")
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
     )
-    position = (F.col("_total") - 1) * F.col("probability")
-    hits = (
-        buckets.withColumn("probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
-        .withColumn("_low", F.floor(position)).withColumn("_high", F.ceil(position))
-        .withColumn("_part", position - F.floor(position))
+    order = Window.partitionBy(*keys, "probability").orderBy("_zone", "_at")
+    ranked = (
+        counted.withColumn("_upto", F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
         .withColumn("_start", F.col("_upto") - F.col("_n"))
-        .filter(_holds("_low", "_start", "_upto") | _holds("_high", "_start", "_upto"))
-        .select(*[F.col(k).alias(f"_h_{k}") for k in keys], F.col("_b").alias("_h_b"),
-                "probability", "_low", "_high", "_part", "_start")
-    )
-    # the size is checked before anything is broadcast
-    known = hits.take(MAX_BROADCAST_BUCKETS + 1)
-    small = len(known) <= MAX_BROADCAST_BUCKETS
-    place = [*[f"_h_{k}" for k in keys], "_h_b", "_start"]
-    wanted = hits.select(*place).distinct()
-    if small:
-        places = {tuple(r[c] for c in place): r for r in known}.values()
-        wanted = local_frame(spark, list(places), wanted.schema)
-        hits = local_frame(spark, known, hits.schema)
-    side = F.broadcast if small else (lambda frame: frame)
-    same = F.col("_b") == F.col("_h_b")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_h_{k}"))
-    fine = (
-        source.join(side(wanted), same)
-        .groupBy(*keys, "_b", F.col("_start").alias("_s"), "_v").agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_upto", F.col("_s") + F.sum("_n").over(
-            Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(
-                Window.unboundedPreceding, Window.currentRow)))
-        .withColumn("_from", F.col("_upto") - F.col("_n"))
+        .withColumn("_value", F.when(F.col("_zone") < 0, F.col("_most")).otherwise(F.col("_least")))
+        .withColumn("_position", (F.col("_total") - 1) * F.col("probability"))
     )
-    found = fine.join(side(hits), same).groupBy(*keys, "probability", "_part").agg(
-        F.max(F.when(_holds("_low", "_from", "_upto"), F.col("_v"))).alias("_lo"),
-        F.max(F.when(_holds("_high", "_from", "_upto"), F.col("_v"))).alias("_hi"),
+    found = ranked.groupBy(*keys, "probability", "_position").agg(
+        F.max(F.when(_holds(F.floor("_position")), F.col("_value"))).alias("_lo"),
+        F.max(F.when(_holds(F.ceil("_position")), F.col("_value"))).alias("_hi"),
     )
-    # from the nearer neighbour, as the column libraries do, so that equal ends stay equal
-    step, part = F.col("_hi") - F.col("_lo"), F.col("_part")
-    between = F.when(part < 0.5, F.col("_lo") + step * part).otherwise(F.col("_hi") - step * (1 - part))
+    part = F.col("_position") - F.floor("_position")
+    # equal ends stay equal
+    between = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(
+        F.col("_lo") * (1 - part) + F.col("_hi") * part)
     return found.select(*keys, "probability", between.alias("quantile"))
 
 
-def _holds(rank: str, start: str, end: str) -> Column:
-    return (F.col(rank) >= F.col(start)) & (F.col(rank) < F.col(end))
-
+def _holds(rank: Column) -> Column:
+    return (rank >= F.col("_start")) & (rank < F.col("_upto"))
 
-def quantile_map(
-    df: DataFrame, values: dict[str, Column], probabilities=(0.5,), rows: int | None = None
-) -> dict:
-    """``{(name, probability): quantile}`` on the driver: one float per name and rank.
 
-    With a checked row count small enough for one task's value map, one built-in
-    aggregate does; otherwise, or when the count is unknown, the bucket passes do.
-    """
-    if rows is not None and rows <= MAX_VALUE_MAP_ROWS:
-        ranks = F.array(*[F.lit(float(p)) for p in probabilities])
-        found = df.agg(*[F.percentile(e.cast("double"), ranks).alias(name)
-                         for name, e in values.items()]).first()
-        return {(name, p): q for name in values if found[name] is not None
-                for p, q in zip(probabilities, found[name])}
+def quantile_map(df: DataFrame, values: dict[str, Column], probabilities=(0.5,)) -> dict:
+    """``{(name, probability): quantile}`` on the driver: one float per name and rank."""
     found = exact_quantiles(long_values(df, values), probabilities).collect()
     return {(r["key"], r["probability"]): r["quantile"] for r in found}
 
@@ -140,6 +95,26 @@ def group_medians(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> D
     ])
 
 
+def in_pieces(counted: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """``_b``: the piece of its key's values that each distinct value falls in.
+
+    Pieces are cut at quantiles of the key's distinct values. The piece of a value is
+    found by a binary search in the array of cuts, one step a projection.
+    """
+    cuts = counted.groupBy(*keys).agg(F.percentile_approx(
+        F.col(value).cast("double"), [i / _PIECES for i in range(1, _PIECES)], 20 * _PIECES).alias("_cuts"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    rows = counted.join(cuts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_cuts"), same).withColumn("_b", F.lit(0))
+    step = _PIECES // 2
+    while step:
+        below = F.coalesce(F.get("_cuts", F.col("_b") + (step - 1)) <= F.col(value), F.lit(False))
+        rows = rows.withColumn("_b", F.col("_b") + below.cast("int") * step)
+        step //= 2
+    return rows.drop("_cuts", *[f"_k_{k}" for k in keys])
+
+
 def running_counts(
     counted: DataFrame, keys: Sequence[str], value: str, counts: Sequence[str]
 ) -> DataFrame:
@@ -149,7 +124,7 @@ def running_counts(
     ``<c>_total`` per count column and ``next_value``.
     """
     keys = list(keys)
-    rows = counted.withColumn("_b", value_bucket(F.col(value)))
+    rows = in_pieces(counted, keys, value)
     by_key = Window.partitionBy(*keys).orderBy("_b")
     totals = rows.groupBy(*keys, "_b").agg(
         *[F.sum(c).alias(f"_s_{c}") for c in counts], F.min(value).alias("_first"))

@@ -79,8 +79,8 @@ def log_features() -> dict[str, Column]:
     }
 
 
-def fit_expense_fallback(df: DataFrame, rows: int | None = None) -> float | None:
-    return quantile_map(df, {"expenses": total_expenses()}, rows=rows).get(("expenses", 0.5))
+def fit_expense_fallback(df: DataFrame) -> float | None:
+    return quantile_map(df, {"expenses": total_expenses()}).get(("expenses", 0.5))
 
 
 def add_features(df: DataFrame, expense_fallback: float | None) -> DataFrame:
@@ -96,7 +96,7 @@ class FeatureBuilder(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     def _fit(self, df: DataFrame) -> "FeatureBuilderModel":
         # one column is written, so the two rank passes do not repeat what made the rows
         sums = staged(df.select(total_expenses().alias("expenses")), "expenses")
-        fallback = quantile_map(sums, {"expenses": F.col("expenses")}, rows=sums.count()).get(("expenses", 0.5))
+        fallback = quantile_map(sums, {"expenses": F.col("expenses")}).get(("expenses", 0.5))
         return FeatureBuilderModel()._set(expenseFallback=0.0 if fallback is None else fallback)
 
 

@@ -156,17 +156,6 @@ def test_statistics_of_an_empty_batch(table):
     assert clean(empty).count() == 0
 
 
-def test_stats_by_buckets_equal_stats_by_one_aggregate(sample, monkeypatch):
-    from lendframe.operators import ranks
-
-    prepared = C.prepare(sample)
-    small = C.measure(prepared)
-    monkeypatch.setattr(ranks, "MAX_VALUE_MAP_ROWS", 0)
-    large = C.measure(prepared)
-    assert small.modes == large.modes and small.medians == pytest.approx(large.medians, nan_ok=True)
-    assert {c: pytest.approx(v) for c, v in small.caps.items()} == large.caps
-
-
 def test_dirty_values_are_listed(table):
     df = table(dict(age="30.0.0"), dict(age="30.0.0"), dict(monthly_salary="n/a"), {})
     assert {tuple(r) for r in P.dirty_values(df).collect()} == {

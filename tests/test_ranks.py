@@ -33,10 +33,10 @@ def groups():
     }
 
 
-@pytest.mark.parametrize("broadcast_limit", [ranks.MAX_BROADCAST_BUCKETS, 0])
-def test_quantiles_equal_linear_interpolation(spark, monkeypatch, groups, broadcast_limit):
-    """Also with the broadcast refused, when the second pass joins by shuffle."""
-    monkeypatch.setattr(ranks, "MAX_BROADCAST_BUCKETS", broadcast_limit)
+@pytest.mark.parametrize("accuracy", [ranks._ACCURACY, 50])
+def test_quantiles_equal_linear_interpolation(spark, monkeypatch, groups, accuracy):
+    """Also with a coarse sketch, whose brackets hold many values."""
+    monkeypatch.setattr(ranks, "_ACCURACY", accuracy)
     found = quantiles(frame(spark, groups))
     for key, values in groups.items():
         clean = [v for v in values if v is not None]
@@ -53,23 +53,28 @@ def test_all_null_or_empty_gives_no_rows(spark):
     assert quantiles(frame(spark, {"x": [None, None]})) == {}
 
 
-def test_both_ways_of_the_quantile_map_agree(spark):
+def test_quantile_map(spark):
     rng = np.random.RandomState(1)
-    df = spark.createDataFrame([(float(a), float(b)) for a, b in rng.randn(700, 2)], "a double, b double")
-    values = {"a": F.col("a"), "b": F.col("b"), "none": F.lit(None).cast("double")}
-    built_in = ranks.quantile_map(df, values, (0.01, 0.5), rows=700)
-    by_buckets = ranks.quantile_map(df, values, (0.01, 0.5), rows=ranks.MAX_VALUE_MAP_ROWS + 1)
-    assert built_in.keys() == by_buckets.keys() and ("none", 0.5) not in built_in
-    assert all(np.isclose(built_in[k], by_buckets[k], rtol=1e-12) for k in built_in)
+    data = rng.randn(700, 2)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in data], "a double, b double")
+    found = ranks.quantile_map(df, {"a": F.col("a"), "b": F.col("b"), "none": F.lit(None).cast("double")}, (0.01, 0.5))
+    assert ("none", 0.5) not in found
+    for i, c in enumerate("ab"):
+        for p in (0.01, 0.5):
+            assert np.isclose(found[c, p], np.quantile(data[:, i], p), rtol=1e-12)
 
 
-def test_buckets_keep_the_order(spark):
+@pytest.mark.parametrize("name", ["close", "two_ends", "wide"])
+def test_pieces_keep_the_order_and_are_even(spark, name):
     rng = np.random.RandomState(2)
-    values = sorted(np.concatenate([rng.randn(500) * 10.0 ** e for e in range(-8, 13, 4)]))
-    rows = spark.createDataFrame([(float(v),) for v in values], "v double").select(
-        "v", ranks.value_bucket(F.col("v")).alias("b")).collect()
-    numbers = [b for _, b in sorted((r["v"], r["b"]) for r in rows)]
+    values = {"close": 1 - rng.rand(6000) * 1e-3, "two_ends": np.append(rng.rand(3000) * 1e-4, 1 - rng.rand(3000) * 1e-4),
+              "wide": np.concatenate([rng.randn(1200) * 10.0 ** e for e in range(-8, 13, 5)])}[name]
+    df = spark.createDataFrame([("k", float(v)) for v in values], "k string, v double")
+    rows = sorted((r.v, r._b) for r in ranks.in_pieces(df, ["k"], "v").collect())
+    numbers = [b for _, b in rows]
     assert numbers == sorted(numbers)
+    sizes = np.bincount(numbers)
+    assert len(sizes) == ranks._PIECES and sizes.max() <= 2 * len(values) / ranks._PIECES + 1
 
 
 def test_running_counts(spark):
