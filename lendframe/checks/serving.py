@@ -93,16 +93,36 @@ def latency_delta(t):
     return serving.latency_delta(t.requests).select("event_id", "user_id", "seconds", "delta")
 
 
+@check("latency_delta_null", _events("""
+SELECT event_id, round(seconds - lag(seconds) OVER (PARTITION BY CASE WHEN event_id % 5 > 0 THEN user_id END ORDER BY ts, event_id), 6) AS delta
+FROM requests""", Q.REQUESTS))
+def latency_delta_null(t):
+    """Requests without a session are one session."""
+    rows = t.requests.withColumn("user_id", F.when(F.col("event_id") % 5 > 0, F.col("user_id")))
+    return serving.latency_delta(rows).select("event_id", "delta")
+
+
 @check("cache_replay", REPLAY)
 def cache_replay(t):
     return cache.replay(t.events).select("event_id", "user_id", "cache_hit")
 
 
-@check("cache_replay_busy", REPLAY)
+@check("cache_replay_busy", _events("SELECT event_id, user_id, cache_hit FROM replayed",
+                                    "busy AS (SELECT event_id, user_id % 3 AS user_id, ts FROM events)",
+                                    Q.MISSES.replace("events", "busy"), recursive=True))
 def cache_replay_busy(t):
-    """The way of busy keys, taken for all keys of more than 60 events."""
-    misses = cache.replay_misses(t.events, gathered=60)
-    return cache.mark_hits(t.events, misses).select("event_id", "user_id", "cache_hit")
+    """All events under three keys."""
+    busy = t.events.select("event_id", (F.col("user_id") % 3).alias("user_id"), "ts")
+    return cache.replay(busy).select("event_id", "user_id", "cache_hit")
+
+
+@check("cache_replay_null", _events("SELECT event_id, user_id, user_id IS NOT NULL AND cache_hit AS cache_hit FROM replayed",
+                                    "partly AS (SELECT event_id, CASE WHEN event_id % 7 > 0 THEN user_id END AS user_id, ts FROM events)",
+                                    Q.MISSES.replace("events", "partly"), recursive=True))
+def cache_replay_null(t):
+    """Events without a key are misses."""
+    partly = t.events.select("event_id", F.when(F.col("event_id") % 7 > 0, F.col("user_id")).alias("user_id"), "ts")
+    return cache.replay(partly).select("event_id", "user_id", "cache_hit")
 
 
 @check("cache_hit_rate", _events(f"""
@@ -146,9 +166,11 @@ def stream_cache_replay(t):
     rows = table(t.spark, t.sf_dir, "events")
     low, high = rows.agg(F.min("ts"), F.max("ts")).first()
     middle = F.lit(low + (high - low) / 2)
-    rows.filter(F.col("ts") < middle).coalesce(1).write.parquet(folder)
-    rows.filter(F.col("ts") >= middle).coalesce(1).write.mode("append").parquet(folder)
-    stream = jobs.event_stream(t.spark, folder, "*.parquet", files_per_batch=1)
+    # a folder for each half, so that both are of any number of files
+    rows.filter(F.col("ts") < middle).write.parquet(folder)
+    early = len(rows.sparkSession.read.format("binaryFile").load(folder).select("path").collect())
+    rows.filter(F.col("ts") >= middle).write.mode("append").parquet(folder)
+    stream = jobs.event_stream(t.spark, folder, "*.parquet", files_per_batch=max(1, early))
     return jobs.stream_replay(stream).select("event_id", "user_id", "cache_hit")
 
 

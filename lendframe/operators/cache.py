@@ -1,8 +1,6 @@
 """Feature cache as a keyed table: keys, payloads, upserts, lookups, expiry, replay."""
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,10 +11,22 @@ from lendframe.staging import staged
 _MICROS = 1_000_000
 
 
+def customer_digest(customer: Column | str) -> Column:
+    """What entries are keyed by: the whole hash of the id. The plain id is never stored.
+
+    Null and blank ids have none.
+    """
+    text = X.col(customer).cast("string")
+    return F.when(X.strip(text) != "", F.sha2(text, 256))
+
+
 def cache_key(customer: Column | str) -> Column:
-    """Prefix and a hash part; the plain id is never stored."""
-    digest = F.substring(F.sha2(X.col(customer).cast("string"), 256), 1, S.CACHE_HASH_CHARS)
-    return F.concat(F.lit(f"{S.CACHE_PREFIX}:"), digest)
+    """The published short name of an entry: prefix and a part of the hash. Nothing is joined by it."""
+    return _short(F.sha2(X.col(customer).cast("string"), 256))
+
+
+def _short(digest: Column) -> Column:
+    return F.concat(F.lit(f"{S.CACHE_PREFIX}:"), F.substring(digest, 1, S.CACHE_HASH_CHARS))
 
 
 def payload_text(df: DataFrame, columns, exact: bool = False) -> Column:
@@ -35,20 +45,31 @@ def payload_text(df: DataFrame, columns, exact: bool = False) -> Column:
 
 
 def content_key(df: DataFrame, columns) -> Column:
-    """Key of a request by its content, over the columns in sorted order."""
-    digest = F.sha2(payload_text(df, sorted(columns)), 256)
-    return F.concat(F.lit("UI-"), F.substring(digest, 1, 12))
+    """Published short name of a request by its content, over the columns in sorted order."""
+    return F.concat(F.lit("UI-"), F.substring(content_digest(df, columns), 1, 12))
+
+
+def content_digest(df: DataFrame, columns) -> Column:
+    """What requests without an id are told apart by."""
+    return F.sha2(payload_text(df, sorted(columns)), 256)
 
 
 def batch_write(df: DataFrame, columns, customer: str = "customer_id",
                 sequence: str = "application_id", ttl: int = S.CACHE_TTL_SECONDS,
                 written_at: Column | None = None, exact: bool = False) -> DataFrame:
-    """One entry per customer with a usable id; the later row wins."""
-    usable = df.filter(_usable(customer))
-    rows = usable.select(cache_key(X.strip(F.col(customer).cast("string"))).alias("cache_key"),
-                         F.col(sequence).alias("seq"), payload_text(df, columns, exact).alias("payload"))
-    entries = rows.groupBy("cache_key").agg(F.max_by("payload", "seq").alias("payload"),
-                                            F.max("seq").alias("seq"))
+    """One entry per customer with a usable id; the later row wins.
+
+    The last sequence per customer is a hashed aggregate over narrow rows; payloads
+    are written only for the rows that win. Ties take the largest payload.
+    """
+    usable = df.filter(_usable(customer)).withColumn(
+        "digest", customer_digest(X.strip(F.col(customer).cast("string"))))
+    last = usable.groupBy(F.col("digest").alias("_digest")).agg(F.max(sequence).alias("_seq"))
+    won = usable.join(last, (F.col("digest") == F.col("_digest")) & F.col(sequence).eqNullSafe(F.col("_seq")))
+    rows = won.select("digest", F.col(sequence).alias("seq"), payload_text(df, columns, exact).alias("payload"))
+    order = Window.partitionBy("digest").orderBy(F.col("payload").desc())
+    entries = rows.withColumn("_n", F.row_number().over(order)).filter("_n = 1").select(
+        "digest", _short(F.col("digest")).alias("cache_key"), "payload", "seq")
     return with_expiry(entries, written_at, ttl)
 
 
@@ -69,23 +90,25 @@ def write_counts(df: DataFrame, customer: str = "customer_id") -> DataFrame:
 
 
 def upsert(store: DataFrame, entries: DataFrame) -> DataFrame:
-    """New entries replace stored ones of the same key."""
-    both = store.withColumn("_new", F.lit(0)).unionByName(entries.withColumn("_new", F.lit(1)))
-    rest = [c for c in store.columns if c != "cache_key"]
-    last = F.max_by(F.struct(*rest), "_new").alias("_e")
-    return both.groupBy("cache_key").agg(last).select("cache_key", "_e.*")
+    """New entries replace stored ones of the same customer."""
+    kept = store.join(entries.select("digest"), "digest", "left_anti")
+    return kept.select(*store.columns).unionByName(entries.select(*store.columns))
 
 
 def lookup(requests: DataFrame, store: DataFrame, now: Column, customer: str = "customer_id") -> DataFrame:
-    """Requests with their stored payload, or null where none is alive."""
-    live = store.filter(F.col("expires_at") > now).select("cache_key", F.col("payload").alias("cached"))
-    return requests.withColumn("cache_key", cache_key(customer)).join(
-        live, "cache_key", "left").withColumn("cache_hit", F.col("cached").isNotNull())
+    """Requests with their stored payload, or null where none is alive.
+
+    Requests without an id go past the join, so they do not meet in one task.
+    """
+    live = store.filter(F.col("expires_at") > now).select(F.col("digest").alias("_digest"), F.col("payload").alias("cached"))
+    named = requests.withColumn("cache_key", cache_key(customer)).withColumn("_own", customer_digest(customer))
+    found = named.filter("_own IS NOT NULL").join(live, F.col("_own") == F.col("_digest"), "left").drop("_own", "_digest")
+    rest = named.filter("_own IS NULL").withColumn("cached", F.lit(None).cast("string")).drop("_own")
+    return found.unionByName(rest).withColumn("cache_hit", F.col("cached").isNotNull())
 
 
 def uncached(requests: DataFrame, store: DataFrame, now: Column, customer: str = "customer_id") -> DataFrame:
-    live = store.filter(F.col("expires_at") > now).select("cache_key")
-    return requests.withColumn("cache_key", cache_key(customer)).join(live, "cache_key", "left_anti")
+    return lookup(requests, store, now, customer).filter(~F.col("cache_hit")).drop("cached", "cache_hit")
 
 
 def restored(rows: DataFrame, schema: T.StructType, payload: str = "cached") -> DataFrame:
@@ -99,106 +122,91 @@ def restored(rows: DataFrame, schema: T.StructType, payload: str = "cached") ->
 
 def invalidate(store: DataFrame, customers: DataFrame, customer: str = "customer_id") -> DataFrame:
     """The store without the listed customers."""
-    gone = customers.select(cache_key(customer).alias("cache_key")).distinct()
-    return store.join(gone, "cache_key", "left_anti")
+    gone = customers.select(customer_digest(customer).alias("digest"))
+    return store.join(gone, "digest", "left_anti")
 
 
 def invalidated(store: DataFrame, customers: DataFrame, customer: str = "customer_id") -> DataFrame:
-    """Per listed key, whether there was an entry to delete."""
-    gone = customers.select(cache_key(customer).alias("cache_key")).distinct()
-    return gone.join(store.select("cache_key", F.lit(True).alias("deleted")), "cache_key", "left").select(
-        "cache_key", F.coalesce("deleted", F.lit(False)).alias("deleted"))
+    """Per listed customer, whether there was an entry to delete."""
+    gone = customers.select(customer_digest(customer).alias("digest")).filter("digest IS NOT NULL").distinct()
+    return gone.join(store.select("digest", F.lit(True).alias("deleted")), "digest", "left").select(
+        _short(F.col("digest")).alias("cache_key"), F.coalesce("deleted", F.lit(False)).alias("deleted"))
 
 
 # --- replay -----------------------------------------------------------------
-# keys with more events than this are walked by time cells, not gathered in an array
-GATHERED_EVENTS = 20_000
-CELLS_PER_STAGE = 4
+def following(events: DataFrame, starts: DataFrame, key: str, order: str, ttl: int) -> DataFrame:
+    """For each start (``key``, ``_at``, ``_id``) the first event a lifetime or more later: ``_next_at``, ``_next_id``.
+
+    Time is cut into cells of one lifetime. A lifetime after a start lies in the cell
+    behind its own: the answer is the next event there, by a running window over key
+    and cell, or the first event of the next filled cell, by a window over the cells.
+    """
+    width = ttl * _MICROS
+    kind = events.schema[order].dataType.simpleString()
+    event = F.struct(F.col("_at").alias("at"), F.col("_id").alias("id"))
+    rows = events.select(key, F.col("_at").alias("_when"), F.lit(0).alias("_asks"), F.lit(None).cast("long").alias("_at"),
+                         F.lit(None).cast(kind).alias("_id"), event.alias("_event"))
+    asks = starts.select(key, (F.col("_at") + width).alias("_when"), F.lit(1).alias("_asks"), "_at", "_id",
+                         F.lit(None).cast(rows.schema["_event"].dataType).alias("_event"))
+    both = rows.unionByName(asks).withColumn("_cell", F.expr(f"_when div {width}") - F.when(F.col("_when") < 0, 1).otherwise(0))
+    # from the latest on; an event at the very time of a question comes before it, the first by order last
+    back = Window.partitionBy(key, "_cell").orderBy(F.col("_when").desc(), "_asks", F.col("_event.id").desc())
+    here = F.last("_event", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    firsts = both.groupBy(key, "_cell").agg(F.min(F.when(F.col("_asks") == 0, F.col("_event"))).alias("_first"))
+    later = Window.partitionBy(key).orderBy(F.col("_cell").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    firsts = firsts.select(key, "_cell", F.last("_first", ignorenulls=True).over(later).alias("_beyond"))
+    found = both.withColumn("_here", here).filter("_asks = 1").join(firsts, [key, "_cell"])
+    answer = F.coalesce("_here", "_beyond")
+    return found.select(key, "_at", "_id", answer["at"].alias("_next_at"), answer["id"].alias("_next_id"))
 
 
 def replay_misses(events: DataFrame, key: str = "user_id", ts: str = "ts",
                   order: str = "event_id", ttl: int = S.CACHE_TTL_SECONDS,
-                  prior: DataFrame | None = None, gathered: int = GATHERED_EVENTS) -> DataFrame:
+                  prior: DataFrame | None = None) -> DataFrame:
     """The events that miss: ``(key, _at, order)``, times in microseconds.
 
     An entry lives ``ttl`` from its miss, and hits do not renew it. ``prior`` holds the
-    last miss per key of earlier data. Keys of few events are folded over their sorted
-    events; the size of that array is checked first, and busy keys go another way.
-    """
-    rows = events.select(key, F.unix_micros(ts).alias("_at"), order)
-    busy = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(
-        F.col("_n") > gathered).select(key)
-    if busy.isEmpty():
-        return _folded_misses(rows, key, order, ttl, prior)
-    busy = staged(busy, "busy-keys")
-    return _folded_misses(rows.join(busy, key, "left_anti"), key, order, ttl, prior).unionByName(
-        _walked_misses(rows.join(busy, key, "left_semi"), key, order, ttl, prior))
-
+    last miss per key of earlier data. Events without a key are never stored, so all
+    of them miss.
 
-def _folded_misses(rows: DataFrame, key: str, order: str, ttl: int, prior: DataFrame | None) -> DataFrame:
-    width = ttl * _MICROS
-    kind = f"struct<_at:bigint,{order}:{rows.schema[order].dataType.simpleString()}>"
-    lists = rows.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_at", order))).alias("_list"))
-    if prior is None:
-        lists = lists.withColumn("_until", F.lit(None).cast("long"))
-    else:
-        ends = prior.groupBy(key).agg((F.max("_at") + width).alias("_until"))
-        lists = lists.join(ends, key, "left")
-
-    def step(state, event):
-        missed = F.struct((event["_at"] + width).alias("until"),
-                          F.array_append(state["misses"], event).alias("misses"))
-        return F.when(state["until"].isNull() | (event["_at"] >= state["until"]), missed).otherwise(state)
-
-    start = F.struct(F.col("_until").alias("until"), F.array().cast(f"array<{kind}>").alias("misses"))
-    misses = F.aggregate("_list", start, step, lambda state: state["misses"])
-    return lists.select(key, F.inline(misses))
-
-
-def _walked_misses(rows: DataFrame, key: str, order: str, ttl: int, prior: DataFrame | None) -> DataFrame:
-    """The same rule for keys of any number of events.
-
-    Time is cut into cells of one lifetime, so a key misses at most once per cell: at
-    its first event not covered by the miss of the cell before. That is a minimum per
-    key and cell, combined in each task. Cells are walked in order, a few per job,
-    reading one cell's events at a time.
+    A key's misses are the chain from its first event to the first event a lifetime
+    later, and so on. All events point to their successor; the chain is marked by
+    doubling the pointers, so the rounds are the logarithm of the longest chain, and a
+    busy key's events are spread by time.
     """
-    width = ttl * _MICROS
-    # written by cell once: every step then reads only the files of its own cell
-    slim = staged(rows.withColumn("_cell", F.floor(F.col("_at") / F.lit(width))),
-                  "replay-events", ["_cell"])
-    low, high = slim.agg(F.min("_cell"), F.max("_cell")).first()
-    if low is None:
-        return rows
-    parts, chunk = [], []
-    last = None if prior is None else prior.groupBy(key).agg(F.max("_at").alias("_at"))
-    for cell in range(low, high + 1):
-        here = slim.filter(F.col("_cell") == cell)
-        if last is not None:
-            covered = last.select(key, (F.col("_at") + width).alias("_until"))
-            here = here.join(covered, key, "left").filter(
-                F.col("_until").isNull() | (F.col("_at") >= F.col("_until")))
-        # the earliest event, and among events of that instant the first by order
-        first = F.min(F.struct("_at", order))
-        missed = here.groupBy(key).agg(first.alias("_m")).select(
-            key, F.col("_m._at").alias("_at"), F.col(f"_m.{order}").alias(order),
-            F.lit(cell).cast("long").alias("_cell"))
-        chunk.append(missed)
-        last = missed.select(key, "_at")
-        if cell == low and prior is not None:
-            last = last.unionByName(prior.select(key, "_at")).groupBy(key).agg(F.max("_at").alias("_at"))
-        elif len(chunk) >= CELLS_PER_STAGE or cell == high:
-            done = staged(reduce(DataFrame.unionByName, chunk), "replay-misses")
-            parts.append(done)
-            last, chunk = done.filter(F.col("_cell") == cell).select(key, "_at"), []
-    return reduce(DataFrame.unionByName, parts + chunk).select(key, "_at", order)
+    rows = events.select(key, F.unix_micros(ts).alias("_at"), F.col(order).alias("_id"))
+    nameless = rows.filter(F.col(key).isNull())
+    rows = rows.filter(F.col(key).isNotNull())
+    heads = rows.groupBy(key).agg(F.min(F.struct("_at", "_id")).alias("_h")).select(key, "_h._at", "_h._id")
+    if prior is not None:
+        known = prior.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max("_at").alias("_at"))
+        asked = known.withColumn("_id", F.lit(None).cast(rows.schema["_id"].dataType))
+        again = following(rows, asked, key, order="_id", ttl=ttl).filter("_next_at IS NOT NULL").select(
+            key, F.col("_next_at").alias("_at"), F.col("_next_id").alias("_id"))
+        heads = heads.join(known.select(key), key, "left_anti").unionByName(again)
+    head = heads.withColumn("_miss", F.lit(True))
+    chain = following(rows, rows, key, order="_id", ttl=ttl).join(head, [key, "_at", "_id"], "left").withColumn(
+        "_miss", F.coalesce("_miss", F.lit(False)))
+    chain = staged(chain, "replay")
+    place = [key, "_next_at", "_next_id"]
+    while not chain.filter("_miss AND _next_at IS NOT NULL").isEmpty():
+        after = chain.select(F.col(key), F.col("_at").alias("_next_at"), F.col("_id").alias("_next_id"),
+                             F.col("_next_at").alias("_then_at"), F.col("_next_id").alias("_then_id"))
+        reached = chain.filter("_miss AND _next_at IS NOT NULL").select(
+            key, F.col("_next_at").alias("_at"), F.col("_next_id").alias("_id"), F.lit(True).alias("_reached"))
+        chain = staged(chain.join(after, place, "left").join(reached.distinct(), [key, "_at", "_id"], "left").select(
+            key, "_at", "_id", F.col("_then_at").alias("_next_at"), F.col("_then_id").alias("_next_id"),
+            (F.col("_miss") | F.coalesce("_reached", F.lit(False))).alias("_miss")), "replay")
+    return chain.filter("_miss").select(key, "_at", "_id").unionByName(nameless).withColumnRenamed("_id", order)
 
 
 def mark_hits(events: DataFrame, misses: DataFrame, key: str = "user_id",
               order: str = "event_id") -> DataFrame:
-    missed = misses.select(key, order, F.lit(True).alias("_miss"))
-    return events.join(missed, [key, order], "left").withColumn(
-        "cache_hit", F.col("_miss").isNull()).drop("_miss")
+    """Events without a key are misses; they go past the join."""
+    missed = misses.filter(F.col(key).isNotNull()).select(key, order, F.lit(True).alias("_miss"))
+    named = events.filter(F.col(key).isNotNull()).join(missed, [key, order], "left")
+    return named.withColumn("cache_hit", F.col("_miss").isNull()).drop("_miss").unionByName(
+        events.filter(F.col(key).isNull()).withColumn("cache_hit", F.lit(False)))
 
 
 def replay(events: DataFrame, key: str = "user_id", ts: str = "ts", order: str = "event_id",

@@ -89,7 +89,7 @@ def last_status(df: DataFrame) -> DataFrame:
 
 
 def latency_delta(df: DataFrame, session: str = "user_id", bucket: str = "1 hour") -> DataFrame:
-    """Change against the previous request of the session.
+    """Change against the previous request of the session; null sessions are one session.
 
     Windows run per session and hour; the value before an hour comes from the small
     table of last values per hour, so a busy session is spread over its hours.
@@ -98,8 +98,9 @@ def latency_delta(df: DataFrame, session: str = "user_id", bucket: str = "1 hour
     at = F.struct("ts", "event_id")
     by_session = Window.partitionBy(session).orderBy("_b")
     before = rows.groupBy(session, "_b").agg(F.max_by("seconds", at).alias("_last")).select(
-        session, "_b", F.lag("_last").over(by_session).alias("_before"))
+        F.col(session).alias("_s"), F.col("_b").alias("_c"), F.lag("_last").over(by_session).alias("_before"))
     inside = Window.partitionBy(session, "_b").orderBy("ts", "event_id")
     previous = F.coalesce(F.lag("seconds").over(inside), F.col("_before"))
-    return rows.join(before, [session, "_b"]).withColumn(
-        "delta", F.round(F.col("seconds") - previous, 6)).drop("_b", "_before")
+    same = F.col(session).eqNullSafe(F.col("_s")) & F.col("_b").eqNullSafe(F.col("_c"))
+    return rows.join(before, same).withColumn(
+        "delta", F.round(F.col("seconds") - previous, 6)).drop("_b", "_before", "_s", "_c")

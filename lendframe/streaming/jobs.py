@@ -9,9 +9,10 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from lendframe import schema as S
 from lendframe.operators.cache import mark_hits, replay_misses
-from lendframe.staging import staging_path
+from lendframe.staging import staged, staging_path
 
-LATENESS = "10 minutes"
+LATENESS_SECONDS = 600
+LATENESS = f"{LATENESS_SECONDS} seconds"
 
 
 def event_stream(spark: SparkSession, folder: str, pattern: str = "events*.parquet",
@@ -73,33 +74,42 @@ def stream_score(stream: DataFrame, score: Callable[[DataFrame], DataFrame], nam
 
 
 def stream_replay(stream: DataFrame, ttl: int = S.CACHE_TTL_SECONDS,
-                  checkpoint: str | None = None, out: str | None = None) -> DataFrame:
+                  checkpoint: str | None = None, out: str | None = None,
+                  lateness_seconds: int = LATENESS_SECONDS) -> DataFrame:
     """Hit or miss per event, micro-batch by micro-batch.
 
-    State is a table of the last miss per key, one version per micro-batch. A replayed
-    micro-batch starts from the version before it, so its result does not change. Keys
-    are handled by minima, not by gathering a key's events in one state handler.
+    State is a table of the last miss per key and the newest event time, one version per
+    micro-batch. A replayed micro-batch starts from the version before it, so its result
+    does not change. Events older than the newest one of earlier batches by more than the
+    lateness are not replayed; they are written to ``late``. Entries that ended before
+    that watermark are forgotten, as no event that still counts can hit them.
     """
     spark = stream.sparkSession
     out = out or staging_path(spark, "replay-out")
     checkpoint = checkpoint or staging_path(spark, "replay-checkpoint")
     state_schema = "user_id long, _at long"
+    micros = F.unix_micros("ts")
 
     def write(df: DataFrame, batch: int) -> None:
-        prior = None
+        prior = newest = None
         if batch > 0:
             prior = spark.read.schema(state_schema).parquet(f"{out}/state/batch={batch - 1}")
+            newest = spark.read.schema("newest long").parquet(f"{out}/newest/batch={batch - 1}").first()[0]
         rows = df.select("event_id", "user_id", "ts").persist()
-        misses = replay_misses(rows, ttl=ttl, prior=prior)
-        mark_hits(rows, misses).write.mode("overwrite").parquet(f"{out}/hits/batch={batch}")
-        seen = misses.select("user_id", "_at")
+        late = F.lit(False)
+        if newest is not None:
+            late = F.coalesce(micros < newest - lateness_seconds * 1_000_000, F.lit(False))
+        rows.filter(late).write.mode("overwrite").parquet(f"{out}/late/batch={batch}")
+        intime = rows.filter(~late)
+        misses = staged(replay_misses(intime, ttl=ttl, prior=prior), "misses")
+        mark_hits(intime, misses).write.mode("overwrite").parquet(f"{out}/hits/batch={batch}")
+        newest = max((x for x in (newest, rows.agg(F.max(micros)).first()[0]) if x is not None), default=None)
+        spark.createDataFrame([(newest,)], "newest long").write.mode("overwrite").parquet(f"{out}/newest/batch={batch}")
+        seen = misses.filter("user_id IS NOT NULL").select("user_id", "_at")
         if prior is not None:
             seen = seen.unionByName(prior)
-        # entries that ended a lifetime before the newest event cover nothing any more
-        horizon = rows.agg(F.max(F.unix_micros("ts"))).first()[0] or 0
-        seen.groupBy("user_id").agg(F.max("_at").alias("_at")).filter(
-            F.col("_at") >= horizon - 2 * ttl * 1_000_000
-        ).write.mode("overwrite").parquet(f"{out}/state/batch={batch}")
+        alive = F.lit(True) if newest is None else F.col("_at") >= newest - (lateness_seconds + ttl) * 1_000_000
+        seen.groupBy("user_id").agg(F.max("_at").alias("_at")).filter(alive).write.mode("overwrite").parquet(f"{out}/state/batch={batch}")
         rows.unpersist()
 
     query = (stream.writeStream.option("checkpointLocation", checkpoint)

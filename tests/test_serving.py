@@ -38,21 +38,30 @@ def visits():
     return rows
 
 
-@pytest.mark.parametrize("gathered", [cache.GATHERED_EVENTS, 150, 0])
-def test_replay_equals_the_rule(spark, visits, gathered):
-    """All keys folded, the busy key walked, and all keys walked."""
+def test_replay_equals_the_rule(spark, visits):
     rows = events(spark, visits)
-    misses = cache.replay_misses(rows, gathered=gathered)
-    assert got(cache.mark_hits(rows, misses)) == by_hand(visits)
+    assert got(cache.replay(rows)) == by_hand(visits)
 
 
-@pytest.mark.parametrize("gathered", [cache.GATHERED_EVENTS, 0])
-def test_replay_goes_on_from_earlier_misses(spark, visits, gathered):
+@pytest.mark.parametrize("ttl", [60, HOUR])
+def test_replay_of_a_busy_key_with_short_lifetimes(spark, ttl):
+    """One key, events all day, an outlier years later, and events before 1970."""
+    rng = random.Random(8)
+    rows = [(i, 1, round(rng.random() * 24 * HOUR, 3)) for i in range(1500)] + [(9000, 1, 4e8), (9001, 1, -5000.5), (9002, 1, -4990.0)]
+    assert got(cache.replay(events(spark, rows), ttl=ttl)) == by_hand(rows, ttl)
+
+
+def test_events_without_a_key_are_misses(spark):
+    rows = [(1, None, 0.0), (2, None, 1.0), (3, 5, 0.0), (4, 5, 1.0)]
+    assert got(cache.replay(events(spark, rows))) == {1: False, 2: False, 3: False, 4: True}
+
+
+def test_replay_goes_on_from_earlier_misses(spark, visits):
     middle = 9.7 * 24 * HOUR
     early, late = [r for r in visits if r[2] < middle], [r for r in visits if r[2] >= middle]
-    prior = cache.replay_misses(events(spark, early), gathered=gathered).select("user_id", "_at")
+    prior = cache.replay_misses(events(spark, early)).select("user_id", "_at")
     rows = events(spark, late)
-    after = cache.replay_misses(rows, gathered=gathered, prior=prior)
+    after = cache.replay_misses(rows, prior=prior)
     want = by_hand(visits)
     assert got(cache.mark_hits(rows, after)) == {e: want[e] for e, _, _ in late}
 
@@ -72,10 +81,10 @@ def test_bucket_quantile_rule(spark):
 
 
 def test_latency_delta_over_hours(spark):
-    rows = [(i, 1, 1000.0 * i) for i in range(12)] + [(100, 2, 5.0)]
+    rows = [(i, 1, 1000.0 * i) for i in range(12)] + [(100, 2, 5.0), (200, None, 1.0), (201, None, 9000.0)]
     df = events(spark, rows).withColumn("seconds", F.col("event_id") * 1.5)
     deltas = {r["event_id"]: r["delta"] for r in serving.latency_delta(df).collect()}
-    assert deltas[0] is None and deltas[100] is None
+    assert deltas[0] is None and deltas[100] is None and deltas[200] is None and deltas[201] == 1.5
     assert all(deltas[i] == 1.5 for i in range(1, 12))
 
 
