@@ -272,6 +272,28 @@ def drift_guard(t):
     return both.withColumns({c: F.array_join(c, ",") for c in ("layer1_columns", "layer2_columns")})
 
 
+@check("drift_null_column", Q.query("features", f"""{_drift_sql(["age", "bank_balance", "gender"])}
+UNION ALL SELECT 'credit_score', 'num', 'wasserstein', count(DISTINCT credit_score), NULL, CAST(0.1 AS DOUBLE), TRUE FROM reference_rows
+UNION ALL SELECT 'house_type', 'cat', 'jensenshannon', count(DISTINCT house_type), NULL, CAST(0.1 AS DOUBLE), TRUE FROM reference_rows
+""", _SHIFTED))
+def drift_null_column(t):
+    """Two columns without any value in the current table."""
+    reference, current = _halves(t)
+    current = current.withColumns({c: F.lit(None).cast(current.schema[c].dataType) for c in ("credit_score", "house_type")})
+    return drift.drift_columns(reference, current, ["age", "bank_balance", "gender", "credit_score", "house_type"])
+
+
+@check("drift_no_layers", Q.query("features", """
+SELECT FALSE AS drift_detected, FALSE AS layer1_drift, '' AS layer1_columns, FALSE AS layer2_drift, '' AS layer2_columns,
+  FALSE AS skipped, '' AS skip_reason, (SELECT count(*) FROM reference_rows) AS rows_read""", _SHIFTED))
+def drift_no_layers(t):
+    """Too few shared columns for either layer: no drift, not skipped."""
+    reference, current = (side.select("age", "gender", "credit_score") for side in _halves(t))
+    report = drift.guarded_drift(t.spark, lambda: reference, lambda: current)
+    return report.withColumns({c: F.array_join(c, ",") for c in ("layer1_columns", "layer2_columns")}).withColumn(
+        "rows_read", F.lit(reference.count()).cast("long"))
+
+
 @check("ecdf_distance", Q.query("features", """
 SELECT round(max(abs(rc / rt - cc / ct)), 8) AS ks, round(sum(abs(rc / rt - cc / ct) * (nxt - v)), 4) AS wasserstein
 FROM (SELECT v, sum(r) OVER (ORDER BY v) AS rc, sum(c) OVER (ORDER BY v) AS cc, sum(r) OVER () AS rt, sum(c) OVER () AS ct,

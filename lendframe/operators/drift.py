@@ -1,5 +1,9 @@
 """Distribution drift per column, per layer and per batch."""
 
+import warnings
+
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,8 +14,12 @@ from lendframe.functions import pvalues
 from lendframe.operators.profiling import approval_by_category
 from lendframe.operators.ranks import running_counts
 
+# the published preset: what it takes for a category, and for distances instead of p-values
 FEW_VALUES = 5
 LARGE_REFERENCE = 1000
+TESTS = ("jensenshannon", "wasserstein", "ks", "chisquare", "z")
+# what reading and running a layer may fail with
+FAILURES = (PySparkException, Py4JError, OSError)
 
 
 def _sides(reference: DataFrame, current: DataFrame, columns: list[str], kind: str) -> DataFrame:
@@ -39,13 +47,13 @@ def _js_terms(p: Column, q: Column) -> Column:
 def numeric_distances(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
     """KS and Wasserstein distances from one running count over both sides."""
     run = running_counts(_sides(reference, current, columns, "double"), ["column"], "value", ["r", "c"])
-    gap = F.abs(F.col("r_upto") / F.col("r_total") - F.col("c_upto") / F.col("c_total"))
-    p, q = F.col("r") / F.col("r_total"), F.col("c") / F.col("c_total")
+    gap = F.abs(F.try_divide("r_upto", "r_total") - F.try_divide("c_upto", "c_total"))
+    p, q = F.try_divide("r", "r_total"), F.try_divide("c", "c_total")
     x = F.col("value")
     stats = run.groupBy("column").agg(
         F.count(F.lit(1)).alias("n_values"), F.max("r_total").alias("n_reference"),
         F.max("c_total").alias("n_current"), F.max(gap).alias("ks"),
-        F.coalesce(F.sum(gap * (F.col("next_value") - x)), F.lit(0.0)).alias("_w"),
+        F.when(_both_sides(), F.coalesce(F.sum(gap * (F.col("next_value") - x)), F.lit(0.0))).alias("_w"),
         F.sum(_js_terms(p, q)).alias("_js"), *_chi_parts())
     spread = reference.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [], columns, "column", "value").groupBy("column").agg(F.stddev_pop("value").alias("sd"))
@@ -54,12 +62,16 @@ def numeric_distances(reference: DataFrame, current: DataFrame, columns: list[st
         "jensen_shannon", F.sqrt(F.greatest(F.col("_js") / 2, F.lit(0.0)))).drop("_w", "_js")
 
 
+def _both_sides() -> Column:
+    return (F.max("r_total") > 0) & (F.max("c_total") > 0)
+
+
 def categorical_distances(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
     counts = _sides(reference, current, columns, "string")
     totals = counts.groupBy("column").agg(F.sum("r").alias("r_total"), F.sum("c").alias("c_total"))
     # one row of totals per column
     rows = counts.join(F.broadcast(totals), "column")
-    p, q = F.col("r") / F.col("r_total"), F.col("c") / F.col("c_total")
+    p, q = F.try_divide("r", "r_total"), F.try_divide("c", "c_total")
     return rows.groupBy("column").agg(
         F.count(F.lit(1)).alias("n_values"), F.max("r_total").alias("n_reference"),
         F.max("c_total").alias("n_current"), F.sum(_js_terms(p, q)).alias("_js"), *_chi_parts(),
@@ -69,11 +81,11 @@ def categorical_distances(reference: DataFrame, current: DataFrame, columns: lis
 def _chi_parts() -> list[Column]:
     """Chi-square of current counts against scaled reference counts, and the sums that
     give the Z of two shares: plain sums, so the aggregate stays hashed."""
-    expected = F.col("r") * F.col("c_total") / F.col("r_total")
-    gap = F.col("r") / F.col("r_total") - F.col("c") / F.col("c_total")
+    expected = F.try_divide(F.col("r") * F.col("c_total"), "r_total")
+    gap = F.try_divide("r", "r_total") - F.try_divide("c", "c_total")
     pooled = (F.col("r") + F.col("c")) / (F.col("r_total") + F.col("c_total"))
     return [
-        F.sum(F.when(F.col("r") > 0, F.pow(F.col("c") - expected, 2) / expected)
+        F.sum(F.when(F.col("r") > 0, F.try_divide(F.pow(F.col("c") - expected, 2), expected))
               .when(F.col("c") > 0, F.lit(float("inf")))).alias("_chi"),
         F.sum(gap * gap).alias("_gap2"), F.sum(pooled * pooled).alias("_pooled2"),
     ]
@@ -83,7 +95,7 @@ def _two_share_z() -> Column:
     """|Z| of the difference of two shares by the pooled share. Over two values the
     squared gaps sum to 2 (p1 - p2)^2 and 1 less the squared pooled shares is
     2 p (1 - p)."""
-    spread = (1 - F.col("_pooled2")) * (1 / F.col("n_reference") + 1 / F.col("n_current"))
+    spread = (1 - F.col("_pooled2")) * (F.try_divide(F.lit(1), "n_reference") + F.try_divide(F.lit(1), "n_current"))
     return F.coalesce(F.sqrt(X.ratio(F.col("_gap2"), spread)), F.lit(0.0))
 
 
@@ -94,13 +106,21 @@ def column_kinds(df: DataFrame, columns: list[str]) -> tuple[list[str], list[str
 
 def drift_columns(reference: DataFrame, current: DataFrame, columns: list[str],
                   distance_threshold: float = 0.1, p_threshold: float = 0.05,
-                  large_reference: int = LARGE_REFERENCE) -> DataFrame:
+                  large_reference: int = LARGE_REFERENCE, few_values: int = FEW_VALUES,
+                  tests: dict[str, str] | None = None) -> DataFrame:
     """One row per column: test used, score and whether the column drifted.
 
+    ``tests`` names the test of each column. Columns it leaves out take the preset's.
     Large reference: distances, drift at or above the threshold. Small reference:
     p-values, drift below the threshold. Numeric columns of few values are treated as
     categories.
+
+    A column that has values on one side only drifted, and has no score; one without
+    any values did not drift.
     """
+    tests = tests or {}
+    if unknown := set(tests.values()) - set(TESTS):
+        raise ValueError(f"unknown tests: {sorted(unknown)}")
     numeric, text = column_kinds(reference, columns)
     parts = []
     if numeric:
@@ -111,29 +131,40 @@ def drift_columns(reference: DataFrame, current: DataFrame, columns: list[str],
     for c in ("ks", "wasserstein"):
         if c not in rows.columns:
             rows = rows.withColumn(c, F.lit(None).cast("double"))
-    few = ~F.col("_num") | (F.col("n_values") <= FEW_VALUES)
+    few = ~F.col("_num") | (F.col("n_values") <= few_values)
     test = (F.when(F.col("n_reference") > large_reference,
                    F.when(few, "jensenshannon").otherwise("wasserstein"))
             .otherwise(F.when(~few, "ks").when(F.col("n_values") > 2, "chisquare").otherwise("z")))
+    for column, name in tests.items():
+        test = F.when(F.col("column") == column, F.lit(name)).otherwise(test)
     n1, n2 = F.col("n_reference"), F.col("n_current")
-    root = F.sqrt(n1 * n2 / (n1 + n2).cast("double"))
+    root = F.sqrt(F.try_divide((n1 * n2).cast("double"), (n1 + n2).cast("double")))
     rows = rows.withColumn("test", test).withColumn("score", (
         F.when(F.col("test") == "jensenshannon", F.col("jensen_shannon"))
         .when(F.col("test") == "wasserstein", F.col("wasserstein"))))
-    # p-values run in Python, on one row per column, and only where they are asked for
-    rows = rows.withColumns({
-        "_p_ks": pvalues.kolmogorov_upper(F.when(F.col("test") == "ks", F.col("ks") * root)),
-        "_p_chi": pvalues.chi2_upper(F.when(F.col("test") == "chisquare", F.col("_chi")),
-                                     F.col("n_values").cast("double") - 1),
-        "_p_z": pvalues.normal_two_sided(F.when(F.col("test") == "z", _two_share_z())),
-    })
+    p_values = {"_p_ks": F.lit(None).cast("double"), "_p_chi": F.lit(None).cast("double"), "_p_z": F.lit(None).cast("double")}
+    if not set(columns) <= {c for c, name in tests.items() if name in TESTS[:2]}:
+        # p-values run in Python, on one row per column, and only where they are asked for
+        p_values = {
+            "_p_ks": pvalues.kolmogorov_upper(F.when(F.col("test") == "ks", F.col("ks") * root)),
+            "_p_chi": pvalues.chi2_upper(F.when(F.col("test") == "chisquare", F.col("_chi")),
+                                         F.col("n_values").cast("double") - 1),
+            "_p_z": pvalues.normal_two_sided(F.when(F.col("test") == "z", _two_share_z())),
+        }
+    rows = rows.withColumns(p_values)
     distance = F.col("test").isin("jensenshannon", "wasserstein")
-    score = F.coalesce("score", "_p_ks", "_p_chi", "_p_z")
-    return rows.select(
+    both = (n1 > 0) & (n2 > 0)
+    score = F.when(both, F.coalesce("score", "_p_ks", "_p_chi", "_p_z"))
+    # columns without any value have no counts, but a row
+    names = reference.sparkSession.createDataFrame([(c, c in numeric) for c in columns], "_column string, _number boolean")
+    rows = names.join(rows, F.col("_column") == F.col("column"), "left")
+    over = F.when(distance, score >= distance_threshold).otherwise(score < p_threshold)
+    return rows.withColumn("column", F.col("_column")).withColumn("_num", F.col("_number")).withColumn(
+        "n_values", F.coalesce("n_values", F.lit(0).cast("long"))).select(
         "column", F.when(F.col("_num"), "num").otherwise("cat").alias("kind"), "test", "n_values",
         F.round(score, 6).alias("score"),
         F.when(distance, F.lit(distance_threshold)).otherwise(F.lit(p_threshold)).alias("threshold"),
-        F.when(distance, score >= distance_threshold).otherwise(score < p_threshold).alias("drifted"))
+        F.when(F.coalesce(both, F.lit(True)), F.coalesce(over, F.lit(False))).otherwise(True).alias("drifted"))
 
 
 def drift_summary(columns: DataFrame, share: float = 0.5) -> DataFrame:
@@ -144,16 +175,25 @@ def drift_summary(columns: DataFrame, share: float = 0.5) -> DataFrame:
         (F.avg(F.col("drifted").cast("double")) >= share).alias("drift_detected"))
 
 
+LAYERS = ((1, S.REQUEST_COLUMNS, 5), (2, S.DRIFT_ENGINEERED, 2))
+_LAYER_SCHEMA = "share_drifted double, drifted_columns array<string>, drift_detected boolean, layer int"
+
+
+def drift_layer(reference: DataFrame, current: DataFrame, layer: int, share: float = 0.5, **thresholds) -> DataFrame | None:
+    """Summary row of one layer, or None if too few of its columns are on both sides."""
+    columns, least = next((c, n) for number, c, n in LAYERS if number == layer)
+    shared = [c for c in columns if c in reference.columns and c in current.columns]
+    if len(shared) < least:
+        return None
+    return drift_summary(drift_columns(reference, current, shared, **thresholds), share).withColumn("layer", F.lit(layer))
+
+
 def drift_layers(reference: DataFrame, current: DataFrame, share: float = 0.5, **thresholds) -> DataFrame:
-    """Raw layer and engineered layer; a layer with too few shared columns is skipped."""
-    layers = None
-    for layer, columns, least in ((1, S.REQUEST_COLUMNS, 5), (2, S.DRIFT_ENGINEERED, 2)):
-        shared = [c for c in columns if c in reference.columns and c in current.columns]
-        if len(shared) < least:
-            continue
-        one = drift_summary(drift_columns(reference, current, shared, **thresholds), share).withColumn(
-            "layer", F.lit(layer))
-        layers = one if layers is None else layers.unionByName(one)
+    """Raw layer and engineered layer; a layer with too few shared columns has no row."""
+    layers = reference.sparkSession.createDataFrame([], _LAYER_SCHEMA)
+    for number, _, _ in LAYERS:
+        one = drift_layer(reference, current, number, share, **thresholds)
+        layers = layers if one is None else layers.unionByName(one)
     return layers
 
 
@@ -172,20 +212,24 @@ def drift_report(layers: DataFrame) -> DataFrame:
     ).withColumn("skipped", F.lit(False)).withColumn("skip_reason", F.lit(""))
 
 
-def guarded_drift(spark, read_reference, read_current, **options) -> DataFrame:
-    """Never fails: a missing table or an error gives a ``skipped`` row with the reason."""
+def guarded_drift(spark, read_reference, read_current, share: float = 0.5, **thresholds) -> DataFrame:
+    """Never fails for want of data: a table that cannot be read gives a ``skipped`` row
+    with the reason, and a layer that fails counts as one without drift."""
+    report = drift_report(spark.createDataFrame([], _LAYER_SCHEMA))
     try:
-        report = drift_report(drift_layers(read_reference(), read_current(), **options))
-        row = report.collect()
-        return spark.createDataFrame(row, report.schema)
-    except Exception as problem:  # noqa: BLE001 - any failure is reported, none is raised
-        reason = str(problem).splitlines()[0][:500]
-        return spark.range(1).select(
-            F.lit(False).alias("drift_detected"), F.lit(False).alias("layer1_drift"),
-            F.array().cast("array<string>").alias("layer1_columns"),
-            F.lit(False).alias("layer2_drift"),
-            F.array().cast("array<string>").alias("layer2_columns"),
-            F.lit(True).alias("skipped"), F.lit(reason).alias("skip_reason"))
+        reference, current = read_reference(), read_current()
+        # files may be missing although the names are known
+        reference.limit(1).collect(), current.limit(1).collect()
+    except FAILURES as problem:
+        return report.withColumn("skipped", F.lit(True)).withColumn("skip_reason", F.lit(str(problem)))
+    rows = []
+    for number, _, _ in LAYERS:
+        try:
+            one = drift_layer(reference, current, number, share, **thresholds)
+            rows += [] if one is None else one.collect()
+        except FAILURES as problem:
+            warnings.warn(f"drift layer {number} failed: {problem}", stacklevel=2)
+    return drift_report(spark.createDataFrame(rows, _LAYER_SCHEMA))
 
 
 def subgroup_rates(df: DataFrame, columns=("gender", "marital_status")) -> DataFrame:
