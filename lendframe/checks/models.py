@@ -325,17 +325,17 @@ def _classifier_rows(t, name, **settings) -> DataFrame:
 
 @check("train_logreg")
 def train_logreg(t):
-    return _classifier_rows(t, "logistic_regression", iterations=50)
+    return _classifier_rows(t, "logistic_regression")
 
 
 @check("train_forest")
 def train_forest(t):
-    return _classifier_rows(t, "random_forest", trees=10, depth=6)
+    return _classifier_rows(t, "random_forest")
 
 
 @check("train_boosted")
 def train_boosted(t):
-    return _classifier_rows(t, "boosted_trees", rounds=8, depth=4)
+    return _classifier_rows(t, "boosted_trees")
 
 
 def _regressor_rows(t, name, **settings) -> DataFrame:
@@ -347,12 +347,12 @@ def _regressor_rows(t, name, **settings) -> DataFrame:
 
 @check("train_forest_regressor")
 def train_forest_regressor(t):
-    return _regressor_rows(t, "random_forest", trees=10, depth=6)
+    return _regressor_rows(t, "random_forest")
 
 
 @check("train_boosted_regressor")
 def train_boosted_regressor(t):
-    return _regressor_rows(t, "boosted_trees", rounds=8, depth=4)
+    return _regressor_rows(t, "boosted_trees")
 
 
 @check("tune")
@@ -360,26 +360,69 @@ def tune(t):
     from pyspark.ml.classification import RandomForestClassifier
 
     encoder, train, test = t.encoded
-    forest = RandomForestClassifier(labelCol=S.TARGET_CLASS, weightCol=M.WEIGHT, numTrees=5, seed=42)
+    forest = RandomForestClassifier(labelCol=S.TARGET_CLASS, weightCol=M.WEIGHT, numTrees=20, seed=42)
     model, settings, score = M.tune(train, forest, {"maxDepth": [3, 5, 7], "minInstancesPerNode": [1, 10, 50]},
-                                    trials=2, folds=2)
+                                    trials=3, folds=3)
     scored = model.transform(test).select(
         F.lit(",".join(f"{k}={v}" for k, v in sorted(settings.items()))).alias("model"),
         F.col(S.TARGET_CLASS).alias("label"), M.probability().alias("score"))
     return E.eval_classifier(scored).withColumn("cv_auc", F.lit(score))
 
 
+@check("tune_logistic")
+def tune_logistic(t):
+    from pyspark.ml.classification import LogisticRegression
+
+    _, train, test = t.encoded
+    model, settings, score = M.tune(train, LogisticRegression(labelCol=S.TARGET_CLASS, weightCol=M.WEIGHT, maxIter=1000),
+                                    {"regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0, 0.5]})
+    scored = model.transform(test).select(
+        F.lit(",".join(f"{k}={v}" for k, v in sorted(settings.items()))).alias("model"),
+        F.col(S.TARGET_CLASS).alias("label"), M.probability().alias("score"))
+    return E.eval_classifier(scored).withColumn("cv_auc", F.lit(score))
+
+
+@check("tune_regressor")
+def tune_regressor(t):
+    """Compared on all rows, by the error of the amount."""
+    _, train, test = t.encoded
+    model, settings, score = M.tune(train, M.forest_regressor(), {"maxDepth": [4, 6, 8], "minInstancesPerNode": [1, 20]}, regression=True)
+    return E.eval_regressor(model.transform(test).select(
+        F.lit(",".join(f"{k}={v}" for k, v in sorted(settings.items()))).alias("model"),
+        F.col(S.TARGET_AMOUNT).alias("actual"), F.col("prediction").alias("predicted"))).withColumn("cv_rmse", F.lit(score))
+
+
+@check("save_load_pipeline", Q.query("clean", "SELECT application_id, TRUE AS in_range, TRUE AS zone_fits FROM clean"))
+def save_load_pipeline(t):
+    """Cleaning, features, encoding, class weights and model as one saved artefact, loaded and applied to raw rows."""
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from lendframe.plans.cleaner import LoanCleaner
+    from lendframe.plans.encoder import LoanEncoder
+    from lendframe.plans.features import FeatureBuilder
+
+    path = staging_path(t.spark, "artefact")
+    stages = [LoanCleaner(training=True), FeatureBuilder(), LoanEncoder(), *M.logistic_regression().getStages()]
+    Pipeline(stages=stages).fit(t.applicants).write().save(path)
+    scored = PipelineModel.load(path).transform(t.applicants).withColumn("p", M.probability())
+    zone = F.when(F.col("p") > 0.85, "auto_approve").when(F.col("p") >= 0.5, "human_review").otherwise("auto_reject")
+    rows = scored.select("application_id", F.col("p").between(0, 1).alias("in_range"), "p", zone.alias("own"))
+    from lendframe.functions import expr as X
+
+    return rows.select("application_id", "in_range", (X.zone(F.col("p")) == F.col("own")).alias("zone_fits"))
+
+
 @check("topk_importance")
 def topk_importance(t):
     encoder, train, _ = t.encoded
-    model = M.random_forest(trees=10, depth=6).fit(train)
+    model = M.random_forest().fit(train)
     return M.importance_frame(t.spark, M.importances(model, encoder.feature_names(), 20))
 
 
 @check("topk_coefficients")
 def topk_coefficients(t):
     encoder, train, _ = t.encoded
-    model = M.logistic_regression(iterations=50).fit(train)
+    model = M.logistic_regression().fit(train)
     return M.importance_frame(t.spark, M.importances(model, encoder.feature_names(), 15))
 
 
@@ -391,8 +434,8 @@ def score_rows_models(t):
 
     encoder, train, _ = t.encoded
     classifier_path, regressor_path = staging_path(t.spark, "classifier"), staging_path(t.spark, "regressor")
-    M.logistic_regression(iterations=50).fit(train).write().save(classifier_path)
-    M.boosted_regressor(rounds=5, depth=4).fit(train).write().save(regressor_path)
+    M.logistic_regression().fit(train).write().save(classifier_path)
+    M.boosted_regressor().fit(train).write().save(regressor_path)
     return M.scored_with_models(encoder.transform(t.features), PipelineModel.load(classifier_path),
                                 GBTRegressionModel.load(regressor_path))
 

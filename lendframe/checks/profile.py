@@ -127,12 +127,11 @@ def class_sample(t):
 SELECT s.target, CAST(g.point AS INTEGER) AS point, round(300.0 + g.point * (600.0 / 59), 4) AS at,
   round(sum(exp(-pow((300.0 + g.point * (600.0 / 59) - s.x) / h, 2) / 2)) / (any_value(n) * any_value(h) * sqrt(2 * pi())), 8) AS density
 FROM (SELECT emi_eligibility AS target, credit_score AS x, count(*) OVER w AS n,
-    stddev_samp(credit_score) OVER w * pow(count(*) OVER w, -0.2) AS h FROM sampled
+    stddev_samp(credit_score) OVER w * pow(count(*) OVER w, -0.2) AS h FROM clean
     WINDOW w AS (PARTITION BY emi_eligibility)) s CROSS JOIN range(60) g(point)
-GROUP BY s.target, g.point""", _SAMPLED))
+GROUP BY s.target, g.point"""))
 def density(t):
-    sample = sampling.class_sample(t.clean, 2000)
-    return P.density(sample, "credit_score", 300.0, 900.0, 60).withColumn("density", F.round("density", 8))
+    return P.density(t.clean, "credit_score", 300.0, 900.0, 60).withColumn("density", F.round("density", 8))
 
 
 _LIMITS = [0.005, 0.99, 0.995, 0.999]
@@ -191,19 +190,19 @@ _T = """SELECT '{c}' AS "column", m1, m0, n0 + n1 - 2 AS degrees,
   (m1 - m0) / sqrt(((n0 - 1) * v0 + (n1 - 1) * v1) / (n0 + n1 - 2) * (1.0 / n0 + 1.0 / n1)) AS t FROM (SELECT
   avg({c}) FILTER (emi_eligibility = 1) AS m1, avg({c}) FILTER (emi_eligibility = 0) AS m0,
   count({c}) FILTER (emi_eligibility = 1) AS n1, count({c}) FILTER (emi_eligibility = 0) AS n0,
-  var_samp({c}) FILTER (emi_eligibility = 1) AS v1, var_samp({c}) FILTER (emi_eligibility = 0) AS v0 FROM sampled)"""
+  var_samp({c}) FILTER (emi_eligibility = 1) AS v1, var_samp({c}) FILTER (emi_eligibility = 0) AS v0 FROM clean)"""
 
 
 @check("ttest", Q.query("clean", f"""
 SELECT "column", round(m1, 4) AS eligible_mean, round(m0, 4) AS not_eligible_mean, round(t, 6) AS t, degrees
-FROM ({Q.union_all([_T.format(c=c) for c in S.SIGNIFICANCE_COLUMNS])})""", _SAMPLED.replace("2000", "5000")))
+FROM ({Q.union_all([_T.format(c=c) for c in S.SIGNIFICANCE_COLUMNS])})"""))
 def ttest(t):
-    return P.t_test(sampling.class_sample(t.clean, 5000)).drop("p", "significant")
+    return P.t_test(t.clean).drop("p", "significant")
 
 
 @check("ttest_significance")
 def ttest_significance(t):
-    return P.t_test(sampling.class_sample(t.clean, 5000)).select("column", "t", "p", "significant")
+    return P.t_test(t.clean).select("column", "t", "p", "significant")
 
 
 @check("stratified_split", Q.query("clean", "SELECT application_id, emi_eligibility, part FROM split", SPLIT_SQL))

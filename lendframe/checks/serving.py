@@ -179,7 +179,7 @@ SELECT application_id, clf_proba, clf_label, conf_zone, predicted_emi FROM score
 def stream_score(t):
     """Applications as a file stream, scored by the fitted rules row by row."""
     folder = staging_path(t.spark, "application-files")
-    t.clean.repartition(4, "application_id").write.parquet(folder)
+    t.clean.repartition("application_id").write.parquet(folder)
     stream = t.spark.readStream.schema(t.clean.schema).option("maxFilesPerTrigger", 2).parquet(folder)
     return jobs.stream_score(stream, scoring.score_with_rules).drop("customer_id")
 
@@ -190,15 +190,34 @@ def stream_score_models(t):
     from lendframe.plans import training as M
 
     encoder, train, _ = t.encoded
-    classifier = M.logistic_regression(iterations=30).fit(train)
-    regressor = M.forest_regressor(trees=5, depth=5).fit(train)
+    classifier = M.logistic_regression().fit(train)
+    regressor = M.forest_regressor().fit(train)
     folder = staging_path(t.spark, "feature-files")
-    t.features.repartition(4, "application_id").write.parquet(folder)
+    t.features.repartition("application_id").write.parquet(folder)
     stream = t.spark.readStream.schema(t.features.schema).option("maxFilesPerTrigger", 2).parquet(folder)
     return jobs.stream_score(
         stream, lambda df: M.scored_with_models(encoder.transform(df), classifier, regressor), "models")
 
 
+@check("stream_requests")
+def stream_requests(t):
+    """Raw applications as a request stream: checked, cleaned by fitted statistics, scored; bad ones set aside."""
+    from pyspark.ml import PipelineModel
+
+    from lendframe.plans.cleaner import LoanCleaner
+    from lendframe.plans.features import FeatureBuilderModel
+
+    cleaner = LoanCleaner(training=True).fit(t.applicants).for_inference()
+    model = PipelineModel([cleaner, FeatureBuilderModel()._set(expenseFallback=t.fallback)])
+    folder = staging_path(t.spark, "request-files")
+    t.applicants.write.parquet(folder)
+    stream = t.spark.readStream.schema(t.applicants.schema).option("maxFilesPerTrigger", 2).parquet(folder)
+    scored, refused = jobs.stream_requests(stream, model.transform, scoring.score_with_rules)
+    return scored.select("application_id", "conf_zone", "clf_label", F.lit(True).alias("valid")).unionByName(
+        refused.select("application_id", F.lit(None).cast("string").alias("conf_zone"), F.lit(None).cast("int").alias("clf_label"),
+                       F.lit(False).alias("valid")))
+
+
 _STORED = """stored AS (SELECT customer_id, max(application_id) AS seq FROM clean WHERE application_id % 3 = 0 GROUP BY 1),
 vectors AS (SELECT c.application_id, c.customer_id, s.seq IS NOT NULL AS cache_hit,
   v.* EXCLUDE (application_id, customer_id) FROM clean c LEFT JOIN stored s ON c.customer_id = s.customer_id
@@ -238,12 +257,13 @@ def daily_batch(t):
     """One pass over the new files: each micro-batch runs the nightly job."""
     root = staging_path(t.spark, "nightly")
     folder = staging_path(t.spark, "new-files")
-    t.applicants.coalesce(1).write.parquet(folder)
+    t.applicants.write.parquet(folder)
     stream = t.spark.readStream.schema(t.applicants.schema).parquet(folder)
     fallback = t.fallback
 
     def publish(rows, number):
-        batch.nightly(rows, root, "2024-01-31", f"run-{number}", fallback)
+        # a micro-batch may be repeated: its folder is its own
+        batch.nightly(rows, root, "2024-01-31", f"run-{number}", fallback, again=True)
 
     query = (stream.writeStream.foreachBatch(publish).trigger(availableNow=True)
              .option("checkpointLocation", staging_path(t.spark, "nightly-checkpoint")).start())

@@ -49,9 +49,13 @@ def coerce_numbers(df: DataFrame) -> DataFrame:
     return df.withColumns({c: X.finite(c) for c in columns})
 
 
-def prepare(df: DataFrame) -> DataFrame:
-    """Steps 1-5, keeping for the flag columns whether the raw value was null."""
-    df = drop_exact_duplicates(normalize_columns(df))
+def prepare(df: DataFrame, merge_copies: bool = True) -> DataFrame:
+    """Steps 1-5, keeping for the flag columns whether the raw value was null.
+
+    Requests keep their copies: each is answered, and a stream holds no state for it.
+    """
+    df = normalize_columns(df)
+    df = drop_exact_duplicates(df) if merge_copies else df
     raw = {f"{_RAW_NULL}{c}": F.col(c).isNull() for c in S.FLAGGED_COLUMNS if c in df.columns}
     return coerce_numbers(clean_currency(df.withColumns(raw)))
 
@@ -344,4 +348,4 @@ def project(prepared: DataFrame, stats: CleaningStats, training: bool = True,
     if not training:
         df = df.drop(S.TARGET_CLASS, S.TARGET_AMOUNT)
     df = df.drop(*[c for c in df.columns if c.startswith(_RAW_NULL)])
-    return df if "application_id" in df.columns else drop_exact_duplicates(df)
+    return df if single or "application_id" in df.columns else drop_exact_duplicates(df)

@@ -161,6 +161,21 @@ def register_versions(runs: DataFrame, registered: str, order: str) -> DataFrame
         "version", F.row_number().over(Window.partitionBy("registered_name").orderBy(order)))
 
 
+def parse_alias(uri: str) -> tuple[str, str]:
+    """``models:/NAME@ALIAS`` to (name, alias); names may hold the sign themselves."""
+    name, at, alias = uri.removeprefix("models:/").rpartition("@")
+    if not uri.startswith("models:/") or not at or not name or not alias:
+        raise ValueError(f"not a model alias: {uri}")
+    return name, alias
+
+
+def resolve_alias(assignments: DataFrame, uri: str) -> int | None:
+    """The version that an alias text points to now."""
+    name, alias = parse_alias(uri)
+    found = current_aliases(assignments.filter((F.col("registered_name") == name) & (F.col("alias") == alias))).first()
+    return found["version"] if found else None
+
+
 def current_aliases(assignments: DataFrame) -> DataFrame:
     """The version each alias points to: its latest assignment. Rollback appends one."""
     return assignments.groupBy("registered_name", "alias").agg(

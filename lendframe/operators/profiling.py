@@ -45,6 +45,12 @@ def null_map(df: DataFrame, columns=None) -> DataFrame:
     return _counts(df, {c: F.col(c).isNull() for c in columns}, "nulls").filter("nulls > 0")
 
 
+def input_bytes(spark, path: str) -> int:
+    """Size of all files of an input."""
+    files = spark.read.format("binaryFile").load(path).agg(F.coalesce(F.sum("length"), F.lit(0)))
+    return files.first()[0]
+
+
 def load_summary(df: DataFrame) -> DataFrame:
     """Rows, nulls, null share and type per column."""
     types = {f.name: f.dataType.simpleString() for f in df.schema}
@@ -363,23 +369,14 @@ def quantiles(df: DataFrame, columns, probabilities) -> DataFrame:
 
 # --- correlation and tests --------------------------------------------------
 def correlation_matrix(df: DataFrame, columns=tuple(S.CORRELATION_COLUMNS)) -> DataFrame:
-    """Pearson r of every pair below the diagonal, each over its complete rows.
-
-    With no nulls, one pass builds the small matrix of products in every task; with
-    nulls each column is correlated with the earlier ones in a pass of its own.
-    """
+    """Pearson r of every pair below the diagonal, each over its complete rows, in one pass."""
     rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    nulls = rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
-    if any(nulls):
-        parts = [_correlations(rows, columns[:i], a).select(
-            F.lit(a).alias("row_name"), F.col("column").alias("column_name"), F.round("_r", 6).alias("r"))
-            for i, a in enumerate(columns) if i]
-        return reduce(DataFrame.unionByName, parts)
-    vectors = rows.select(array_to_vector(F.array(*columns)).alias("v"))
-    matrix = Correlation.corr(vectors, "v").first()[0].toArray()
-    cells = [(a, b, float(matrix[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns[:i])]
-    frame = df.sparkSession.createDataFrame(cells, "row_name string, column_name string, r double")
-    return frame.withColumn("r", F.round(F.when(~F.isnan("r"), F.col("r")), 6))
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[:i]]
+    # corr skips rows in which either value is missing
+    found = rows.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    cells = [F.struct(F.lit(a).alias("row_name"), F.lit(b).alias("column_name"), F.col(f"r{i}").alias("r"))
+             for i, (a, b) in enumerate(pairs)]
+    return found.select(F.inline(F.array(*cells))).withColumn("r", F.round(F.when(~F.isnan("r"), F.col("r")), 6))
 
 
 def _correlations(df: DataFrame, columns, target: str) -> DataFrame:

@@ -103,16 +103,19 @@ def in_pieces(counted: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """
     cuts = counted.groupBy(*keys).agg(F.percentile_approx(
         F.col(value).cast("double"), [i / _PIECES for i in range(1, _PIECES)], 20 * _PIECES).alias("_cuts"))
-    same = F.lit(True)
+    # a key that is one constant would leave no join key: both sides carry a zero
+    same = F.pmod(F.hash(value), F.lit(1)) == F.col("_zero")
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    rows = counted.join(cuts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_cuts"), same).withColumn("_b", F.lit(0))
+    # one row per key: the columns, models or classes that are compared
+    cuts = F.broadcast(cuts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_cuts", F.pmod(F.hash("_cuts"), F.lit(1)).alias("_zero")))
+    rows = counted.join(cuts, same).withColumn("_b", F.lit(0))
     step = _PIECES // 2
     while step:
         below = F.coalesce(F.get("_cuts", F.col("_b") + (step - 1)) <= F.col(value), F.lit(False))
         rows = rows.withColumn("_b", F.col("_b") + below.cast("int") * step)
         step //= 2
-    return rows.drop("_cuts", *[f"_k_{k}" for k in keys])
+    return rows.drop("_cuts", "_zero", *[f"_k_{k}" for k in keys])
 
 
 def running_counts(

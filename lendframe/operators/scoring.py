@@ -119,15 +119,26 @@ def validate_requests(df: DataFrame) -> DataFrame:
         "valid", F.size("problems") == 0)
 
 
+def id_span(column: str, size: int) -> Column:
+    """Number of the span of ``size`` ids that an id falls in, by whole-number division."""
+    return F.expr(f"({column} - pmod({column}, {int(size)})) div {int(size)}")
+
+
+def at_most(size: int) -> Column:
+    """Rows of a group, which fails if ids repeat and so fill it beyond its size."""
+    n = F.count(F.lit(1))
+    return F.when(n <= size, n).otherwise(F.raise_error(F.lit(f"a request of more than {size} customers: ids repeat")).cast("long"))
+
+
 def batch_requests(df: DataFrame, size: int = S.MAX_UPLOAD_ROWS) -> DataFrame:
     """JSON requests of at most ``size`` customers: a group is a span of unique ids."""
     customer = F.struct("customer_id", *S.REQUEST_COLUMNS)
     return (
-        df.groupBy(F.floor(F.col("application_id") / size).alias("request_id"))
+        df.groupBy(id_span("application_id", size).alias("request_id"))
         .agg(F.transform(
             F.sort_array(F.collect_list(F.struct("application_id", customer.alias("c")))),
-            lambda x: x["c"]).alias("customers"))
-        .select("request_id", F.to_json(F.struct("customers")).alias("body"))
+            lambda x: x["c"]).alias("customers"), at_most(size).alias("_n"))
+        .filter("_n > 0").select("request_id", F.to_json(F.struct("customers")).alias("body"))
     )
 
 
@@ -146,7 +157,7 @@ def batch_response(scored: DataFrame, request: Column, total_ms: float) -> DataF
         F.sort_array(F.collect_list(F.struct(
             "application_id", "customer_id", "clf_proba", "clf_label", "conf_zone",
             "predicted_emi", F.lit(False).alias("cache_hit")))).alias("_rows"),
-        F.count(F.lit(1)).alias("total_scored"),
+        at_most(S.MAX_UPLOAD_ROWS).alias("total_scored"),
         *[F.count_if(F.col("conf_zone") == z).alias(z) for z in ZONES],
     ).withColumn("total_latency_ms", F.lit(float(total_ms))).withColumn(
         "latency_ms", F.bround(F.col("total_latency_ms") / F.col("total_scored"), 2)

@@ -26,8 +26,11 @@ def score_features(featured: DataFrame, models=None) -> DataFrame:
 
 
 def nightly(rows: DataFrame, root: str, date: str, run_id: str, expense_fallback: float,
-            reference: DataFrame | None = None, models=None) -> dict[str, DataFrame | str]:
-    """Publishes predictions and returns their path, the summary and the drift row."""
+            reference: DataFrame | None = None, models=None, again: bool = False) -> dict[str, DataFrame | str]:
+    """Publishes predictions and returns their path, the summary and the drift row.
+
+    ``again`` lets a retried run replace what its earlier attempt published.
+    """
     if rows.isEmpty():
         return {"skipped": "input is empty"}
     featured = featured_batch(rows, expense_fallback)
@@ -35,7 +38,7 @@ def nightly(rows: DataFrame, root: str, date: str, run_id: str, expense_fallback
         # written once, for the scores and for the drift check
         featured = staged(featured, "features")
     scored = staged(score_features(featured, models), "scored")
-    out = {"path": write_predictions(scored, root, date, run_id),
+    out = {"path": write_predictions(scored, root, date, run_id, again=again),
            "summary": scoring.batch_summary(scored)}
     if reference is not None:
         out["drift"] = drift.guarded_drift(rows.sparkSession, lambda: reference, lambda: featured)

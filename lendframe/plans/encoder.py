@@ -4,6 +4,7 @@ import json
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -13,20 +14,28 @@ from pyspark.sql import types as T
 
 from lendframe import schema as S
 
-# one output column per level: more than this is a wrong input, and is refused
-MAX_LEVELS = 5000
+def sparse_stages(columns, output: str = "sparse_levels") -> list:
+    """For columns of very many levels: index and one sparse vector, no column per level."""
+    indexed = [f"{c}_index" for c in columns]
+    return [StringIndexer(inputCols=list(columns), outputCols=indexed, handleInvalid="keep"),
+            OneHotEncoder(inputCols=indexed, outputCols=[f"{c}_levels" for c in columns], handleInvalid="keep"),
+            VectorAssembler(inputCols=[f"{c}_levels" for c in columns], outputCol=output)]
 
 
-def vocabulary(df: DataFrame, columns=None) -> dict[str, list[str]]:
-    """Sorted levels per category column; their number is checked, not cut."""
+def vocabulary(df: DataFrame, columns=None, max_levels: int = 5000) -> dict[str, list[str]]:
+    """Sorted levels per category column, one output column each.
+
+    Columns of more than ``max_levels`` levels are named in an error: they are ids or
+    free text, or belong to ``sparse_stages``.
+    """
     columns = [c for c in (columns or S.ENCODED_COLUMNS) if c in df.columns]
+    many = df.agg(*[F.approx_count_distinct(c, 0.01).alias(c) for c in columns]).first() if columns else {}
+    if wide := [c for c in columns if many[c] > max_levels]:
+        raise ValueError(f"more than {max_levels} category levels in {', '.join(wide)}")
     levels = (
         df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-        .unpivot([], columns, "column", "level").filter(F.col("level").isNotNull()).distinct()
-        .limit(MAX_LEVELS + 1).collect()
+        .unpivot([], columns, "column", "level").filter(F.col("level").isNotNull()).distinct().collect()
     )
-    if len(levels) > MAX_LEVELS:
-        raise ValueError(f"more than {MAX_LEVELS} category levels to encode")
     found = {c: [] for c in columns}
     for r in levels:
         found[r["column"]].append(r["level"])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lendframe import schema as S
 from lendframe.functions import expr as X
 from lendframe.operators.ranks import quantile_map
-from lendframe.staging import staged
+from lendframe.staging import discard, staged
 
 
 def total_expenses() -> Column:
@@ -97,6 +97,7 @@ class FeatureBuilder(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         # one column is written, so the two rank passes do not repeat what made the rows
         sums = staged(df.select(total_expenses().alias("expenses")), "expenses")
         fallback = quantile_map(sums, {"expenses": F.col("expenses")}).get(("expenses", 0.5))
+        discard(sums)
         return FeatureBuilderModel()._set(expenseFallback=0.0 if fallback is None else fallback)
 
 

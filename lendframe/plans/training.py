@@ -1,16 +1,20 @@
 """Model training on Spark ML: estimators, tuning, scoring and importances."""
 
+import json
 import random
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import keyword_only
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier, LogisticRegression, RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,32 +40,57 @@ def weighted(df: DataFrame, label: str = S.TARGET_CLASS, weights: dict | None =
     return df.withColumn(WEIGHT, w)
 
 
-class _Weighted:
-    """An estimator that is given balanced class weights when fitted."""
+class ClassWeigher(Estimator, DefaultParamsReadable, DefaultParamsWritable):
+    """Learns balanced class weights, so that a pipeline carries them with its model."""
 
-    def __init__(self, stages, label):
-        self.pipeline, self.label = Pipeline(stages=stages), label
+    labelCol = Param(Params._dummy(), "labelCol", "class column", TypeConverters.toString)
 
-    def fit(self, df: DataFrame) -> PipelineModel:
-        return self.pipeline.fit(weighted(df, self.label))
+    @keyword_only
+    def __init__(self, *, labelCol: str = S.TARGET_CLASS):
+        super().__init__()
+        self._setDefault(labelCol=S.TARGET_CLASS)
+        self._set(**self._input_kwargs)
 
+    def _fit(self, df: DataFrame) -> "ClassWeigherModel":
+        label = self.getOrDefault(self.labelCol)
+        weights = {str(k): w for k, w in class_weights(df, label).items()}
+        return ClassWeigherModel()._set(labelCol=label, weights=json.dumps(weights))
 
-def logistic_regression(label=S.TARGET_CLASS, features="features", iterations=100, reg=0.0) -> _Weighted:
-    return _Weighted([
+
+class ClassWeigherModel(Model, DefaultParamsReadable, DefaultParamsWritable):
+    """Adds the weight of a row's class; rows without a label weigh one."""
+
+    labelCol = Param(Params._dummy(), "labelCol", "class column", TypeConverters.toString)
+    weights = Param(Params._dummy(), "weights", "weight per class as JSON", TypeConverters.toString)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        label, w = self.getOrDefault(self.labelCol), F.lit(1.0)
+        if label in df.columns:
+            for k, x in json.loads(self.getOrDefault(self.weights)).items():
+                w = F.when(F.col(label).cast("string") == k, F.lit(float(x))).otherwise(w)
+        return df.withColumn(WEIGHT, w)
+
+
+def _weighed(stages, label) -> Pipeline:
+    return Pipeline(stages=[ClassWeigher(labelCol=label), *stages])
+
+
+def logistic_regression(label=S.TARGET_CLASS, features="features", iterations=1000, reg=0.0) -> Pipeline:
+    return _weighed([
         StandardScaler(inputCol=features, outputCol="scaled", withMean=True, withStd=True),
         LogisticRegression(featuresCol="scaled", labelCol=label, weightCol=WEIGHT,
                            maxIter=iterations, regParam=reg),
     ], label)
 
 
-def random_forest(label=S.TARGET_CLASS, features="features", trees=20, depth=8, seed=42) -> _Weighted:
-    return _Weighted([RandomForestClassifier(
+def random_forest(label=S.TARGET_CLASS, features="features", trees=20, depth=8, seed=42) -> Pipeline:
+    return _weighed([RandomForestClassifier(
         featuresCol=features, labelCol=label, weightCol=WEIGHT, numTrees=trees, maxDepth=depth,
         seed=seed)], label)
 
 
-def boosted_trees(label=S.TARGET_CLASS, features="features", rounds=20, depth=5, seed=42) -> _Weighted:
-    return _Weighted([GBTClassifier(
+def boosted_trees(label=S.TARGET_CLASS, features="features", rounds=20, depth=5, seed=42) -> Pipeline:
+    return _weighed([GBTClassifier(
         featuresCol=features, labelCol=label, weightCol=WEIGHT, maxIter=rounds, maxDepth=depth,
         seed=seed)], label)
 
@@ -104,13 +133,14 @@ def draw_settings(estimator, ranges: dict, trials: int, seed: int = 42) -> list[
 
 def tune(train: DataFrame, estimator, ranges: dict, trials: int = 3, folds: int = 3,
          sample: int = 50_000, regression: bool = False, parallelism: int = 4, seed: int = 42):
-    """Cross-validate drawn settings on a stratified sample, refit the best on all rows.
+    """Cross-validate drawn settings, refit the best on all rows.
 
-    Returns (model, best settings, mean metric).
+    Classifiers are compared on a sample of at most ``sample`` rows, stratified by
+    their label; regressors on all rows. Returns (model, best settings, mean metric).
     """
     label = estimator.getLabelCol()
     rows = train if regression else weighted(train, label)
-    small = tune_sample(rows, sample, seed=seed).persist()
+    small = (rows if regression else tune_sample(rows, sample, by=label, seed=seed)).persist()
     evaluator = (RegressionEvaluator(labelCol=label, metricName="rmse") if regression
                  else BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC"))
     maps = draw_settings(estimator, ranges, trials, seed)

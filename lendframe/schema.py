@@ -193,9 +193,6 @@ CACHE_HASH_CHARS = 16
 LATENCY_BOUNDS = [0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0]
 HIT_RATE_STEPS = [(0.8, "green"), (0.5, "yellow"), (0.0, "red")]
 
-RAW_TEXT_SCHEMA = T.StructType(
-    [T.StructField(c, T.StringType()) for c in EXPECTED_COLUMNS]
-)
 _REQUEST_DOUBLES = set(NUMERIC_COLUMNS) - {"age", "family_size", "dependents"}
 REQUEST_SCHEMA = T.StructType(
     [T.StructField("customer_id", T.StringType())]

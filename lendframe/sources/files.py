@@ -1,5 +1,6 @@
 """CSV scans with their checks, and the sinks."""
 
+import json
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,8 +11,6 @@ from lendframe import schema as S
 from lendframe.operators.cleaning import normalize_columns
 from lendframe.operators.profiling import missing_columns, row_count_gate
 
-_REPLACEMENT = "�"
-
 
 def _exists(spark: SparkSession, path: str):
     try:
@@ -23,7 +22,7 @@ def _exists(spark: SparkSession, path: str):
     return files
 
 
-def read_text_csv(spark: SparkSession, path: str, encoding: str = "UTF-8",
+def read_text_csv(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8",
                   multiline: bool = False) -> DataFrame:
     """All columns as text. Files are split among tasks unless values hold line breaks."""
     return spark.read.csv(path, header=True, inferSchema=False, encoding=encoding,
@@ -39,13 +38,15 @@ def null_tokens_to_null(df: DataFrame) -> DataFrame:
     })
 
 
-def _damaged(df: DataFrame) -> bool:
-    """Spark replaces bad bytes instead of failing; look for the replacement mark."""
-    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
-    hit = F.lit(False)
-    for c in texts:
-        hit = hit | F.coalesce(F.col(c).contains(_REPLACEMENT), F.lit(False))
-    return not df.filter(hit).isEmpty()
+def files_by_encoding(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The files that are not UTF-8, and the others; told by their bytes, file by file."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.is_valid_utf8("value").alias("valid"))
+    bad = {r.file for r in lines.filter(~F.col("valid")).select("file").distinct().collect()}
+    if not bad:
+        return {"UTF-8": [path]}
+    known = spark.read.format("binaryFile").load(path).select("path", F.col("_metadata.file_path").alias("file")).collect()
+    split = {"UTF-8": [r.path for r in known if r.file not in bad], "ISO-8859-1": [r.path for r in known if r.file in bad]}
+    return {encoding: paths for encoding, paths in split.items() if paths}
 
 
 def scan_validated(spark: SparkSession, path: str, validate: bool = True,
@@ -53,15 +54,16 @@ def scan_validated(spark: SparkSession, path: str, validate: bool = True,
                    encoding: str | None = None) -> DataFrame:
     """Checked scan: file there, ``.csv``, not empty, columns complete, enough rows.
 
-    With no encoding given, one pass looks for bytes that are not UTF-8.
+    With no encoding given, files whose bytes are not UTF-8 are read as Latin-1, the
+    others as UTF-8, so a damaged file leaves the others alone.
     """
     if not re.search(r"\.csv/?$", path.lower()):
         raise ValueError(f"expected a .csv input, got {path}")
     if not _exists(spark, path):
         raise ValueError(f"file is empty: {path}")
-    df = read_text_csv(spark, path, encoding or "UTF-8", multiline)
-    if encoding is None and _damaged(df):
-        df = read_text_csv(spark, path, "ISO-8859-1", multiline)
+    split = {encoding: [path]} if encoding else files_by_encoding(spark, path)
+    readings = [read_text_csv(spark, paths, name, multiline) for name, paths in split.items()]
+    df = readings[0] if len(readings) == 1 else readings[0].unionByName(readings[1], allowMissingColumns=True)
     df = null_tokens_to_null(normalize_columns(df))
     gate = row_count_gate(df, minimum if validate else 1)
     if gate["empty"]:
@@ -95,15 +97,27 @@ def batch_date(path) -> Column:
     return F.to_date(F.regexp_extract(c, r"(\d{4}-\d{2}-\d{2})", 1))
 
 
-def write_predictions(df: DataFrame, root: str, date: str, run_id: str, fmt: str = "parquet") -> str:
-    """One immutable folder per date and run; an existing one is an error."""
+def write_predictions(df: DataFrame, root: str, date: str, run_id: str, fmt: str = "parquet",
+                      again: bool = False) -> str:
+    """One folder per date and run. An existing one is an error, unless the very run is
+    repeated (``again``): it then replaces what its earlier attempt left."""
     run = re.sub(r"[:+/]", "_", run_id)
     path = f"{root.rstrip('/')}/batch_date={date}/run_id={run}"
-    writer = df.write.mode("errorifexists")
+    writer = df.write.mode("overwrite" if again else "errorifexists")
     (writer.option("header", True).csv if fmt == "csv" else writer.parquet)(path)
     return path
 
 
+def write_feature_names(df: DataFrame, path: str) -> list[str]:
+    """The numeric feature columns of a table, as a JSON list beside it."""
+    from lendframe.plans.encoder import numeric_features
+
+    names = numeric_features(df)
+    rows = df.sparkSession.createDataFrame([(json.dumps(names),)], "value string")
+    rows.coalesce(1).write.mode("overwrite").text(path)
+    return names
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
     df.write.mode("errorifexists").format(fmt).save(path)
     return df.sparkSession.read.format(fmt).schema(df.schema).load(path)

@@ -1,5 +1,7 @@
 """Where intermediate tables are written, and how a frame is cut from its lineage."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -22,7 +24,8 @@ def staging_root(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise ValueError(f"set {_DIR_SETTING} to a folder that all machines share")
     if context.applicationId not in _local_roots:
-        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="lendframe-")
+        root = _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="lendframe-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
     return _local_roots[context.applicationId]
 
 
@@ -30,6 +33,15 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a frame that ``staged`` returned, when nothing reads it any more."""
+    path = getattr(df, "staged_path", None)
+    if path:
+        jvm = df.sparkSession._jvm
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
 def staged(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
@@ -42,4 +54,6 @@ def staged(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.staged_path = path
+    return back

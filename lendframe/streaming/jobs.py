@@ -9,6 +9,8 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from lendframe import schema as S
 from lendframe.operators.cache import mark_hits, replay_misses
+from lendframe.operators.cleaning import clean_currency, coerce_numbers, normalize_columns
+from lendframe.operators.scoring import validate_requests
 from lendframe.staging import staged, staging_path
 
 LATENESS_SECONDS = 600
@@ -73,6 +75,37 @@ def stream_score(stream: DataFrame, score: Callable[[DataFrame], DataFrame], nam
     return stream.sparkSession.read.schema(scored.schema).parquet(f"{out}/batch=*")
 
 
+def stream_requests(stream: DataFrame, features: Callable[[DataFrame], DataFrame],
+                    score: Callable[[DataFrame], DataFrame], name: str = "requests") -> tuple[DataFrame, DataFrame]:
+    """Raw requests: the valid ones cleaned, featured and scored; the others with their problems.
+
+    Rows are judged by the values that cleaning would read. A repeated micro-batch
+    replaces its own folders, and no state is kept between micro-batches.
+    """
+    spark = stream.sparkSession
+    out, checkpoint = staging_path(spark, f"{name}-out"), staging_path(spark, f"{name}-checkpoint")
+
+    def write(df: DataFrame, batch: int) -> None:
+        judged = df.persist()
+        valid, refused = judge_requests(judged)
+        score(features(valid)).write.mode("overwrite").parquet(f"{out}/scored/batch={batch}")
+        refused.write.mode("overwrite").parquet(f"{out}/refused/batch={batch}")
+        judged.unpersist()
+
+    query = (stream.writeStream.option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).foreachBatch(write).start())
+    query.awaitTermination()
+    return spark.read.parquet(f"{out}/scored/batch=*"), spark.read.parquet(f"{out}/refused/batch=*")
+
+
+def judge_requests(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(raw rows of valid requests, the others with ``problems``)."""
+    raw = normalize_columns(df)
+    read = coerce_numbers(clean_currency(raw.withColumn("_raw", F.struct(*raw.columns))))
+    judged = validate_requests(read)
+    return judged.filter("valid").select("_raw.*"), judged.filter(~F.col("valid")).select("_raw.*", "problems")
+
+
 def stream_replay(stream: DataFrame, ttl: int = S.CACHE_TTL_SECONDS,
                   checkpoint: str | None = None, out: str | None = None,
                   lateness_seconds: int = LATENESS_SECONDS) -> DataFrame:

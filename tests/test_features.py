@@ -95,12 +95,16 @@ def test_first_level_and_unseen_levels_give_zeros(spark):
     assert [tuple(r) for r in out.collect()] == [(0, 0), (0, 0), (0, 0), (0, 1)]
 
 
-def test_too_many_levels_are_refused(spark, monkeypatch):
-    from lendframe.plans import encoder
+def test_columns_of_too_many_levels_are_named(spark):
+    from pyspark.ml import Pipeline
 
-    monkeypatch.setattr(encoder, "MAX_LEVELS", 3)
-    with pytest.raises(ValueError, match="levels"):
-        vocabulary(spark.range(5).select(F.col("id").cast("string").alias("g")), ["g"])
+    from lendframe.plans.encoder import sparse_stages
+
+    rows = spark.range(5).select(F.col("id").cast("string").alias("g"), F.lit("a").alias("h"))
+    with pytest.raises(ValueError, match="levels in g$"):
+        vocabulary(rows, ["g", "h"], max_levels=3)
+    vectors = Pipeline(stages=sparse_stages(["g", "h"])).fit(rows).transform(rows).collect()
+    assert all(r.sparse_levels.numNonzeros() == 2 for r in vectors)
 
 
 def test_infinities_become_zero(spark):

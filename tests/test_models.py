@@ -124,3 +124,15 @@ def test_models_learn_and_tune(spark):
     best, settings, score = M.tune(train, forest, {"maxDepth": [2, 3]}, trials=2, folds=2, sample=100)
     assert settings["maxDepth"] in (2, 3) and score > 0.8
     assert M.class_weights(train)[0] == pytest.approx(400 / (2 * train.filter("emi_eligibility = 0").count()))
+
+
+def test_alias_texts(spark):
+    from lendframe.operators import evaluation
+
+    assert evaluation.parse_alias("models:/emi@x@champion") == ("emi@x", "champion")
+    for bad in ("models:/emi", "emi@champion", "models:/@a", "models:/a@"):
+        with pytest.raises(ValueError):
+            evaluation.parse_alias(bad)
+    rows = spark.createDataFrame([("emi", "champion", 1, 10), ("emi", "champion", 3, 20), ("emi", "old", 1, 30)],
+                                 "registered_name string, alias string, version int, assigned_at int")
+    assert evaluation.resolve_alias(rows, "models:/emi@champion") == 3 and evaluation.resolve_alias(rows, "models:/no@champion") is None

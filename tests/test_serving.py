@@ -142,3 +142,24 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     first = jobs.latest(spark, out, ["window_start", "endpoint"], counts.schema).filter(
         "window_start = '1970-01-01 00:00:00'").first()
     assert first["requests"] == 2
+
+
+def test_request_stream_answers_every_request(spark, sample, tmp_path):
+    """Copies are answered too, bad requests are set aside, and the plan holds no state."""
+    from pyspark.ml import PipelineModel
+
+    from lendframe.operators import scoring
+    from lendframe.plans.cleaner import LoanCleaner
+    from lendframe.plans.features import FeatureBuilderModel
+
+    cleaner = LoanCleaner().fit(sample).for_inference()
+    model = PipelineModel([cleaner, FeatureBuilderModel()._set(expenseFallback=20000.0)])
+    raw = sample.unionByName(sample.limit(2)).unionByName(sample.limit(1).withColumn("requested_amount", F.lit(-5.0)))
+    raw.repartition(3).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    assert "Deduplicate" not in model.transform(stream)._jdf.queryExecution().analyzed().toString()
+    scored, refused = jobs.stream_requests(stream, model.transform, scoring.score_with_rules)
+    valid, bad = jobs.judge_requests(raw)
+    want = scoring.score_with_rules(model.transform(valid))
+    assert sorted(scored.drop("batch").collect()) == sorted(want.collect()) and scored.count() == 12
+    assert [r["problems"] for r in refused.collect()] == [["requested_amount"]] and bad.count() == 1

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,6 +57,44 @@ def test_other_encoding_and_null_texts(spark, tmp_path):
     assert [tuple(r) for r in rows] == [("José", None), ("x", " kept ")]
 
 
+def test_a_damaged_file_leaves_the_others_alone(spark, tmp_path):
+    folder = tmp_path / "many.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_bytes("name,amount\nJosé,₹500\n".encode())
+    (folder / "b 1.csv").write_bytes("name,amount\nJosé,£7\n".encode("latin-1"))
+    (folder / "c.csv").write_bytes("name,amount\na\ufffdb,₹9\n".encode())
+    rows = files.scan_validated(spark, str(folder), validate=False).collect()
+    assert sorted(map(tuple, rows)) == [("José", "£7"), ("José", "₹500"), ("a\ufffdb", "₹9")]
+
+
+def test_a_repeated_run_replaces_its_own_folder(spark, tmp_path):
+    df = spark.createDataFrame([(0.9, 1)], "clf_proba double, clf_label int")
+    for _ in range(2):
+        path = files.write_predictions(df, str(tmp_path), "2024-01-01", "run-3", again=True)
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_request_spans_of_large_and_negative_ids(spark):
+    from lendframe.operators.scoring import id_span
+
+    ids = [9223372036854775499, 499, 500, -1, -500, -501]
+    got = [r[0] for r in spark.createDataFrame([(i,) for i in ids], "i long").select(id_span("i", 500)).collect()]
+    assert got == [i // 500 for i in ids]
+
+
+def test_feature_names_are_a_json_list(spark, tmp_path):
+    df = spark.createDataFrame([(1, 2.0, "x")], "age int, bank_balance double, gender string")
+    assert files.write_feature_names(df, str(tmp_path / "names")) == ["age", "bank_balance"]
+    assert json.loads(spark.read.text(str(tmp_path / "names")).first()[0]) == ["age", "bank_balance"]
+
+
+def test_size_of_an_input(spark, tmp_path):
+    from lendframe.operators.profiling import input_bytes
+
+    (tmp_path / "x.csv").write_text("abc\n")
+    assert input_bytes(spark, str(tmp_path / "x.csv")) == 4
+
+
 def test_quoted_commas_and_line_breaks(spark, tmp_path):
     path = tmp_path / "quoted.csv"
     path.write_text('a,b\n"1,200","x ""y"""\n"two\nlines",z\n')
@@ -129,6 +169,28 @@ def test_two_share_z_value(spark):
     assert row["score"] == pytest.approx(normal_two_sided_tail(z), abs=1e-6)
 
 
+def test_columns_without_values(spark):
+    df = numbers(spark, 0, 1200)
+    gone = df.withColumns({"x": F.lit(None).cast("double")})
+    rows = {r["column"]: r for r in drift.drift_columns(df, gone, ["x", "g"]).collect()}
+    assert rows["x"]["drifted"] and rows["x"]["score"] is None and not rows["g"]["drifted"]
+    rows = {r["column"]: r for r in drift.drift_columns(gone, gone, ["x", "g"]).collect()}
+    assert not rows["x"]["drifted"] and rows["x"]["n_values"] == 0
+
+
+def test_a_test_of_choice(spark):
+    rows = drift.drift_columns(numbers(spark, 0, 1200), numbers(spark, 600, 1200), ["x"], tests={"x": "ks"}).collect()
+    assert rows[0]["test"] == "ks" and rows[0]["drifted"]
+    with pytest.raises(ValueError, match="unknown"):
+        drift.drift_columns(numbers(spark, 0, 5), numbers(spark, 0, 5), ["x"], tests={"x": "psi"})
+
+
+def test_too_few_shared_columns_are_no_drift(spark):
+    df = numbers(spark, 0, 20)
+    row = drift.guarded_drift(spark, lambda: df, lambda: df).first()
+    assert not row["drift_detected"] and not row["skipped"] and row["layer1_columns"] == []
+
+
 def test_missing_table_is_a_skipped_row(spark, tmp_path):
     row = drift.guarded_drift(spark, lambda: numbers(spark, 0, 5),
                               lambda: spark.read.parquet(str(tmp_path / "absent"))).first()
