@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 
 from lendframe.llm.bytes_np import LOWER, U, flat, window_hashes, word_hashes, word_spans
 from lendframe.llm.lattice import Sorted
-from lendframe.llm.packed import gathered
+from lendframe.llm.packed import gathered, trimmed
 
-BLOCK_BYTES, SHARD_BYTES = 8 << 20, 12 << 20
+BLOCK_BYTES, SHARD_BYTES = 8 << 20, 6 << 20
 WORD_BYTES = np.zeros(256, bool)
 WORD_BYTES[48:58] = WORD_BYTES[97:123] = WORD_BYTES[128:] = True
 MATCH = "array<struct<item_id:string,item_word:long,doc_word:long,n_words:long>>"
@@ -146,23 +146,22 @@ def _blocks(benchmark: DataFrame, id_column: str, text_column: str) -> list[Data
 def _scan(docs: DataFrame, suffixes: TestSuffixes, text_column: str) -> DataFrame:
     """``row`` (the document), ``n_words`` and ``matches`` with one block of test items."""
     sent = docs.sparkSession.sparkContext.broadcast(suffixes)
-    narrow = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                         F.col(f"`{text_column}`").cast("string").alias("text"))
+    narrow = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     schema = f"row {narrow.schema['row'].dataType.simpleString()}, n_words long, matches {MATCH}"
 
     def run(batches):
         own = sent.value
         for shard in gathered(batches, SHARD_BYTES):
-            n_words, m = own.matches(shard.column("text"))
+            rows = shard.column("row").combine_chunks()
+            n_words, m = own.matches(rows.field(text_column).cast(pa.string()))
             cuts = np.searchsorted(m["text"], np.arange(len(n_words) + 1))
             entries = pa.StructArray.from_arrays(
                 [pa.array(own.ids[m["item"]], pa.string()), *(pa.array(m[k], pa.int64()) for k in ("item_word", "doc_word", "n_words"))],
                 names=["item_id", "item_word", "doc_word", "n_words"])
-            rows = shard.column("row").combine_chunks()
             yield pa.record_batch([rows, pa.array(n_words, pa.int64()), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), entries)],
                                   names=["row", "n_words", "matches"])
 
-    return narrow.mapInArrow(run, schema)
+    return narrow.mapInArrow(trimmed(run), schema)
 
 
 def _load(block: DataFrame, window: int) -> TestSuffixes:

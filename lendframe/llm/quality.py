@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from lendframe.llm.bytes_np import U, flat
 from lendframe.llm.folds import held_out, teaching_labels
 from lendframe.llm.token_counts import parts
+from lendframe.llm.packed import trimmed
 
 WIDTH, FILTERS, CHUNK = 6, 16, 256
 HALF = CHUNK // 2
@@ -192,19 +193,19 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_column: s
 
 def scored(docs: DataFrame, network: Network | None, text_column: str = "text") -> DataFrame:
     """``row`` (the document, all columns) and ``score``."""
-    frame = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_column}`").cast("string").alias("value"))
+    frame = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     if network is None:
         return frame.select("row", F.lit(0.5).alias("score"))
     sent = docs.sparkSession.sparkContext.broadcast(network)
 
     def run(batches):
         for batch in batches:
-            sizes = pa.compute.binary_length(batch.column("value")).fill_null(0).to_pylist()
-            for a, b in parts(sizes, 4 * SLICE_BYTES):
-                part = batch.slice(a, b - a)
-                yield pa.record_batch([part.column("row"), pa.array(sent.value.probability(part.column("value")))], names=["row", "score"])
+            texts = batch.column("row").field(text_column).cast(pa.string())
+            for a, b in parts(pa.compute.binary_length(texts).fill_null(0).to_pylist(), 4 * SLICE_BYTES):
+                scores = sent.value.probability(texts.slice(a, b - a))
+                yield pa.record_batch([batch.column("row").slice(a, b - a), pa.array(scores)], names=["row", "score"])
 
-    return frame.mapInArrow(run, f"row {frame.schema['row'].dataType.simpleString()}, score double")
+    return frame.mapInArrow(trimmed(run), f"row {frame.schema['row'].dataType.simpleString()}, score double")
 
 
 def report(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: float = 0.3) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from lendframe.llm.bytes_np import U, flat, sliding_min
 from lendframe.llm.ids import keyed
-from lendframe.llm.packed import BLOB_SCHEMA, bucket_count, bucket_of, by_bucket, column, deal, mix
+from lendframe.llm.packed import BLOB_SCHEMA, bucket_count, bucket_of, by_bucket, column, deal, mix, trimmed
 from lendframe.llm.token_counts import parts
 from lendframe.staging import staged
 
@@ -190,7 +190,7 @@ def _text_blobs(docs: DataFrame, buckets: int) -> DataFrame:
             uid = batch.column("uid").to_numpy()
             yield from deal(bucket_of(uid, buckets), {c: batch.column(c) for c in batch.schema.names}, TEXTS)
 
-    return docs.select("uid", F.encode(F.coalesce(F.col("value").cast("string"), F.lit("")), "utf-8").alias("value"), "row").mapInArrow(run, BLOB_SCHEMA)
+    return docs.select("uid", F.encode(F.coalesce(F.col("value").cast("string"), F.lit("")), "utf-8").alias("value"), "row").mapInArrow(trimmed(run), BLOB_SCHEMA)
 
 
 def _run_blobs(docs: DataFrame, length: int, buckets: int) -> DataFrame:
@@ -204,7 +204,7 @@ def _run_blobs(docs: DataFrame, length: int, buckets: int) -> DataFrame:
                 r["start"], r["size"] = r["start"].astype(np.uint32), r["size"].astype(np.uint8)
                 yield from deal(bucket_of(r["key"], buckets), r, RUNS)
 
-    return docs.select("uid", F.col("value").cast("string").alias("value")).mapInArrow(run, BLOB_SCHEMA)
+    return docs.select("uid", F.col("value").cast("string").alias("value")).mapInArrow(trimmed(run), BLOB_SCHEMA)
 
 
 def _span_blobs(spans, buckets: int):
