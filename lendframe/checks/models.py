@@ -405,7 +405,7 @@ def save_load_pipeline(t):
     stages = [LoanCleaner(training=True), FeatureBuilder(), LoanEncoder(), *M.logistic_regression().getStages()]
     Pipeline(stages=stages).fit(t.applicants).write().save(path)
     scored = PipelineModel.load(path).transform(t.applicants).withColumn("p", M.probability())
-    zone = F.when(F.col("p") > 0.85, "auto_approve").when(F.col("p") >= 0.5, "human_review").otherwise("auto_reject")
+    zone = F.when(F.col("p") > S.AUTO_APPROVE, "auto_approve").when(F.col("p") >= S.AUTO_REJECT, "human_review").otherwise("auto_reject")
     rows = scored.select("application_id", F.col("p").between(0, 1).alias("in_range"), "p", zone.alias("own"))
     from lendframe.functions import expr as X
 
