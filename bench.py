@@ -11,8 +11,9 @@ import time
 from lendframe.checks.registry import Tables
 from lendframe.operators import cache, drift, evaluation, leakage, profiling, scoring, serving
 from lendframe.plans.batch import featured_batch, score_features
-from lendframe.plans.cleaner import clean
-from lendframe.plans.features import FeatureBuilder
+from lendframe.plans import training
+from lendframe.plans.cleaner import LoanCleaner, clean
+from lendframe.plans.features import FeatureBuilder, FeatureBuilderModel
 from lendframe.session import local_session
 from lendframe import schema as S
 
@@ -62,6 +63,30 @@ def drift_raw(t):
                                t.clean.filter("application_id % 2 = 1"), S.REQUEST_COLUMNS)
 
 
+def drift_layers(t):
+    return drift.drift_layers(t.features.filter("application_id % 2 = 0"), t.features.filter("application_id % 2 = 1"))
+
+
+def train_logreg(t):
+    _, train, test = t.encoded
+    return training.logistic_regression().fit(train).transform(test)
+
+
+def train_forest(t):
+    _, train, test = t.encoded
+    return training.random_forest().fit(train).transform(test)
+
+
+def train_boosted(t):
+    _, train, test = t.encoded
+    return training.boosted_trees().fit(train).transform(test)
+
+
+def single_request(t):
+    """One raw request through fitted cleaning, features and scoring; the statistics are fitted before."""
+    return scoring.score_with_rules(t.request_model(t.one_request))
+
+
 def request_rate(t):
     return serving.request_rate(t.requests)
 
@@ -86,6 +111,11 @@ QUERIES = {
     "auc": (auc, ["clean"]),
     "overlap": (overlap, ["clean", "fallback"]),
     "drift_raw": (drift_raw, ["clean"]),
+    "drift_layers": (drift_layers, ["clean", "fallback"]),
+    "train_logreg": (train_logreg, ["encoded"]),
+    "train_forest": (train_forest, ["encoded"]),
+    "train_boosted": (train_boosted, ["encoded"]),
+    "single_request": (single_request, ["request_model", "one_request"]),
     "request_rate": (request_rate, []),
     "latency_quantiles": (latency_quantiles, []),
     "cache_replay": (cache_replay, []),
@@ -97,6 +127,11 @@ def main():
     start = Tables.of(spark, SF_DIR)
     applications, events = start.applicants.count(), start.events.count()
     shared = Tables(spark, SF_DIR)
+    cleaner = LoanCleaner().fit(shared.applicants).for_inference()
+    builder = FeatureBuilderModel()._set(expenseFallback=shared.fallback)
+    raw = shared.applicants.limit(1)
+    shared.one_request = spark.createDataFrame(raw.collect(), raw.schema)
+    shared.request_model = lambda rows: builder.transform(cleaner.transform(rows))
     seconds = {}
     for name, (query, needs) in QUERIES.items():
         best = None

@@ -314,6 +314,26 @@ def drift_small_reference(t):
                                large_reference=1 << 62)
 
 
+_STATISTICS = [("bank_balance", True, False), ("age", True, False), ("credit_score_missing", True, True),
+               ("gender", False, True), ("house_type", False, True), ("existing_loans", False, True)]
+
+
+def _statistics_sql(c, number, few):
+    share = "(r + c) / (rt + ct)"
+    return f"""SELECT '{c}' AS "column", count(*) AS n_values,
+  {'round(max(abs(rc / rt - cc / ct)), 8)' if number else 'CAST(NULL AS DOUBLE)'} AS ks,
+  {"round(CAST(sum(CASE WHEN r > 0 THEN pow(c - r * ct / rt, 2) / (r * ct / rt) WHEN c > 0 THEN CAST('inf' AS DOUBLE) END) AS DOUBLE), 6)" if few else 'CAST(NULL AS DOUBLE)'} AS chi_square,
+  CASE WHEN count(*) = 2 THEN round(coalesce(sqrt(sum(pow(r / rt - c / ct, 2)) / nullif((1 - sum(pow({share}, 2))) * (1 / any_value(rt) + 1 / any_value(ct)), 0)), 0), 6) END AS z
+  FROM (SELECT r, c, sum(r) OVER (ORDER BY v) AS rc, sum(c) OVER (ORDER BY v) AS cc, sum(r) OVER () AS rt, sum(c) OVER () AS ct
+    FROM {_side_counts(c)})"""
+
+
+@check("drift_statistics", Q.query("features", Q.union_all([_statistics_sql(*x) for x in _STATISTICS]), _SHIFTED))
+def drift_statistics(t):
+    """Statistics of the small-reference tests."""
+    return drift.drift_statistics(*_halves(t), [c for c, _, _ in _STATISTICS])
+
+
 # --- models -----------------------------------------------------------------
 def _classifier_rows(t, name, **settings) -> DataFrame:
     encoder, train, test = t.encoded

@@ -104,6 +104,25 @@ def column_kinds(df: DataFrame, columns: list[str]) -> tuple[list[str], list[str
     return [c for c in columns if c not in text], text
 
 
+def drift_statistics(reference: DataFrame, current: DataFrame, columns: list[str],
+                     few_values: int = FEW_VALUES) -> DataFrame:
+    """What the p-values follow from: ``ks`` of numbers, ``chi_square`` of categories and of
+    numbers of few values, and ``z`` where there are two values."""
+    numeric, text = column_kinds(reference, columns)
+    parts = []
+    if numeric:
+        parts.append(numeric_distances(reference, current, numeric).withColumn("_num", F.lit(True)))
+    if text:
+        parts.append(categorical_distances(reference, current, text).withColumn("_num", F.lit(False)))
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+    ks = F.col("ks") if numeric else F.lit(None).cast("double")
+    few = ~F.col("_num") | (F.col("n_values") <= few_values)
+    return rows.select(
+        "column", "n_values", F.round(F.when(F.col("_num"), ks), 8).alias("ks"),
+        F.round(F.when(few, F.col("_chi")), 6).alias("chi_square"),
+        F.round(F.when(F.col("n_values") == 2, _two_share_z()), 6).alias("z"))
+
+
 def drift_columns(reference: DataFrame, current: DataFrame, columns: list[str],
                   distance_threshold: float = 0.1, p_threshold: float = 0.05,
                   large_reference: int = LARGE_REFERENCE, few_values: int = FEW_VALUES,
