@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from lendframe.llm.ids import keyed
 from lendframe.staging import staged
-from lendframe.llm.packed import trimmed
+from lendframe.llm.packed import map_batches
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = "\r\n\r\n"
@@ -112,7 +112,7 @@ def import_warc(spark: SparkSession, path: str) -> DataFrame:
                     at = end + 8 + size
                 yield pa.record_batch([pa.array(headers, pa.binary()), pa.array(blocks, pa.binary())], names=["header", "block"])
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(trimmed(run), "header binary, block binary")
+    return spark.read.format("binaryFile").load(path).select("content").transform(map_batches, run, "header binary, block binary")
 
 
 def report(pages: DataFrame, path: str, least_bytes: int = 0) -> DataFrame:

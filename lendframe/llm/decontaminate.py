@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 
 from lendframe.llm.bytes_np import LOWER, U, flat, window_hashes, word_hashes, word_spans
 from lendframe.llm.lattice import Sorted
-from lendframe.llm.packed import gathered, trimmed
+from lendframe.llm.packed import gathered, map_batches
 
-BLOCK_BYTES, SHARD_BYTES = 8 << 20, 6 << 20
+BLOCK_BYTES, SHARD_BYTES = 8 << 20, 4 << 20
 WORD_BYTES = np.zeros(256, bool)
 WORD_BYTES[48:58] = WORD_BYTES[97:123] = WORD_BYTES[128:] = True
 MATCH = "array<struct<item_id:string,item_word:long,doc_word:long,n_words:long>>"
@@ -161,7 +161,7 @@ def _scan(docs: DataFrame, suffixes: TestSuffixes, text_column: str) -> DataFram
             yield pa.record_batch([rows, pa.array(n_words, pa.int64()), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), entries)],
                                   names=["row", "n_words", "matches"])
 
-    return narrow.mapInArrow(trimmed(run), schema)
+    return narrow.transform(map_batches, run, schema)
 
 
 def _load(block: DataFrame, window: int) -> TestSuffixes:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from lendframe.llm.components import components
 from lendframe.llm.ids import keyed
-from lendframe.llm.packed import bucket_count, mix, trimmed
+from lendframe.llm.packed import bucket_count, mix, map_batches
 from lendframe.staging import staged
 
 U = np.uint64
@@ -87,7 +87,7 @@ def _entries(classes: DataFrame, directions: int, tables: int) -> DataFrame:
                     for t in range(tables):
                         yield pa.record_batch([pa.array(keys[:, t].copy()), pa.array(np.full(len(rows), t, np.int32)), uid, copies, lists, codes], names=names)
 
-    return classes.select("uid", "copies", F.col("vector").cast("array<double>").alias("vector"), F.size("vector").cast("long").alias("size")).mapInArrow(trimmed(run), schema)
+    return classes.select("uid", "copies", F.col("vector").cast("array<double>").alias("vector"), F.size("vector").cast("long").alias("size")).transform(map_batches, run, schema)
 
 
 def _labels(linked: np.ndarray) -> np.ndarray:

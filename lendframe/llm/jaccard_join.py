@@ -33,12 +33,12 @@ from pyspark.sql import functions as F
 from lendframe.llm.bytes_np import LOWER, U, flat, window_hashes, word_hashes, word_spans
 from lendframe.llm.components import components
 from lendframe.llm.ids import keyed
-from lendframe.llm.packed import BLOB_SCHEMA, bucket_count, bucket_of, by_bucket, column, deal, gathered, mix, trimmed, unpack, unpacked
+from lendframe.llm.packed import BLOB_SCHEMA, bucket_count, bucket_of, by_bucket, column, deal, gathered, mix, map_batches, unpack, unpacked
 from lendframe.llm.token_counts import parts
 from lendframe.staging import staged
 
 #: The sketch has 2 ** SKETCH_BITS counters; prefixes grow by at most LONGEST - 1 shingles.
-SKETCH_BITS, LONGEST, PART_BYTES = 20, 8, 8 << 20
+SKETCH_BITS, LONGEST, PART_BYTES = 20, 8, 4 << 20
 TEXTS, COPIES, SKETCH, ENTRIES, LISTS, PAIRS, WANTED, LABELS, LINKS, TRIED = range(10)
 WORD_BYTES = np.ones(256, bool)
 WORD_BYTES[[9, 10, 11, 12, 13, 32]] = False
@@ -104,7 +104,7 @@ def _deal_texts(docs: DataFrame, buckets: int) -> DataFrame:
                                                       "row": table.column("row").combine_chunks()}, TEXTS)
 
     binary = F.encode(F.coalesce(F.col("value").cast("string"), F.lit("")), "utf-8")
-    return docs.select("uid", binary.alias("value"), "row").mapInArrow(trimmed(run), BLOB_SCHEMA)
+    return docs.select("uid", binary.alias("value"), "row").transform(map_batches, run, BLOB_SCHEMA)
 
 
 def _merge_copies(size: int, buckets: int):
@@ -187,7 +187,7 @@ def _prefix_entries(texts: DataFrame, estimates: np.ndarray, size: int, percent:
                 yield from deal(bucket_of(hashes, buckets), {
                     "shingle": hashes, "uid": column(part, "uid")[of], "size": n[of].astype(np.uint32), "k": k[of].astype(np.uint8)}, ENTRIES)
 
-    return texts.mapInArrow(trimmed(run), BLOB_SCHEMA)
+    return texts.transform(map_batches, run, BLOB_SCHEMA)
 
 
 def _count_pairs(x, y, least, buckets: int):
@@ -355,7 +355,7 @@ def _rows(blobs: DataFrame, columns: list[str]) -> DataFrame:
         for t in unpacked(batches):
             yield pa.record_batch([pa.array(column(t, c).astype(np.int64)) for c in columns], names=columns)
 
-    return blobs.select("blob").mapInArrow(trimmed(run), ", ".join(f"{c} long" for c in columns))
+    return blobs.select("blob").transform(map_batches, run, ", ".join(f"{c} long" for c in columns))
 
 
 def _blobs(rows: DataFrame, key: str, kind: int, buckets: int) -> DataFrame:
@@ -363,7 +363,7 @@ def _blobs(rows: DataFrame, key: str, kind: int, buckets: int) -> DataFrame:
         for t in gathered(batches, 16 << 20):
             yield from deal(bucket_of(column(t, key), buckets), {c: column(t, c) for c in t.column_names}, kind)
 
-    return rows.mapInArrow(trimmed(run), BLOB_SCHEMA)
+    return rows.transform(map_batches, run, BLOB_SCHEMA)
 
 
 class _Work:

@@ -42,7 +42,7 @@ def _power(n: int) -> np.uint64:
 class Sorted:
     """Sorted keys with values; a bit table answers most absent keys without a search."""
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray, bits: int = 24):
+    def __init__(self, keys: np.ndarray, values: np.ndarray, bits: int = 22):
         order = np.argsort(keys)
         self.keys, self.values = keys[order], values[order]
         self.shift = U(64 - bits)
@@ -151,7 +151,7 @@ class Vocabulary:
         if len(new):
             made = self._apart((new >> U(32)).astype(np.int64), (new & U(0xFFFFFFFF)).astype(np.int64))
             out[~have] = made
-            if len(known) > 4_000_000:  # forget, so that memory stays bounded
+            if len(known) > 2_000_000:  # forget, so that memory stays bounded
                 known, values = known[:0], values[:0]
             where = np.searchsorted(known, new)
             self._known = (np.insert(known, where, new), np.insert(values, where, made))

@@ -21,6 +21,7 @@ with contextlib.suppress(OSError):
     _libc = ctypes.CDLL("libc.so.6")
     _libc = _libc if hasattr(_libc, "malloc_trim") else None
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BLOB_SCHEMA = "bucket int, kind int, blob binary"
 _ARROW_SCHEMA = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary())])
 _WRITE = pa.ipc.IpcWriteOptions(compression="zstd")
@@ -126,6 +127,15 @@ def trimmed(function):
     return run
 
 
+def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
+    """``mapInArrow`` for rows that hold whole texts: batches of fewer rows than Spark's own default, unless the session
+    has another setting, and no free memory left behind."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_ROWS, "10000") == "10000":
+        conf.set(_BATCH_ROWS, "1000")
+    return df.mapInArrow(trimmed(function), schema)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit keys."""
     x = x.astype(np.uint64, copy=True)

@@ -21,11 +21,11 @@ from pyspark.sql import functions as F
 
 from lendframe.llm.lattice import piece_vocabulary
 from lendframe.llm.token_counts import parts
-from lendframe.llm.packed import trimmed
+from lendframe.llm.packed import map_batches
 
 MARK = "▁"
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-REMEMBERED, TEXT_BYTES = 300_000, 2 << 20
+REMEMBERED, TEXT_BYTES = 250_000, 2 << 20
 
 
 def _taken(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -136,7 +136,7 @@ def encode(docs: DataFrame, path: str, kind: str = "bpe", id_column: str = "doc_
                      tokens, pa.array(same, pa.bool_())],
                     names=[id_column, "n_bytes", "n_tokens", "tokens", "round_trip"])
 
-    return narrow.mapInArrow(trimmed(run), schema)
+    return narrow.transform(map_batches, run, schema)
 
 
 def decode(rows: DataFrame, path: str, kind: str = "bpe", id_column: str = "doc_id", tokens_column: str = "tokens") -> DataFrame:
@@ -153,4 +153,4 @@ def decode(rows: DataFrame, path: str, kind: str = "bpe", id_column: str = "doc_
             texts = [raw.decode("utf-8", "replace") for raw in own.decode(ids, counts)]
             yield pa.record_batch([batch.column("id"), pa.array(texts, pa.string())], names=[id_column, "text"])
 
-    return narrow.mapInArrow(trimmed(run), schema)
+    return narrow.transform(map_batches, run, schema)

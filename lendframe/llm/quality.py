@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from lendframe.llm.bytes_np import U, flat
 from lendframe.llm.folds import held_out, teaching_labels
 from lendframe.llm.token_counts import parts
-from lendframe.llm.packed import trimmed
+from lendframe.llm.packed import map_batches
 
 WIDTH, FILTERS, CHUNK = 6, 16, 256
 HALF = CHUNK // 2
@@ -205,7 +205,7 @@ def scored(docs: DataFrame, network: Network | None, text_column: str = "text")
                 scores = sent.value.probability(texts.slice(a, b - a))
                 yield pa.record_batch([batch.column("row").slice(a, b - a), pa.array(scores)], names=["row", "score"])
 
-    return frame.mapInArrow(trimmed(run), f"row {frame.schema['row'].dataType.simpleString()}, score double")
+    return frame.transform(map_batches, run, f"row {frame.schema['row'].dataType.simpleString()}, score double")
 
 
 def report(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: float = 0.3) -> DataFrame:

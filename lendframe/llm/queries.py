@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 from lendframe.staging import staging_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # workers on this machine import the package from where the driver has it, whatever folder they start in
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -31,11 +31,11 @@ from pyspark.sql import functions as F
 
 from lendframe.llm.bytes_np import U, flat, sliding_min
 from lendframe.llm.ids import keyed
-from lendframe.llm.packed import BLOB_SCHEMA, bucket_count, bucket_of, by_bucket, column, deal, mix, trimmed
+from lendframe.llm.packed import BLOB_SCHEMA, bucket_count, bucket_of, by_bucket, column, deal, gathered, map_batches, mix
 from lendframe.llm.token_counts import parts
 from lendframe.staging import staged
 
-ANCHOR, PART_BYTES, SORT_BYTES = 40, 2 << 20, 1 << 20
+ANCHOR, PART_BYTES, SORT_BYTES, DEAL_BYTES = 40, 1 << 20, 1 << 20, 8 << 20
 TEXTS, SPANS, WANTED, RUNS = range(4)
 _B = 0x9E3779B97F4A7C15
 _VALUE = mix(np.arange(1, 257, dtype=np.uint64) * U(0xD6E8FEB86659FD93)) | U(1)
@@ -186,11 +186,10 @@ def joined(doc: np.ndarray, start: np.ndarray, end: np.ndarray):
 def _text_blobs(docs: DataFrame, buckets: int) -> DataFrame:
     """All documents dealt by ``uid``."""
     def run(batches):
-        for batch in batches:
-            uid = batch.column("uid").to_numpy()
-            yield from deal(bucket_of(uid, buckets), {c: batch.column(c) for c in batch.schema.names}, TEXTS)
+        for t in gathered(batches, DEAL_BYTES):
+            yield from deal(bucket_of(column(t, "uid"), buckets), {c: t.column(c).combine_chunks() for c in t.column_names}, TEXTS)
 
-    return docs.select("uid", F.encode(F.coalesce(F.col("value").cast("string"), F.lit("")), "utf-8").alias("value"), "row").mapInArrow(trimmed(run), BLOB_SCHEMA)
+    return docs.select("uid", F.encode(F.coalesce(F.col("value").cast("string"), F.lit("")), "utf-8").alias("value"), "row").transform(map_batches, run, BLOB_SCHEMA)
 
 
 def _run_blobs(docs: DataFrame, length: int, buckets: int) -> DataFrame:
@@ -204,7 +203,7 @@ def _run_blobs(docs: DataFrame, length: int, buckets: int) -> DataFrame:
                 r["start"], r["size"] = r["start"].astype(np.uint32), r["size"].astype(np.uint8)
                 yield from deal(bucket_of(r["key"], buckets), r, RUNS)
 
-    return docs.select("uid", F.col("value").cast("string").alias("value")).mapInArrow(trimmed(run), BLOB_SCHEMA)
+    return docs.select("uid", F.col("value").cast("string").alias("value")).transform(map_batches, run, BLOB_SCHEMA)
 
 
 def _span_blobs(spans, buckets: int):

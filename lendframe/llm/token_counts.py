@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendframe.llm.lattice import byte_vocabulary
-from lendframe.llm.packed import trimmed
+from lendframe.llm.packed import map_batches
 
 #: Pattern of the byte-level pre-tokenizer (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -143,4 +143,4 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512, id_column: str =
                      pa.array([t > limit for t in totals], pa.bool_()), pa.array(fits, pa.int64())],
                     names=[id_column, "n_bytes", "n_tokens", "over_limit", "fits_bytes"])
 
-    return narrow.mapInArrow(trimmed(run), schema)
+    return narrow.transform(map_batches, run, schema)
