@@ -2,8 +2,6 @@
 
 from functools import reduce
 
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -368,15 +366,27 @@ def quantiles(df: DataFrame, columns, probabilities) -> DataFrame:
 
 
 # --- correlation and tests --------------------------------------------------
+# six sums a cell: with more of them in one aggregate Spark would not compile it
+_CELLS_AT_ONCE = 16
+
+
 def correlation_matrix(df: DataFrame, columns=tuple(S.CORRELATION_COLUMNS)) -> DataFrame:
-    """Pearson r of every pair below the diagonal, each over its complete rows, in one pass."""
+    """Pearson r of every pair below the diagonal, each over its complete rows.
+
+    Cells are computed a few at a time, by aggregates that read their columns only and
+    leave one row per task.
+    """
     rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[:i]]
-    # corr skips rows in which either value is missing
-    found = rows.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    cells = [F.struct(F.lit(a).alias("row_name"), F.lit(b).alias("column_name"), F.col(f"r{i}").alias("r"))
-             for i, (a, b) in enumerate(pairs)]
-    return found.select(F.inline(F.array(*cells))).withColumn("r", F.round(F.when(~F.isnan("r"), F.col("r")), 6))
+    parts = []
+    for start in range(0, len(pairs), _CELLS_AT_ONCE):
+        some = pairs[start:start + _CELLS_AT_ONCE]
+        # corr skips rows in which either value is missing
+        found = rows.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(some)])
+        cells = [F.struct(F.lit(a).alias("row_name"), F.lit(b).alias("column_name"), F.col(f"r{i}").alias("r"))
+                 for i, (a, b) in enumerate(some)]
+        parts.append(found.select(F.inline(F.array(*cells))))
+    return reduce(DataFrame.unionByName, parts).withColumn("r", F.round(F.when(~F.isnan("r"), F.col("r")), 6))
 
 
 def _correlations(df: DataFrame, columns, target: str) -> DataFrame:
