@@ -25,7 +25,7 @@ from lendframe.llm.packed import map_batches
 
 MARK = "▁"
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-REMEMBERED, TEXT_BYTES = 250_000, 2 << 20
+REMEMBERED, TEXT_BYTES = 500_000, 4 << 20
 
 
 def _taken(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -58,11 +58,11 @@ class Codec:
         for n, members in self.vocabulary.groups(np.array([len(w) for w in new], np.int64)):
             joined = "".join(new[i] for i in members.tolist())
             units = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(members), n)
-            for i, ids in zip(members.tolist(), self.vocabulary.back(self.vocabulary.segment(units)[0])):
-                made[i] = ids
-        for i, w in enumerate(new):
-            if self.vocabulary.unknown in made[i]:
-                made[i] = self._bytes(w, made[i])
+            last = self.vocabulary.segment(units)[0]
+            odd = (last == self.vocabulary.unknown).any(axis=1).tolist()
+            for i, ids, has in zip(members.tolist(), self.vocabulary.back(last), odd):
+                made[i] = self._bytes(new[i], ids) if has else ids
+        for w in new:
             self.known[w] = len(self.known)
         self.flat.append(np.concatenate([np.zeros(0, np.int32), *made]).astype(np.int32))
         self.size.append(np.array([len(x) for x in made], np.int64))
