@@ -81,6 +81,18 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.report(table(spark, sf_dir, "documents"), size=5, percent=75)
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lendframe.llm import packing
+
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), capacity=1024, end_id=2)
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lendframe.llm import phrases
+
+    return phrases.collocations(table(spark, sf_dir, "documents"), least=30, most_words=4, cover_percent=80, most=2000)
+
+
 QUERIES = {
     "op1_chaining": op1_chaining,
     "op2_warc_archive": op2_warc_archive,
@@ -92,6 +104,8 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_token_counts": op9_token_counts,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_packing": op11_packing,
+    "op12_phrases": op12_phrases,
 }
 _WORDS5 = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
@@ -164,4 +178,25 @@ edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
 reach AS (SELECT doc_id AS node, doc_id AS seen FROM d UNION SELECT r.node, e.y FROM reach r JOIN edges e ON e.x = r.seen)
 SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT node AS doc_id, min(seen) AS component_id FROM reach GROUP BY node) USING (doc_id)""",
+    "op12_phrases": r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+f AS (SELECT lang, k, phrase, count(*) AS a
+      FROM (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+            FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3), (4)) s(k) WHERE len(w) >= k))
+      GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2),
+cuts AS (SELECT lang, phrase, a, j, array_to_string(w[1:j], ' ') AS x, array_to_string(w[j + 1:k], ' ') AS y
+         FROM (SELECT *, unnest(range(1, k)) AS j FROM c)),
+best AS (SELECT lang, phrase, a, l, r, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS first FROM (
+        SELECT cuts.*, p.a AS l, q.a AS r, CAST((CAST(2000000 AS HUGEINT) * cuts.a) // (p.a + q.a) AS BIGINT) AS score
+        FROM cuts JOIN f p ON p.lang = cuts.lang AND p.phrase = x JOIN f q ON q.lang = cuts.lang AND q.phrase = y)) WHERE first = 1),
+longer AS (SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, max(a) AS longer
+           FROM (SELECT *, unnest(range(1, k - s + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS s FROM c WHERE k >= 3)) GROUP BY ALL),
+ranked AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+           FROM best b LEFT JOIN longer g ON g.lang = b.lang AND g.phrase = b.phrase WHERE longer IS NULL OR 100 * longer < 80 * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000""",
 }
