@@ -93,6 +93,12 @@ def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"), least=30, most_words=4, cover_percent=80, most=2000)
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lendframe.llm import alignment
+
+    return alignment.alignments(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_chaining": op1_chaining,
     "op2_warc_archive": op2_warc_archive,
@@ -106,6 +112,7 @@ QUERIES = {
     "op10_jaccard_join": op10_jaccard_join,
     "op11_packing": op11_packing,
     "op12_phrases": op12_phrases,
+    "op13_alignment": op13_alignment,
 }
 _WORDS5 = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
