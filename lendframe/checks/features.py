@@ -11,6 +11,7 @@ from lendframe.operators import cache, leakage, scoring
 from lendframe.operators.ranks import exact_quantiles, long_values
 from lendframe.plans import features as P
 from lendframe.plans.encoder import encode, one_hot_columns, sanitized, vocabulary
+from lendframe.sources.store import FeatureStore
 from lendframe.staging import staging_path
 
 _INTEGERS = ["credit_score_ord", "has_emergency_fund", "is_renter", "high_credit", "low_expense_burden"]
@@ -288,16 +289,29 @@ _LATER = f"""later AS (SELECT {_key_sql('customer_id')} AS cache_key, max(applic
   WHERE application_id % 3 = 0 GROUP BY 1)"""
 
 
-@check("cache_upsert", Q.query("features", """
+_UPSERTED = Q.query("features", """
 SELECT coalesce(l.cache_key, s.cache_key) AS cache_key, coalesce(l.seq, s.seq) AS seq,
   CASE WHEN l.seq IS NOT NULL THEN '2024-01-03 00:00:00' ELSE '2024-01-02 00:00:00' END AS expires_at
-FROM store s FULL JOIN later l ON s.cache_key = l.cache_key""", _BLANKED, _STORE, _LATER))
+FROM store s FULL JOIN later l ON s.cache_key = l.cache_key""", _BLANKED, _STORE, _LATER)
+
+
+@check("cache_upsert", _UPSERTED)
 def cache_upsert(t):
     later = cache.batch_write(t.features.filter("application_id % 3 = 0"), _PAYLOAD, written_at=_at("2024-01-02 00:00:00"))
     return cache.upsert(_store(t), later).select(
         "cache_key", "seq", F.date_format("expires_at", "yyyy-MM-dd HH:mm:ss").alias("expires_at"))
 
 
+@check("store_upsert", _UPSERTED)
+def store_upsert(t):
+    """The same in a store on disk, of which only the touched buckets are written."""
+    later = cache.batch_write(t.features.filter("application_id % 3 = 0"), _PAYLOAD, written_at=_at("2024-01-02 00:00:00"))
+    store = FeatureStore(t.spark, staging_path(t.spark, "store"))
+    store.upsert(_store(t))
+    store.upsert(later)
+    return store.read().select("cache_key", "seq", F.date_format("expires_at", "yyyy-MM-dd HH:mm:ss").alias("expires_at"))
+
+
 @check("cache_lookup", Q.query("features", f"""
 SELECT f.application_id, s.cache_key IS NOT NULL AS cache_hit,
   coalesce(s.payload, {_payload_sql(_PAYLOAD)}) AS payload
@@ -326,12 +340,23 @@ def _deletions(t):
         F.concat(F.lit("CUST-"), F.col("c_custkey").cast("string")).alias("customer_id"))
 
 
-@check("cache_invalidate", Q.query("features", """
-SELECT cache_key, seq FROM store WHERE cache_key NOT IN (SELECT cache_key FROM gone)""", _BLANKED, _STORE, _GONE))
+_INVALIDATED = Q.query("features", """
+SELECT cache_key, seq FROM store WHERE cache_key NOT IN (SELECT cache_key FROM gone)""", _BLANKED, _STORE, _GONE)
+
+
+@check("cache_invalidate", _INVALIDATED)
 def cache_invalidate(t):
     return cache.invalidate(_store(t), _deletions(t)).select("cache_key", "seq")
 
 
+@check("store_invalidate", _INVALIDATED)
+def store_invalidate(t):
+    store = FeatureStore(t.spark, staging_path(t.spark, "store"))
+    store.upsert(_store(t))
+    store.invalidate(_deletions(t))
+    return store.read().select("cache_key", "seq")
+
+
 @check("cache_invalidated_keys", Q.query("features", """
 SELECT cache_key, cache_key IN (SELECT cache_key FROM store) AS deleted FROM gone""", _BLANKED, _STORE, _GONE))
 def cache_invalidated_keys(t):

@@ -199,7 +199,7 @@ SELECT customer_id, conf_zone, clf_proba, CASE WHEN clf_label = 1 THEN 'Eligible
 
 
 def _responses(t):
-    return scoring.batch_response(t.scored, F.floor(F.col("application_id") / 500), 425.0)
+    return scoring.batch_response(t.scored, scoring.id_span("application_id", 500), 425.0)
 
 
 @check("results_frame", _RESPONSE)

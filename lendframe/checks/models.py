@@ -412,24 +412,28 @@ def tune_regressor(t):
         F.col(S.TARGET_AMOUNT).alias("actual"), F.col("prediction").alias("predicted"))).withColumn("cv_rmse", F.lit(score))
 
 
-@check("save_load_pipeline", Q.query("clean", "SELECT application_id, TRUE AS in_range, TRUE AS zone_fits FROM clean"))
+@check("save_load_pipeline", Q.query("clean", """
+SELECT application_id, clf_proba, clf_label, conf_zone, predicted_emi, TRUE AS same_probability FROM scored""", Q.SCORED))
 def save_load_pipeline(t):
-    """Cleaning, features, encoding, class weights and model as one saved artefact, loaded and applied to raw rows."""
+    """Raw rows through two saved and loaded artefacts: cleaning and rules, whose scores are compared; and cleaning, features, encoding,
+    class weights and a model, whose probabilities must be those of the model in memory."""
     from pyspark.ml import Pipeline, PipelineModel
 
     from lendframe.plans.cleaner import LoanCleaner
     from lendframe.plans.encoder import LoanEncoder
     from lendframe.plans.features import FeatureBuilder
+    from lendframe.plans.rules import RuleScorer
 
-    path = staging_path(t.spark, "artefact")
-    stages = [LoanCleaner(training=True), FeatureBuilder(), LoanEncoder(), *M.logistic_regression().getStages()]
-    Pipeline(stages=stages).fit(t.applicants).write().save(path)
-    scored = PipelineModel.load(path).transform(t.applicants).withColumn("p", M.probability())
-    zone = F.when(F.col("p") > S.AUTO_APPROVE, "auto_approve").when(F.col("p") >= S.AUTO_REJECT, "human_review").otherwise("auto_reject")
-    rows = scored.select("application_id", F.col("p").between(0, 1).alias("in_range"), "p", zone.alias("own"))
-    from lendframe.functions import expr as X
+    def loaded(stages):
+        fitted, path = Pipeline(stages=stages).fit(t.applicants), staging_path(t.spark, "artefact")
+        fitted.write().save(path)
+        return fitted, PipelineModel.load(path)
 
-    return rows.select("application_id", "in_range", (X.zone(F.col("p")) == F.col("own")).alias("zone_fits"))
+    _, rules = loaded([LoanCleaner(training=True), RuleScorer()])
+    fitted, model = loaded([LoanCleaner(training=True), FeatureBuilder(), LoanEncoder(), *M.logistic_regression().getStages()])
+    p, q = (m.transform(t.applicants).select("application_id", M.probability().alias(name)) for m, name in ((fitted, "p"), (model, "q")))
+    same = p.join(q, "application_id").select("application_id", (F.abs(F.col("p") - F.col("q")) < 1e-12).alias("same_probability"))
+    return rules.transform(t.applicants).select("application_id", "clf_proba", "clf_label", "conf_zone", "predicted_emi").join(same, "application_id")
 
 
 @check("topk_importance")
@@ -460,6 +464,63 @@ def score_rows_models(t):
                                 GBTRegressionModel.load(regressor_path))
 
 
+_BOOSTED = {"maxDepth": [2, 4, 6], "stepSize": [0.1, 0.3], "subsamplingRate": [0.7, 1.0]}
+
+
+def _named(settings: dict):
+    return F.lit(",".join(f"{k}={v}" for k, v in sorted(settings.items()))).alias("model")
+
+
+@check("tune_boosted")
+def tune_boosted(t):
+    """Boosted classifiers with early stopping: settings drawn without repetition, trees of the best one."""
+    from pyspark.ml.classification import GBTClassifier
+
+    _, train, test = t.encoded
+    boosted = M.early_stopped(GBTClassifier(labelCol=S.TARGET_CLASS, weightCol=M.WEIGHT, seed=42), rounds=30)
+    model, settings, score = M.tune(M.with_validation(train), boosted, _BOOSTED, trials=2, folds=2)
+    scored = model.transform(test).select(_named(settings), F.col(S.TARGET_CLASS).alias("label"), M.probability().alias("score"))
+    return E.eval_classifier(scored).withColumns({"cv_auc": F.lit(score), "trees": F.lit(model.getNumTrees)})
+
+
+@check("tune_boosted_regressor")
+def tune_boosted_regressor(t):
+    """The same for the amount, compared on all rows."""
+    from pyspark.ml.regression import GBTRegressor
+
+    _, train, test = t.encoded
+    boosted = M.early_stopped(GBTRegressor(labelCol=S.TARGET_AMOUNT, seed=42), rounds=30)
+    model, settings, score = M.tune(M.with_validation(train), boosted, _BOOSTED, trials=2, folds=2, regression=True)
+    return E.eval_regressor(model.transform(test).select(
+        _named(settings), F.col(S.TARGET_AMOUNT).alias("actual"), F.col("prediction").alias("predicted"))).withColumns(
+        {"cv_rmse": F.lit(score), "trees": F.lit(model.getNumTrees)})
+
+
+_OUTSIDE = {"credit_score": 0.012, "monthly_salary": 0.00001, "requested_amount": -0.000004, "gender_Male": 0.3,
+            "house_type_Rented": -0.4, "education_Unknown": -0.2, "bank_balance_missing": -0.1, "no_such_column": 5.0}
+# such weights that no amount ends on half a cent
+_OUTSIDE_AMOUNT = {"monthly_salary": 0.201370719, "bank_balance": 0.010130717}
+_OUTSIDE_SQL = """CAST(credit_score AS DOUBLE) * 0.012 + monthly_salary * 0.00001 + requested_amount * -0.000004 + CAST(gender = 'Male' AS DOUBLE) * 0.3
+  + CAST(house_type = 'Rented' AS DOUBLE) * -0.4 + CAST(education = 'Unknown' AS DOUBLE) * -0.2 + bank_balance_missing * -0.1 - 8.0"""
+
+
+@check("score_outside_model", Q.query("clean", f"""
+SELECT application_id, round(p, 6) AS clf_proba, CAST(p >= 0.5 AS INTEGER) AS clf_label,
+  CASE WHEN p > {S.AUTO_APPROVE} THEN 'auto_approve' WHEN p >= {S.AUTO_REJECT} THEN 'human_review' ELSE 'auto_reject' END AS conf_zone,
+  round(least(greatest(a, {S.EMI_MIN}), {S.EMI_MAX}), 2) AS predicted_emi
+FROM (SELECT application_id, 1 / (1 + exp(-({_OUTSIDE_SQL}))) AS p, monthly_salary * 0.201370719 + bank_balance * 0.010130717 + 100 AS a FROM clean)"""))
+def score_outside_model(t):
+    """Whole cleaned table scored by two pickled models on the workers, by the names that the models give."""
+    from lendframe.plans import outside
+
+    saved = []
+    for name, model in (("classifier", outside.LinearModel(_OUTSIDE, -8.0)), ("regressor", outside.LinearModel(_OUTSIDE_AMOUNT, 100.0))):
+        path = staging_path(t.spark, f"outside-{name}")
+        outside.save_model(t.spark, model, path)
+        saved.append(outside.load_model(t.spark, path))
+    return outside.score_outside(t.clean, *saved, keep=["application_id"])
+
+
 @check("shuffled_target")
 def shuffled_target(t):
     _, train, test = t.encoded

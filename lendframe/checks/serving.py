@@ -10,7 +10,7 @@ from lendframe.plans import batch, online
 from lendframe.plans.features import add_features
 from lendframe.sources.applications import table
 from lendframe.staging import staging_path
-from lendframe.streaming import jobs
+from lendframe.streaming import jobs, keyed
 
 
 def _events(body: str, *extra: str, recursive: bool = False) -> str:
@@ -174,6 +174,43 @@ def stream_cache_replay(t):
     return jobs.stream_replay(stream).select("event_id", "user_id", "cache_hit")
 
 
+def _halves(t):
+    """Events of the earlier and the later half of the time, and the middle."""
+    rows = table(t.spark, t.sf_dir, "events")
+    low, high = rows.agg(F.min("ts"), F.max("ts")).first()
+    middle = F.lit(low + (high - low) / 2)
+    return rows, F.col("ts") < middle
+
+
+def _delivered(t, *parts) -> tuple:
+    """A stream that gets the parts one after the other, one a micro-batch."""
+    folder, files = staging_path(t.spark, "event-files"), 4
+    for rows in parts:
+        rows.repartition(files).write.mode("append").parquet(folder)
+    return jobs.event_stream(t.spark, folder, "*.parquet", files_per_batch=files)
+
+
+@check("stream_keyed_replay", REPLAY)
+def stream_keyed_replay(t):
+    """The replay with one state per key in Spark's state store, in two micro-batches."""
+    rows, early = _halves(t)
+    hits, _ = keyed.keyed_replay(_delivered(t, rows.filter(early), rows.filter(~early)))
+    return hits.select("event_id", "user_id", "cache_hit")
+
+
+@check("stream_late_counts", """
+WITH m AS (SELECT (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 AS middle FROM events),
+parts AS (SELECT epoch_us(ts) AS micros, epoch_us(ts) < middle AND event_id % 7 = 0 AS delayed FROM events, m)
+SELECT CAST(2 AS BIGINT) AS batch, count(*) AS late FROM parts
+WHERE delayed AND micros <= (SELECT max(micros) FROM parts WHERE NOT delayed) - 600000000 HAVING count(*) > 0""")
+def stream_late_counts(t):
+    """A seventh of the earlier events comes last, behind the watermark: dropped, and counted per micro-batch."""
+    rows, early = _halves(t)
+    delayed = early & (F.col("event_id") % 7 == 0)
+    _, progress = keyed.keyed_replay(_delivered(t, rows.filter(early & ~delayed), rows.filter(~early), rows.filter(delayed)))
+    return progress.filter("late > 0").select("batch", "late")
+
+
 @check("stream_score", Q.query("clean", """
 SELECT application_id, clf_proba, clf_label, conf_zone, predicted_emi FROM scored""", Q.SCORED))
 def stream_score(t):

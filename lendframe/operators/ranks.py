@@ -1,22 +1,33 @@
-"""Exact order statistics without a global sort or a value map in one task.
-
-Quantiles take two passes: a quantile sketch per key brackets each wanted rank between
-two values of the data, then only the distinct values between them are counted and
-ranked. Running totals split the values of a key at quantiles of its own distinct
-values, so the pieces are of equal size wherever the values lie. Equal values are
-counted before any shuffle, so a value held by a third of all rows costs one row per
-task.
+"""Exact order statistics without a global sort, a value map in one task, or a shuffle of rows.
+
+Quantiles are found by selection: a sketch brackets each wanted rank between two values of the data, then the rows
+below, at and between them are counted. What lies strictly between is bracketed and counted again, until few rows are left to
+rank. Rows stay in their tasks; only sketches, counts and the last few values leave them. A value held by a third
+of all rows is met by its bracket and costs one count.
+
+Running totals split the values of a key at quantiles of its own distinct values, so the pieces are of equal size
+wherever the values lie. Equal values are counted before any shuffle.
 """
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lendframe.staging import staged
+
 # rank error of the sketches: one part of so many
 _ACCURACY = 20_000
 # pieces of a key's values for running totals: a power of two
 _PIECES = 512
+# most rows that one window ranks for a wanted quantile
+_RANKED = 20_000
+# most groups whose brackets are broadcast; more are joined by the groups' columns
+_BROADCAST_GROUPS = 100_000
+# quantiles that one aggregate counts for: with more Spark would not compile it
+_WIDE = 12
 
 
 def long_values(df: DataFrame, values: dict[str, Column]) -> DataFrame:
@@ -25,20 +36,157 @@ def long_values(df: DataFrame, values: dict[str, Column]) -> DataFrame:
         [], list(values), "key", "value")
 
 
+# --- quantiles of named expressions -----------------------------------------
+@dataclass
+class _Hunt:
+    """A wanted quantile: the ranks not found yet lie in the open interval (low, high), behind ``before`` rows."""
+
+    name: str
+    probability: float
+    column: str
+    low: float | None = None
+    high: float | None = None
+    before: int = 0
+    inside: int = 0
+    ranks: list[int] = field(default_factory=list)
+    found: dict[int, float] = field(default_factory=dict)
+
+    def holds(self) -> Column:
+        x = F.col(self.column)
+        inside = x.isNotNull()
+        if self.low is not None:
+            inside = inside & (x > F.lit(self.low))
+        if self.high is not None:
+            inside = inside & (x < F.lit(self.high))
+        return inside
+
+    def bounds(self) -> list[float]:
+        """Shares of the rows inside between which the ranks lie, whatever the sketch's error."""
+        edge = 2.0 / _ACCURACY
+        low, high = (min(self.ranks) - self.before) / self.inside, (max(self.ranks) - self.before + 1) / self.inside
+        return [min(max(low - edge, 0.0), 1.0), min(max(high + edge, 0.0), 1.0)]
+
+    def narrow(self, lo: float, hi: float, below: int, at_lo: int, between: int, at_hi: int) -> None:
+        """Settle ranks that are a bracket's end; the others are all on one side of it."""
+        a = self.before + below
+        b = a + at_lo
+        c = b + between
+        d = c + at_hi
+        for r in self.ranks:
+            if a <= r < b or c <= r < d:
+                self.found[r] = lo if r < b else hi
+        self.ranks = [r for r in self.ranks if r not in self.found]
+        if not self.ranks:
+            return
+        r = self.ranks[0]
+        if r < a:
+            self.high, self.inside = lo, below
+        elif r < c:
+            self.low, self.high, self.before, self.inside = lo, hi, b, between
+        else:
+            self.low, self.before, self.inside = hi, d, self.before + self.inside - d
+
+    def quantile(self, total: int) -> float:
+        position = (total - 1) * self.probability
+        lo, hi = self.found[int(position)], self.found[_ceil(position)]
+        part = position - int(position)
+        # equal ends stay equal
+        return lo if lo == hi else lo * (1 - part) + hi * part
+
+
+def _ceil(x: float) -> int:
+    return int(x) + (x > int(x))
+
+
+def _aggregated(source: DataFrame, columns: list[Column]) -> list:
+    """One value per expression, all of one type: a few aggregates side by side, each of which reads its own columns."""
+    parts = [source.agg(*[e.alias(f"x{i}") for i, e in enumerate(columns[at:at + _WIDE])]).select(
+        F.lit(at).alias("at"), F.array(*[f"x{i}" for i in range(len(columns[at:at + _WIDE]))]).alias("x"))
+        for at in range(0, len(columns), _WIDE)]
+    rows = reduce(DataFrame.unionByName, parts).collect()
+    return [x for r in sorted(rows, key=lambda r: r["at"]) for x in r["x"]]
+
+
+def quantile_map(df: DataFrame, values: dict[str, Column], probabilities=(0.5,)) -> dict:
+    """``{(name, probability): quantile}`` by linear interpolation, on the driver: one float per name and rank.
+
+    Names without values have no entry. Each round reads the columns twice, for the brackets and for the
+    counts, and leaves at most a few parts in ``_ACCURACY`` of the rows before it; the last reads them once.
+    """
+    names = list(values)
+    if not names:
+        return {}
+    # -0.0 and 0.0 are one value
+    source = df.select(*[(e.cast("double") + F.lit(0.0)).alias(f"v{i}") for i, e in enumerate(values.values())])
+    edge = 2.0 / _ACCURACY
+    first = [min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-edge, edge)]
+    sketches = _aggregated(source, [F.struct(F.count(f"v{i}").alias("n"), F.percentile_approx(f"v{i}", first, _ACCURACY).alias("q"))
+                                    for i in range(len(names))])
+    totals, hunts, brackets = {}, [], []
+    for i, (name, sketch) in enumerate(zip(names, sketches)):
+        totals[name] = sketch["n"]
+        for j, p in enumerate(probabilities):
+            if sketch["n"]:
+                position = (sketch["n"] - 1) * float(p)
+                hunts.append(_Hunt(name, float(p), f"v{i}", inside=sketch["n"], ranks=sorted({int(position), _ceil(position)})))
+                brackets.append(sketch["q"][2 * j:2 * j + 2])
+    while True:
+        wide = [(h, q) for h, q in zip(hunts, brackets) if h.ranks and h.inside > _RANKED]
+        if not wide:
+            break
+        _count_brackets(source, wide)
+        again = [h for h in hunts if h.ranks and h.inside > _RANKED]
+        brackets = [None] * len(hunts)
+        if again:
+            found = dict(zip(map(id, again), _aggregated(source, [
+                F.percentile_approx(F.when(h.holds(), F.col(h.column)), h.bounds(), _ACCURACY) for h in again])))
+            brackets = [found.get(id(h)) for h in hunts]
+    _rank_rest(source, [h for h in hunts if h.ranks])
+    return {(h.name, h.probability): h.quantile(totals[h.name]) for h in hunts}
+
+
+def _count_brackets(source: DataFrame, wide: list[tuple[_Hunt, list[float]]]) -> None:
+    counts = []
+    for h, (lo, hi) in wide:
+        x, inside = F.col(h.column), h.holds()
+        counts += [F.count_if(inside & (x < F.lit(lo))), F.count_if(x == F.lit(lo)),
+                   F.count_if((x > F.lit(lo)) & (x < F.lit(hi))), F.count_if(x == F.lit(hi)) if hi != lo else F.count_if(F.lit(False))]
+    found = _aggregated(source, counts)
+    for i, (h, (lo, hi)) in enumerate(wide):
+        h.narrow(lo, hi, *found[4 * i:4 * i + 4])
+
+
+def _rank_rest(source: DataFrame, hunts: list[_Hunt]) -> None:
+    """Ranks among at most ``_RANKED`` rows for each hunt; only those rows leave the scan."""
+    if not hunts:
+        return
+    kept = reduce(lambda a, b: a | b, [h.holds() for h in hunts])
+    each = F.array(*[F.when(h.holds(), F.struct(F.lit(i).alias("hunt"), F.col(h.column).alias("x"))) for i, h in enumerate(hunts)])
+    inside = source.filter(kept).select(F.inline(F.array_compact(each))).groupBy("hunt", "x").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("hunt").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    wanted = F.element_at(F.array(*[F.array(*[F.lit(r - h.before) for r in h.ranks]) for h in hunts]), F.col("hunt") + 1)
+    rows = inside.withColumn("upto", upto).withColumn("ranks", F.filter(
+        wanted, lambda r: (r >= F.col("upto") - F.col("n")) & (r < F.col("upto")))).filter(F.size("ranks") > 0).collect()
+    for row in rows:
+        h = hunts[row["hunt"]]
+        h.found |= {r + h.before: row["x"] for r in row["ranks"]}
+
+
+# --- quantiles of groups ----------------------------------------------------
 def exact_quantiles(
     df: DataFrame,
     probabilities: Sequence[float],
     keys: Sequence[str] = ("key",),
     value: str = "value",
 ) -> DataFrame:
-    """Linear-interpolated quantiles per key: ``(*keys, probability, quantile)``.
+    """Linear-interpolated quantiles per group: ``(*keys, probability, quantile)``. Null keys are a group.
 
-    The sketch brackets each rank by two values of the data, at most four parts in
-    ``_ACCURACY`` apart. What lies below or above counts as one row with its nearest
-    value, since a rank may fall one place beside the bracket.
+    The brackets, one row per group, are broadcast to the rows if the groups are few enough; else both are joined by the groups'
+    columns. Distinct values inside a bracket are counted in their tasks, written, and narrowed by
+    pieces until a window ranks at most ``_RANKED`` of them.
     """
     keys, probabilities = list(keys), [float(p) for p in probabilities]
-    # keys may be null (a null group); -0.0 and 0.0 are one value
+    # -0.0 and 0.0 are one value
     source = df.select(*keys, (F.col(value).cast("double") + F.lit(0.0)).alias("_v")).filter("_v IS NOT NULL")
     edge = 2.0 / _ACCURACY
     bounds = [min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-edge, edge)]
@@ -46,28 +194,35 @@ def exact_quantiles(
         F.percentile_approx("_v", bounds, _ACCURACY).alias("_q"), F.count(F.lit(1)).alias("_total"))
     wanted = [F.struct(F.lit(p).alias("probability"), F.get("_q", F.lit(2 * i)).alias("_from"),
                        F.get("_q", F.lit(2 * i + 1)).alias("_to")) for i, p in enumerate(probabilities)]
-    sketch = sketch.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_total", F.array(*wanted).alias("_wanted"))
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    each = source.join(sketch, same).select(*keys, "_v", "_total", F.inline("_wanted"))
-    zone = F.when(F.col("_v") < F.col("_from"), -1).when(F.col("_v") > F.col("_to"), 1).otherwise(0)
-    counted = (
-        each.withColumn("_zone", zone).withColumn("_at", F.when(F.col("_zone") == 0, F.col("_v")))
-        .groupBy(*keys, "probability", "_total", "_zone", "_at")
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
-    )
-    order = Window.partitionBy(*keys, "probability").orderBy("_zone", "_at")
-    ranked = (
-        counted.withColumn("_upto", F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .withColumn("_start", F.col("_upto") - F.col("_n"))
-        .withColumn("_value", F.when(F.col("_zone") < 0, F.col("_most")).otherwise(F.col("_least")))
-        .withColumn("_position", (F.col("_total") - 1) * F.col("probability"))
-    )
-    found = ranked.groupBy(*keys, "probability", "_position").agg(
-        F.max(F.when(_holds(F.floor("_position")), F.col("_value"))).alias("_lo"),
-        F.max(F.when(_holds(F.ceil("_position")), F.col("_value"))).alias("_hi"),
-    )
+    sketch = staged(sketch.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_total", F.array(*wanted).alias("_wanted")), "brackets")
+    each = source.join(_small(sketch), _same(keys)).drop(*[f"_k_{k}" for k in keys])
+    below, above = {}, {}
+    for i in range(len(probabilities)):
+        bracket = F.get("_wanted", F.lit(i))
+        under, over = F.col("_v") < bracket["_from"], F.col("_v") > bracket["_to"]
+        below[i] = [F.count_if(under).alias(f"_n{i}"), F.max(F.when(under, F.col("_v"))).alias(f"_most{i}")]
+        above[i] = [F.min(F.when(over, F.col("_v"))).alias(f"_least{i}")]
+    # a rank may fall one place beside its bracket: on the nearest value there
+    beside = each.groupBy(*keys, "_total").agg(*[e for i in below for e in below[i] + above[i]]).select(*keys, F.inline(F.array(*[
+        F.struct(F.lit(p).alias("probability"), ((F.col("_total") - 1) * F.lit(p)).alias("_position"), F.col(f"_n{i}").alias("_before"),
+                 F.col(f"_most{i}").alias("_most"), F.col(f"_least{i}").alias("_least")) for i, p in enumerate(probabilities)])))
+    inside = each.select(*keys, "_v", F.inline(F.filter("_wanted", lambda w: F.col("_v").between(w["_from"], w["_to"])))).groupBy(
+        *keys, "probability", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    beside, inside = staged(beside, "beside"), staged(inside, "inside")
+    by = [*keys, "probability"]
+    counted = inside.join(_small(beside.select(*[F.col(c).alias(f"_k_{c}") for c in by], "_position", "_before", "_most", "_least")), _same(by)).drop(
+        *[f"_k_{c}" for c in by])
+    while True:
+        large = staged(counted.groupBy(*by).count().filter(F.col("count") > _RANKED).select(*[F.col(c).alias(f"_k_{c}") for c in by]), "large")
+        if large.isEmpty():
+            break
+        rest = counted.join(_small(large), _same(by), "left_anti")
+        counted = staged(_narrowed(counted.join(_small(large), _same(by), "left_semi"), by).unionByName(rest), "inside")
+    order = Window.partitionBy(*by).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counted.withColumn("_upto", F.col("_before") + F.sum("_n").over(order)).withColumn("_start", F.col("_upto") - F.col("_n"))
+    found = ranked.groupBy(*by, "_position").agg(
+        F.coalesce(F.max(F.when(_holds(F.floor("_position")), F.col("_v"))), _beside(F.floor("_position"))).alias("_lo"),
+        F.coalesce(F.max(F.when(_holds(F.ceil("_position")), F.col("_v"))), _beside(F.ceil("_position"))).alias("_hi"))
     part = F.col("_position") - F.floor("_position")
     # equal ends stay equal
     between = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(
@@ -75,14 +230,34 @@ def exact_quantiles(
     return found.select(*keys, "probability", between.alias("quantile"))
 
 
-def _holds(rank: Column) -> Column:
-    return (rank >= F.col("_start")) & (rank < F.col("_upto"))
+def _small(groups: DataFrame) -> DataFrame:
+    """A written table of groups, broadcast if it is of few rows."""
+    return F.broadcast(groups) if groups.count() <= _BROADCAST_GROUPS else groups
 
 
-def quantile_map(df: DataFrame, values: dict[str, Column], probabilities=(0.5,)) -> dict:
-    """``{(name, probability): quantile}`` on the driver: one float per name and rank."""
-    found = exact_quantiles(long_values(df, values), probabilities).collect()
-    return {(r["key"], r["probability"]): r["quantile"] for r in found}
+def _same(keys: Sequence[str]) -> Column:
+    """Rows and groups of equal keys, nulls too."""
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], F.lit(True))
+
+
+def _beside(rank: Column) -> Column:
+    return F.max(F.when(rank < F.col("_before"), F.col("_most")).otherwise(F.col("_least")))
+
+
+def _narrowed(counted: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The pieces of each group's values that hold its ranks, with the rows before them."""
+    rows = in_pieces(counted, by, "_v")
+    totals = rows.groupBy(*by, "_b", "_position", "_before").agg(F.sum("_n").alias("_s"))
+    upto = F.col("_before") + F.sum("_s").over(Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    held = totals.withColumn("_upto", upto).withColumn("_start", F.col("_upto") - F.col("_s")).filter(
+        _holds(F.floor("_position")) | _holds(F.ceil("_position")) | ((F.floor("_position") < F.col("_start")) & (F.ceil("_position") >= F.col("_upto"))))
+    start = held.withColumn("_before", F.min("_start").over(Window.partitionBy(*by))).select(
+        *[F.col(c).alias(f"_k_{c}") for c in [*by, "_b"]], F.col("_before").alias("_later"))
+    return rows.join(start, _same([*by, "_b"])).withColumn("_before", F.col("_later")).select(*counted.columns)
+
+
+def _holds(rank: Column) -> Column:
+    return (rank >= F.col("_start")) & (rank < F.col("_upto"))
 
 
 def group_medians(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import json
 import random
+from math import prod
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
@@ -23,6 +24,12 @@ from lendframe.operators.sampling import class_counts, tune_sample
 from lendframe.operators.scoring import score_columns
 
 WEIGHT = "class_weight"
+VALIDATION = "validation"
+
+
+def with_validation(df: DataFrame, share: float = 0.1, key: str = "application_id", seed: int = 42) -> DataFrame:
+    """Marks a share of the rows, told by a hash of their key: boosting stops when these rows gain no more."""
+    return df.withColumn(VALIDATION, F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(10_000)) < int(share * 10_000))
 
 
 def class_weights(df: DataFrame, label: str = S.TARGET_CLASS) -> dict:
@@ -95,6 +102,12 @@ def boosted_trees(label=S.TARGET_CLASS, features="features", rounds=20, depth=5,
         seed=seed)], label)
 
 
+def early_stopped(estimator, rounds: int = 100, least_gain: float = 0.01):
+    """A boosted estimator that takes at most ``rounds`` trees and stops once the rows marked by ``with_validation``
+    gain less than that share of their error."""
+    return estimator.copy({estimator.maxIter: rounds, estimator.validationIndicatorCol: VALIDATION, estimator.validationTol: least_gain})
+
+
 def forest_regressor(target=S.TARGET_AMOUNT, features="features", trees=20, depth=8, seed=42):
     return RandomForestRegressor(featuresCol=features, labelCol=target, numTrees=trees,
                                  maxDepth=depth, seed=seed)
@@ -125,10 +138,17 @@ def scored_with_models(df: DataFrame, classifier, regressor, keep=tuple(S.KEY_CO
 
 
 def draw_settings(estimator, ranges: dict, trials: int, seed: int = 42) -> list[dict]:
-    """Random parameter maps: ``ranges`` gives a list of choices per parameter name."""
-    rng = random.Random(seed)
+    """Random parameter maps, none twice: ``ranges`` gives a list of choices per parameter name. All there are, if fewer."""
     names = sorted(ranges)
-    return [{estimator.getParam(n): rng.choice(ranges[n]) for n in names} for _ in range(trials)]
+    settings = prod(len(ranges[n]) for n in names)
+    drawn = []
+    for number in random.Random(seed).sample(range(settings), min(trials, settings)):
+        one = {}
+        for n in names:
+            number, k = divmod(number, len(ranges[n]))
+            one[estimator.getParam(n)] = ranges[n][k]
+        drawn.append(one)
+    return drawn
 
 
 def tune(train: DataFrame, estimator, ranges: dict, trials: int = 3, folds: int = 3,

@@ -180,3 +180,38 @@ def test_correlation_with_nulls_is_pairwise(spark):
     assert len(got) == 3
     for r in got:
         assert r["r"] == pytest.approx(want.loc[r["row_name"], r["column_name"]], abs=1e-6)
+
+
+def test_correlation_is_one_scan_and_keeps_digits(spark):
+    import numpy as np
+
+    rng = np.random.RandomState(1)
+    base = 1e9 + rng.randn(500)
+    data = np.column_stack([base, base * 2 + rng.randn(500) * 0.1, rng.rand(500), np.full(500, 7.0)])
+    df = spark.createDataFrame([tuple(map(float, r)) for r in data], "a double, b double, c double, d double")
+    got = P.correlation_matrix(df, ("a", "b", "c", "d"))
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("LogicalRDD") + text.count("LocalRelation") == 1
+    found = {(r.row_name, r.column_name): r.r for r in got.collect()}
+    want = np.corrcoef(data[:, :3].T)
+    assert found["b", "a"] == pytest.approx(want[1, 0], abs=1e-6) and found["c", "b"] == pytest.approx(want[2, 1], abs=1e-6)
+    assert found["d", "a"] is None and found["d", "c"] is None
+    assert P.correlation_matrix(df.filter("false"), ("a", "b")).collect() == []
+    none = spark.createDataFrame([(None, 1.0)], "a double, b double")
+    assert [r.r for r in P.correlation_matrix(none, ("a", "b")).collect()] == [None]
+
+
+def test_density_by_windows_equals_all_terms(spark):
+    import numpy as np
+
+    rng = np.random.RandomState(2)
+    values = {0: np.concatenate([rng.randn(400) * 50 + 600, [300.0, 899.0]]), 1: rng.rand(300) * 5, 2: np.ones(50), 3: [1.0, 2.0]}
+    rows = spark.createDataFrame([(k, float(v)) for k, vs in values.items() for v in vs], f"{S.TARGET_CLASS} int, x double")
+    found = {(r.target, r.point): r.density for r in P.density(rows, "x", 300.0, 900.0, 60).collect()}
+    assert {k for k, _ in found} == {0, 1} and len(found) == 120
+    for k in (0, 1):
+        x = np.asarray(values[k])
+        h = x.std(ddof=1) * len(x) ** -0.2
+        at = 300 + np.arange(60) * (600 / 59)
+        want = np.exp(-((at[:, None] - x[None, :]) / h) ** 2 / 2).sum(axis=1) / (len(x) * h * np.sqrt(2 * np.pi))
+        assert np.allclose([found[k, i] for i in range(60)], want, rtol=0, atol=1e-12 / h)

@@ -136,3 +136,29 @@ def test_alias_texts(spark):
     rows = spark.createDataFrame([("emi", "champion", 1, 10), ("emi", "champion", 3, 20), ("emi", "old", 1, 30)],
                                  "registered_name string, alias string, version int, assigned_at int")
     assert evaluation.resolve_alias(rows, "models:/emi@champion") == 3 and evaluation.resolve_alias(rows, "models:/no@champion") is None
+
+
+def test_settings_are_drawn_without_repetition():
+    from pyspark.ml.regression import GBTRegressor
+
+    boosted = GBTRegressor()
+    ranges = {"maxDepth": [2, 3, 4], "stepSize": [0.1, 0.2]}
+    drawn = M.draw_settings(boosted, ranges, 6)
+    assert len({tuple(sorted((p.name, v) for p, v in d.items())) for d in drawn}) == 6
+    assert len(M.draw_settings(boosted, ranges, 50)) == 6
+    assert drawn[:3] == M.draw_settings(boosted, ranges, 3)
+
+
+def test_boosting_stops_early(spark):
+    """Nothing is to be learned beyond one split, so the marked rows soon gain nothing."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+
+    rows = spark.range(600).selectExpr("id AS application_id", "CAST(id % 2 AS DOUBLE) AS a", "10.0 * (id % 2) + pmod(hash(id), 100) / 100.0 AS y")
+    data = M.with_validation(VectorAssembler(inputCols=["a"], outputCol="features").transform(rows), share=0.3).cache()
+    marked = data.filter(M.VALIDATION).count()
+    assert 120 < marked < 240
+    model = M.early_stopped(GBTRegressor(labelCol="y", maxDepth=2, seed=1), rounds=40).fit(data)
+    assert model.getNumTrees < 10
+    assert GBTRegressor(labelCol="y", maxDepth=2, maxIter=12, seed=1).fit(data).getNumTrees == 12
+    data.unpersist()

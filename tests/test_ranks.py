@@ -109,3 +109,67 @@ def test_global_rank_is_a_permutation(spark):
     df = spark.range(500).withColumn("o", ranks.seeded_order(F.col("id"), 1))
     rows = ranks.global_rank(df, "o", "r").collect()
     assert [r["r"] for r in sorted(rows, key=lambda r: r["o"])] == list(range(1, 501))
+
+
+@pytest.fixture
+def narrow_rounds(monkeypatch):
+    """Sketches so coarse and windows so small that ranks are narrowed in several rounds."""
+    monkeypatch.setattr(ranks, "_ACCURACY", 20)
+    monkeypatch.setattr(ranks, "_RANKED", 4)
+
+
+def test_selection_in_many_rounds(spark, groups, narrow_rounds):
+    groups = {k: groups[k] for k in ("hot", "ties", "with_null", "one")} | {
+        "far": np.concatenate([[-1e300, 1e300, 1e-300, -1e-300], np.logspace(-20, 20, 160)]),
+               "edge": np.concatenate([np.full(500, 3.0), np.linspace(3.0000001, 3.1, 40), np.full(500, 3.2)])}
+    rows = frame(spark, groups).cache()
+    one = ranks.quantile_map(rows, {k: F.when(F.col("key") == k, F.col("value")) for k in groups}, RANKS)
+    for key, values in groups.items():
+        clean = [v for v in values if v is not None]
+        for p in RANKS:
+            assert np.isclose(one[key, p], np.quantile(clean, p), rtol=1e-12, atol=1e-12), (key, p)
+
+
+def test_groups_are_narrowed_by_pieces(spark, groups, narrow_rounds, monkeypatch):
+    monkeypatch.setattr(ranks, "_PIECES", 8)
+    found = quantiles(frame(spark, groups))
+    for key, values in groups.items():
+        clean = [v for v in values if v is not None]
+        for p in RANKS:
+            assert np.isclose(found[key, p], np.quantile(clean, p), rtol=1e-12, atol=1e-12), (key, p)
+
+
+def test_many_groups_are_not_broadcast(spark, groups, monkeypatch):
+    monkeypatch.setattr(ranks, "_BROADCAST_GROUPS", 3)
+    found = quantiles(frame(spark, groups))
+    assert all(np.isclose(found[k, 0.5], np.median([x for x in v if x is not None])) for k, v in groups.items())
+
+
+def shuffled_children(df):
+    """What stands below each shuffle of a plan."""
+    lines = [line.strip(" :+-*") for line in df._jdf.queryExecution().executedPlan().toString().splitlines()]
+    return [lines[i + 1] for i, line in enumerate(lines) if line.startswith("Exchange hashpartitioning")]
+
+
+def test_only_counts_are_shuffled(spark, groups, monkeypatch):
+    """Also where the planner would not broadcast by itself: below every shuffle stands a partial aggregate."""
+    seen = []
+    keep = ranks.staged
+
+    def spy(df, name, **options):
+        seen.append(df)
+        return keep(df, name, **options)
+
+    monkeypatch.setattr(ranks, "staged", spy)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        quantiles(frame(spark, groups))
+        for df in seen:
+            text = df._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" not in text and "Window" not in text
+            assert all("partial_" in child or "functions=[]" in child for child in shuffled_children(df)), text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(seen) >= 3
