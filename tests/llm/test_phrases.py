@@ -55,8 +55,10 @@ def rows():
         if random.random() < 0.4:
             words[3:3] = ["of", "the", "new", "york", "city"]
         out.append((lang, "".join(w + random.choice([" ", " ", "\t", ", ", ".", "\n", "  ", "\v"]) for w in words)))
-    # a phrase that only late documents hold
+    # a phrase that stands in few documents
     out += [("en", "late bird sings here")] * 40
+    # one whose words reach the threshold in the second of three shards
+    out += [("en", "scarce pair")] * 12
     return out + [("fr", None), (None, ""), ("de", "." * 50), ("en", "same of the same"), ("en", "same of the same"), ("und", "of the " * 50)]
 
 
