@@ -238,6 +238,18 @@ def drift_column(t):
     return drift.drift_columns(*_halves(t), S.REQUEST_COLUMNS)
 
 
+@check("drift_stored_profile", Q.query("features", _drift_sql(S.REQUEST_COLUMNS), _SHIFTED))
+def drift_stored_profile(t):
+    """The reference as a table of counts, written in two parts, merged and read back; the night scans its own batch only."""
+    reference, current = _halves(t)
+    early = F.col("application_id") % 3 == 0
+    paths = [staging_path(t.spark, "profile") for _ in range(2)]
+    for rows, path in zip((reference.filter(early), reference.filter(~early)), paths):
+        drift.Profile.of(rows, S.REQUEST_COLUMNS).write(path)
+    first, second = (drift.Profile.read(t.spark, path) for path in paths)
+    return drift.drift_columns(first.merged(second), current, S.REQUEST_COLUMNS)
+
+
 _SUMMARY = """SELECT round(avg(CAST(drifted AS INTEGER)), 4) AS share_drifted,
   coalesce(string_agg("column", ',' ORDER BY "column") FILTER (drifted), '') AS drifted_columns,
   avg(CAST(drifted AS INTEGER)) >= 0.5 AS drift_detected"""

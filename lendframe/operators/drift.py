@@ -1,6 +1,7 @@
 """Distribution drift per column, per layer and per batch."""
 
 import warnings
+from dataclasses import dataclass
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
@@ -13,6 +14,7 @@ from lendframe.functions import expr as X
 from lendframe.functions import pvalues
 from lendframe.operators.profiling import approval_by_category
 from lendframe.operators.ranks import running_counts
+from lendframe.staging import staged
 
 # the published preset: what it takes for a category, and for distances instead of p-values
 FEW_VALUES = 5
@@ -22,16 +24,86 @@ TESTS = ("jensenshannon", "wasserstein", "ks", "chisquare", "z")
 FAILURES = (PySparkException, Py4JError, OSError)
 
 
-def _sides(reference: DataFrame, current: DataFrame, columns: list[str], kind: str) -> DataFrame:
+@dataclass
+class Profile:
+    """What later batches are compared with: how often each column holds each value. Null values are left out.
+
+    ``numbers`` has ``column, value double, n long``, ``texts`` the same with text values. Both can be
+    written, read, and merged with the counts of more rows.
+    """
+
+    numbers: DataFrame
+    texts: DataFrame
+    kinds: dict[str, str]
+
+    @classmethod
+    def of(cls, df: DataFrame, columns: list[str]) -> "Profile":
+        numeric, text = column_kinds(df, columns)
+        return cls(_value_counts(df, numeric, "double"), _value_counts(df, text, "string"),
+                   {c: "double" for c in numeric} | {c: "string" for c in text})
+
+    def merged(self, more: "Profile") -> "Profile":
+        if self.kinds != more.kinds:
+            raise ValueError("profiles of different columns")
+
+        def add(a: DataFrame, b: DataFrame) -> DataFrame:
+            return a.unionByName(b).groupBy("column", "value").agg(F.sum("n").alias("n"))
+
+        return Profile(add(self.numbers, more.numbers), add(self.texts, more.texts), self.kinds)
+
+    def write(self, path: str) -> None:
+        """Columns without any value are known by a row of zero."""
+        spark = self.numbers.sparkSession
+        for name, kind, counts in (("numbers", "double", self.numbers), ("texts", "string", self.texts)):
+            known = spark.createDataFrame([(c,) for c, k in self.kinds.items() if k == kind], "column string")
+            rows = counts.unionByName(known.select("column", F.lit(None).cast(kind).alias("value"), F.lit(0).cast("long").alias("n")))
+            rows.write.mode("errorifexists").parquet(f"{path}/{name}")
+
+    @classmethod
+    def read(cls, spark, path: str) -> "Profile":
+        parts, kinds = [], {}
+        for name, kind in (("numbers", "double"), ("texts", "string")):
+            rows = spark.read.schema(f"column string, value {kind}, n long").parquet(f"{path}/{name}")
+            # one row per column of the table
+            kinds |= {r["column"]: kind for r in rows.filter("value IS NULL").select("column").distinct().collect()}
+            parts.append(rows.filter("value IS NOT NULL"))
+        return cls(*parts, kinds)
+
+    def counts(self, columns: list[str], kind: str) -> DataFrame:
+        held = self.numbers if kind == "double" else self.texts
+        return held.filter(F.col("column").isin(columns)).select("column", "value", "n")
+
+    @property
+    def columns(self) -> list[str]:
+        return list(self.kinds)
+
+
+def _value_counts(df: DataFrame, columns: list[str], kind: str) -> DataFrame:
+    if not columns:
+        return df.sparkSession.createDataFrame([], f"column string, value {kind}, n long")
+    return df.select(*[F.col(c).cast(kind).alias(c) for c in columns]).unpivot(
+        [], columns, "column", "value").filter(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _counts(side: "DataFrame | Profile", columns: list[str], kind: str) -> DataFrame:
+    return side.counts(columns, kind) if isinstance(side, Profile) else _value_counts(side, columns, kind)
+
+
+def _sides(reference: "DataFrame | Profile", current: DataFrame, columns: list[str], kind: str) -> DataFrame:
     """Counts per (column, value) on both sides: ``r`` for reference, ``c`` for current."""
-    def long(df: DataFrame, side: str) -> DataFrame:
-        return df.select(*[F.col(c).cast(kind).alias(c) for c in columns]).unpivot(
-            [], columns, "column", "value").filter(F.col("value").isNotNull()).withColumn(
-            "side", F.lit(side))
+    none = F.lit(0).cast("long")
+    r = _counts(reference, columns, kind).select("column", "value", F.col("n").alias("r"), none.alias("c"))
+    c = _counts(current, columns, kind).select("column", "value", none.alias("r"), F.col("n").alias("c"))
+    return r.unionByName(c).groupBy("column", "value").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
+
 
-    both = long(reference, "r").unionByName(long(current, "c"))
-    return both.groupBy("column", "value").agg(
-        F.count_if(F.col("side") == "r").alias("r"), F.count_if(F.col("side") == "c").alias("c"))
+def _deviations(run: DataFrame) -> DataFrame:
+    """Population deviation of the reference's values per column, from the counts: about the mean, so that digits stay."""
+    mean = run.groupBy("column").agg(F.try_divide(F.sum(F.col("value") * F.col("r")), F.sum("r")).alias("_mean"))
+    # one row per column
+    away = F.col("value") - F.col("_mean")
+    return run.join(F.broadcast(mean), "column").groupBy("column").agg(
+        F.sqrt(F.try_divide(F.sum(F.col("r") * away * away), F.sum("r"))).alias("sd"))
 
 
 def _js_terms(p: Column, q: Column) -> Column:
@@ -44,9 +116,10 @@ def _js_terms(p: Column, q: Column) -> Column:
     return part(p) + part(q)
 
 
-def numeric_distances(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
+def numeric_distances(reference: "DataFrame | Profile", current: DataFrame, columns: list[str]) -> DataFrame:
     """KS and Wasserstein distances from one running count over both sides."""
-    run = running_counts(_sides(reference, current, columns, "double"), ["column"], "value", ["r", "c"])
+    sides = staged(_sides(reference, current, columns, "double"), "sides")
+    run = running_counts(sides, ["column"], "value", ["r", "c"])
     gap = F.abs(F.try_divide("r_upto", "r_total") - F.try_divide("c_upto", "c_total"))
     p, q = F.try_divide("r", "r_total"), F.try_divide("c", "c_total")
     x = F.col("value")
@@ -55,8 +128,8 @@ def numeric_distances(reference: DataFrame, current: DataFrame, columns: list[st
         F.max("c_total").alias("n_current"), F.max(gap).alias("ks"),
         F.when(_both_sides(), F.coalesce(F.sum(gap * (F.col("next_value") - x)), F.lit(0.0))).alias("_w"),
         F.sum(_js_terms(p, q)).alias("_js"), *_chi_parts())
-    spread = reference.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], columns, "column", "value").groupBy("column").agg(F.stddev_pop("value").alias("sd"))
+    # one row per column
+    spread = F.broadcast(_deviations(sides))
     return stats.join(spread, "column").withColumn(
         "wasserstein", F.col("_w") / F.greatest("sd", F.lit(0.001))).withColumn(
         "jensen_shannon", F.sqrt(F.greatest(F.col("_js") / 2, F.lit(0.0)))).drop("_w", "_js")
@@ -66,7 +139,7 @@ def _both_sides() -> Column:
     return (F.max("r_total") > 0) & (F.max("c_total") > 0)
 
 
-def categorical_distances(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
+def categorical_distances(reference: "DataFrame | Profile", current: DataFrame, columns: list[str]) -> DataFrame:
     counts = _sides(reference, current, columns, "string")
     totals = counts.groupBy("column").agg(F.sum("r").alias("r_total"), F.sum("c").alias("c_total"))
     # one row of totals per column
@@ -99,7 +172,9 @@ def _two_share_z() -> Column:
     return F.coalesce(F.sqrt(X.ratio(F.col("_gap2"), spread)), F.lit(0.0))
 
 
-def column_kinds(df: DataFrame, columns: list[str]) -> tuple[list[str], list[str]]:
+def column_kinds(df: "DataFrame | Profile", columns: list[str]) -> tuple[list[str], list[str]]:
+    if isinstance(df, Profile):
+        return [c for c in columns if df.kinds[c] == "double"], [c for c in columns if df.kinds[c] == "string"]
     text = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
     return [c for c in columns if c not in text], text
 
@@ -123,11 +198,12 @@ def drift_statistics(reference: DataFrame, current: DataFrame, columns: list[str
         F.round(F.when(F.col("n_values") == 2, _two_share_z()), 6).alias("z"))
 
 
-def drift_columns(reference: DataFrame, current: DataFrame, columns: list[str],
+def drift_columns(reference: "DataFrame | Profile", current: DataFrame, columns: list[str],
                   distance_threshold: float = 0.1, p_threshold: float = 0.05,
                   large_reference: int = LARGE_REFERENCE, few_values: int = FEW_VALUES,
                   tests: dict[str, str] | None = None) -> DataFrame:
-    """One row per column: test used, score and whether the column drifted.
+    """One row per column: test used, score and whether the column drifted. A stored ``Profile`` may stand for the
+    reference: then only the current rows are scanned.
 
     ``tests`` names the test of each column. Columns it leaves out take the preset's.
     Large reference: distances, drift at or above the threshold. Small reference:
@@ -175,7 +251,7 @@ def drift_columns(reference: DataFrame, current: DataFrame, columns: list[str],
     both = (n1 > 0) & (n2 > 0)
     score = F.when(both, F.coalesce("score", "_p_ks", "_p_chi", "_p_z"))
     # columns without any value have no counts, but a row
-    names = reference.sparkSession.createDataFrame([(c, c in numeric) for c in columns], "_column string, _number boolean")
+    names = current.sparkSession.createDataFrame([(c, c in numeric) for c in columns], "_column string, _number boolean")
     rows = names.join(rows, F.col("_column") == F.col("column"), "left")
     over = F.when(distance, score >= distance_threshold).otherwise(score < p_threshold)
     return rows.withColumn("column", F.col("_column")).withColumn("_num", F.col("_number")).withColumn(
@@ -209,7 +285,7 @@ def drift_layer(reference: DataFrame, current: DataFrame, layer: int, share: flo
 
 def drift_layers(reference: DataFrame, current: DataFrame, share: float = 0.5, **thresholds) -> DataFrame:
     """Raw layer and engineered layer; a layer with too few shared columns has no row."""
-    layers = reference.sparkSession.createDataFrame([], _LAYER_SCHEMA)
+    layers = current.sparkSession.createDataFrame([], _LAYER_SCHEMA)
     for number, _, _ in LAYERS:
         one = drift_layer(reference, current, number, share, **thresholds)
         layers = layers if one is None else layers.unionByName(one)

@@ -2,8 +2,8 @@
 
 One state per key, kept by Spark's state store and restored from the checkpoint: the time of the key's last miss. An event within a
 lifetime of it is a hit; any other is a miss and becomes the state, with a timer for the end of its life. Timers
-run as the watermark passes, so the store holds live entries only. Events behind the watermark are dropped and
-counted by Spark; ``progress`` gives the counts per micro-batch as rows.
+run as the watermark passes, so the store holds live entries only. Events behind the watermark that the micro-batch before began
+with are dropped and counted by Spark; ``progress`` gives the counts per micro-batch as rows.
 """
 
 from collections.abc import Iterator

@@ -195,3 +195,21 @@ def test_missing_table_is_a_skipped_row(spark, tmp_path):
     row = drift.guarded_drift(spark, lambda: numbers(spark, 0, 5),
                               lambda: spark.read.parquet(str(tmp_path / "absent"))).first()
     assert row["skipped"] and not row["drift_detected"] and row["skip_reason"]
+
+
+def test_profiles_stand_for_their_rows_and_merge(spark, tmp_path):
+    df = numbers(spark, 1e6, 1500, 0.25).withColumns({"gone": F.lit(None).cast("double"), "blank": F.lit(None).cast("string")})
+    current = numbers(spark, 1e6 + 100, 900, 0.25).withColumns({"gone": F.lit(1.0), "blank": F.lit("x")})
+    columns = ["x", "g", "gone", "blank"]
+    want = drift.drift_columns(df, current, columns).orderBy("column").collect()
+    parts = []
+    for k in range(2):
+        path = str(tmp_path / f"profile{k}")
+        drift.Profile.of(df.filter((F.col("x") * 4 % 2) == k), columns).write(path)
+        parts.append(drift.Profile.read(spark, path))
+    merged = parts[0].merged(parts[1])
+    assert merged.kinds == {"x": "double", "gone": "double", "g": "string", "blank": "string"}
+    assert merged.numbers.agg(F.sum("n")).first()[0] == 1500
+    assert drift.drift_columns(merged, current, columns).orderBy("column").collect() == want
+    with pytest.raises(ValueError):
+        merged.merged(drift.Profile.of(df, ["x"]))
