@@ -215,3 +215,17 @@ def test_density_by_windows_equals_all_terms(spark):
         at = 300 + np.arange(60) * (600 / 59)
         want = np.exp(-((at[:, None] - x[None, :]) / h) ** 2 / 2).sum(axis=1) / (len(x) * h * np.sqrt(2 * np.pi))
         assert np.allclose([found[k, i] for i in range(60)], want, rtol=0, atol=1e-12 / h)
+
+
+def test_unexpected_values_are_counted_with_nulls(table):
+    df = table(dict(gender="Male"), dict(gender="Martian"), dict(gender="Martian"), dict(gender=None))
+    got = {(r["column"], r["value"]): r["rows"] for r in P.unexpected_values(df, {"gender": ["Male", "Female"]}).collect()}
+    assert got == {("gender", "Martian"): 2, ("gender", None): 1}
+
+
+def test_cleaning_report_counts_both_sides(spark):
+    raw = spark.createDataFrame([("a", 1), ("a", 1), (None, 0)], f"x string, {S.TARGET_CLASS} int")
+    done = spark.createDataFrame([("a", 1, 0)], f"x string, {S.TARGET_CLASS} int, flag int")
+    r = P.cleaning_report(raw, done).first()
+    assert (r.raw_rows, r.raw_nulls, r.raw_duplicates, r.clean_rows, r.clean_nulls, r.clean_duplicates) == (3, 1, 1, 1, 0, 0)
+    assert (r.eligible_pct, r.rows_removed, r.new_columns) == (100.0, 2, "flag")
