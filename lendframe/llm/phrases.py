@@ -7,8 +7,9 @@ each shard once: one full cycle, whatever shard it began with. So lengths are co
 when no phrase is left that has not completed its cycle.
 
 Which subphrases have reached the threshold, and since which scan, stands in a table of a fixed number of slots per
-phrase length, by hash. Phrases that share a slot are activated together, at the earlier time: that counts a phrase too
-many, never one too few, and each one counted completes its own cycle, so all counts are exact. The slots pass the
+phrase length, by hash. Phrases that share a slot are activated together, at the earlier time, but none before its subphrases
+are active themselves: that counts a phrase too many, never one too few, and each one counted completes its own cycle, so all
+counts are exact. The slots pass the
 driver as bitmaps of a fixed size. Phrases themselves are told apart by their texts. They are counted in each batch first, then
 dealt in packed form to buckets, each a range of slots, where they meet the counts of earlier scans.
 
@@ -124,6 +125,7 @@ def shard_counts(block: Block, scan: int, shards: int, most_words: int, steps: l
 
     place = np.arange(len(units))  # first words of the phrases of this length
     number = units  # distinct number of each of them
+    begun = np.zeros(len(unit_hash), np.int64)  # scan since which each number is found here
     first = np.zeros(len(unit_hash), np.int64)
     first[units[::-1]] = place[::-1]
     hashes = unit_hash
@@ -137,11 +139,13 @@ def shard_counts(block: Block, scan: int, shards: int, most_words: int, steps: l
         whole = next_to[follows[place[next_to] + words - 2] & (reached[next_to] > 0) & (reached[next_to + 1] > 0)]
         if not len(whole):
             return
-        since = np.maximum(reached[whole], reached[whole + 1]).astype(np.int64)
+        # a slot that others share may have been reached before a subphrase was found at all
+        since = np.maximum(np.maximum(reached[whole], reached[whole + 1]), np.maximum(begun[number[whole]], begun[number[whole + 1]])).astype(np.int64)
         last_word = units[place[whole] + words - 1]
         longer, first_of = _distinct((number[whole] << 32) | last_word)
         hashes = _mix(hashes[number[whole[first_of]]] * U(0xD6E8FEB86659FD93) ^ unit_hash[last_word[first_of]])
         place, number, since = place[whole], longer, since[first_of]
+        begun = since
         slots = (hashes >> bits).astype(np.int64)
         active = np.flatnonzero((since < scan) & (scan <= since + shards))
         if len(active):

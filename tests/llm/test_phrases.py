@@ -126,3 +126,14 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, lang string, text string")
     assert phrases.collocations(none).collect() == []
     assert phrases.collocations(spark.createDataFrame([(1, None, None)], none.schema)).collect() == []
+
+
+def test_shared_slots_do_not_begin_a_phrase_before_its_words(spark):
+    """Slots of pairs are reached at once by other pairs, words only after some scans: a phrase counts from when both are there."""
+    rng = random.Random(5)
+    rows = [("en", " ".join(rng.choices("abcdefgh", k=30))) for _ in range(200)]
+    for i in range(40):
+        rows += [("en", f"late{i} bird{i} sings{i} here{i}")] * 12
+    counts, _ = phrases.phrase_counts(frame(spark, rows), least=8, slot_bits=6)
+    found, _ = plain_counts(rows)
+    assert {(r.lang, r.phrase): r.n for r in counts.collect()} == {(lang, " ".join(w)): n for (lang, w), n in found.items() if n >= 8}
