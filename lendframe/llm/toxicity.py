@@ -3,17 +3,19 @@
 Counts are gathered over all labelled documents that may teach: in how many toxic and ordinary documents each word and
 each pair of neighbouring words occurs. Counting documents, not places, is the continuation count of Kneser-Ney smoothing
 with documents as contexts: a word that one text repeats stays rare. Either class discounts its counts by the amount
-that Kneser and Ney derive from how many expressions occur once and twice; what is taken off goes to the counts of both
-classes together. So a rare expression has nearly the same likelihood in both classes and says nothing.
+that Kneser and Ney derive from how many expressions occur once and twice. What is taken off a word goes to the counts of
+both classes together, what is taken off a pair is dealt by its class's likelihood of the word that ends it. So a rare
+expression has nearly the same likelihood in both classes and says nothing, and an unknown pair says what its word says.
 
-A text's tokens are read with the longest known expression that ends there: the pair, else the word. The score compares
-the two log-likelihoods for each token: the part of their difference above ``MARGIN`` is summed and divided by the number
-of tokens. Differences below it are left out, as the mix of common words differs between any two sets of texts. A
-logistic curve turns this into a probability. It is fitted on at most ``calibration_rows`` teaching documents (by a hash
-of their ids), each read with its own share of the counts taken away.
+The score compares the two log-likelihoods for each token: the part of their difference above ``MARGIN`` is summed and
+divided by the number of tokens. Differences below it are left out, as the mix of common words differs between any two sets
+of texts. A logistic curve turns this into a probability. It is fitted on at most ``calibration_rows`` teaching documents (by
+a hash of their ids), each read with its own share of the counts taken away.
 
-The model is sent out in blocks of about ``BLOCK_ROWS`` expressions, one pass over the documents for each, dealt by the
-last word (16 bits of its hash) so that the passes add up.
+All expressions are counted and smoothed, whatever their counts. Sent out are those that can change a score: a word of no
+toxic document is never above the margin, nor is any pair that it ends; and a pair is left out where neither it nor its word
+is above the margin, also when a document's own share is taken away. The rest goes in blocks of about ``BLOCK_ROWS``
+expressions, one pass over the documents for each, dealt by the last word (16 bits of its hash) so that the passes add up.
 
 Defined results: null, empty and wordless texts score as texts without any telling expression. Without teaching
 documents of both classes all scores are the share of toxic ones (0.5 without any). Rows map one to one; repeated rows
@@ -22,6 +24,8 @@ and null or repeated ids are kept. Labels of ids without a document are ignored;
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,13 +34,16 @@ from pyspark.sql import functions as F
 from lendframe.llm.bytes_np import LOWER, ODD, U, flat, word_hashes, word_spans
 from lendframe.llm.folds import held_out, logistic, teaching_labels
 from lendframe.llm.lattice import Sorted
-from lendframe.llm.packed import BLOB_SCHEMA, bucket_count, bucket_of, by_bucket, column, deal, gathered, mix, map_batches, unpack, unpacked
+from lendframe.llm.packed import BLOB_SCHEMA, bucket_count, bucket_of, by_bucket, column, deal, gathered, mix, map_batches, pack, unpack, unpacked
 from lendframe.staging import staged
 
-MARGIN, LEAST_DOCUMENTS, BLOCK_ROWS, PART_BYTES = 1.5, 2, 2_000_000, 4 << 20
+MARGIN, LEAST_DOCUMENTS, BLOCK_ROWS, PART_BYTES = 1.5, 1, 2_000_000, 4 << 20
+#: Bits of the table that tells most documents without a label (as a power of two).
+LABEL_BITS = 26
 TEXTS, MARKS, COUNTS, SAMPLE, MODEL, SUMS = range(6)
 WORD_BYTES = np.zeros(256, bool)
 WORD_BYTES[48:58] = WORD_BYTES[97:123] = WORD_BYTES[128:] = True
+COUNT_NAMES = ["toxic", "ordinary", "word_toxic", "word_ordinary"]
 SUM_NAMES = ["kind_of", "toxic", "ordinary", "toxic_once", "toxic_twice", "ordinary_once", "ordinary_twice", "rows"]
 
 
@@ -51,17 +58,58 @@ def tokens(texts):
     return text, words, pairs
 
 
-def _by_id(rows: DataFrame, kind: int, buckets: int) -> DataFrame:
+def _labelled(marks: DataFrame) -> np.ndarray:
+    """A table of bits by the hash of an id: set for all labelled ids, and for few others. Its size is fixed."""
+    def run(batches):
+        table = np.zeros(1 << LABEL_BITS - 3, np.uint8)
+        for t in batches:
+            slots = t.column("hash").to_numpy().view(U) >> U(64 - LABEL_BITS)
+            np.bitwise_or.at(table, slots >> U(3), (1 << (slots & U(7))).astype(np.uint8))
+        yield pa.RecordBatch.from_pydict({"bits": [zlib.compress(table.tobytes(), 1)]})
+
+    out = np.zeros(1 << LABEL_BITS - 3, np.uint8)
+    for r in marks.select(F.xxhash64("id").alias("hash")).mapInArrow(run, "bits binary").toLocalIterator():
+        out |= np.frombuffer(zlib.decompress(bytes(r.bits)), np.uint8)
+    return out
+
+
+def _by_id(rows: DataFrame, kind: int, buckets: int, labelled=None) -> DataFrame:
     def run(batches):
         for t in gathered(batches, PART_BYTES):
             hashes = column(t, "hash").view(U)
+            if labelled is not None:
+                slots = hashes >> U(64 - LABEL_BITS)
+                may = (labelled.value[slots >> U(3)] >> (slots & U(7)).astype(np.uint8)) & 1 > 0
+                t, hashes = t.filter(pa.array(may)).combine_chunks(), hashes[may]
             yield from deal(bucket_of(hashes, buckets), {c: t.column(c).combine_chunks() for c in t.column_names if c != "hash"}, kind)
 
     return rows.withColumn("hash", F.xxhash64("id")).transform(map_batches, run, BLOB_SCHEMA)
 
 
+def _by_expression(text: np.ndarray, expression: np.ndarray, last: np.ndarray, label: np.ndarray):
+    """Distinct expressions in the order of their last words, those words, and the number of texts of either class."""
+    order = np.lexsort((text, expression, last))
+    text, expression, last = text[order], expression[order], last[order]
+    if not len(text):
+        return expression, last, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    new = np.append(True, (expression[1:] != expression[:-1]) | (last[1:] != last[:-1]))
+    first = new | np.append(True, text[1:] != text[:-1])
+    toxic, starts = label[text[first]], np.flatnonzero(new[first])
+    n_toxic = np.add.reduceat(toxic, starts)
+    return expression[new], last[new], n_toxic, np.diff(np.append(starts, len(toxic))) - n_toxic
+
+
+def _added(keys: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct keys in order, the place of each one's first, and the sums of their counts."""
+    order = np.argsort(keys, kind="stable")
+    dealt = keys[order]
+    starts = np.flatnonzero(np.append(True, dealt[1:] != dealt[:-1]))[:len(keys)]
+    sums = [np.add.reduceat(c[order].astype(np.int64), starts) if len(starts) else np.zeros(0, np.int64) for c in counts]
+    return dealt[starts], order[starts], *sums
+
+
 def _count(buckets: int, sample_share: float):
-    """Expressions of a bucket's labelled documents with the number of documents of either class, dealt by the last word."""
+    """Words of a bucket's labelled documents with the number of documents of either class, and with the pairs that they end."""
     def run(kinds):
         if TEXTS not in kinds or MARKS not in kinds:
             return
@@ -75,20 +123,14 @@ def _count(buckets: int, sample_share: float):
         documents = [0, label.sum(), (label == 0).sum(), 0, 0, 0, 0, 0]
         yield from deal(np.zeros(1, np.int32), {c: np.array([v], np.int64) for c, v in zip(SUM_NAMES, documents)}, SUMS)
         text, words, pairs = tokens(texts.column("value"))
-        for kind_of, expression in ((1, words), (2, pairs)):
-            use = expression > 0
-            order = np.lexsort((text[use], expression[use]))
-            e, of, last = expression[use][order], text[use][order], words[use][order]
-            new = np.append(True, e[1:] != e[:-1]) if len(e) else np.zeros(0, bool)
-            first = new | (np.append(True, of[1:] != of[:-1]) if len(of) else new)
-            e, last, toxic, starts = e[first], last[first], label[of[first]], np.flatnonzero(new[first])
-            if not len(e):
-                continue
-            n_toxic = np.add.reduceat(toxic, starts)
-            n_all = np.diff(np.append(starts, len(e)))
-            yield from deal(bucket_of(last[starts], buckets), {
-                "expression": e[starts], "last": (mix(last[starts]) >> U(48)).astype(np.uint16), "kind_of": np.full(len(starts), kind_of, np.int8),
-                "toxic": n_toxic.astype(np.uint32), "ordinary": (n_all - n_toxic).astype(np.uint32)}, COUNTS)
+        word, _, toxic, ordinary = _by_expression(text, words, words, label)
+        pair, last, pair_toxic, pair_ordinary = _by_expression(text[pairs > 0], pairs[pairs > 0], words[pairs > 0], label)
+        ends = pa.array(np.append(np.searchsorted(last, word), len(last)).astype(np.int32))
+        yield from deal(bucket_of(word, buckets), {
+            "word": word, "toxic": toxic.astype(np.uint32), "ordinary": ordinary.astype(np.uint32),
+            "pairs": pa.ListArray.from_arrays(ends, pa.array(pair)),
+            "pairs_toxic": pa.ListArray.from_arrays(ends, pa.array(pair_toxic.astype(np.uint32))),
+            "pairs_ordinary": pa.ListArray.from_arrays(ends, pa.array(pair_ordinary.astype(np.uint32)))}, COUNTS)
         hashes = column(texts, "spread").view(U) if sample_share < 1 else np.zeros(len(label), U)
         chosen = np.flatnonzero((mix(hashes) >> U(11)).astype(float) < sample_share * 2.0 ** 53)
         if len(chosen):
@@ -98,23 +140,26 @@ def _count(buckets: int, sample_share: float):
 
 
 def _add_counts(kinds):
-    """Counts over all documents: expressions of enough toxic documents, and the sums that discounts follow from."""
+    """Counts over all documents: the sums that discounts follow from, and the expressions whose last word is in toxic documents."""
     if COUNTS in kinds:
         t = kinds[COUNTS]
-        kind_of, e, last = column(t, "kind_of"), column(t, "expression"), column(t, "last")
-        order = np.lexsort((e, kind_of))
-        kind_of, e, last = kind_of[order], e[order], last[order]
-        starts = np.flatnonzero(np.append(True, (e[1:] != e[:-1]) | (kind_of[1:] != kind_of[:-1])))
-        toxic, ordinary = (np.add.reduceat(column(t, c)[order].astype(np.int64), starts) for c in ("toxic", "ordinary"))
-        kind_of, e, last = kind_of[starts], e[starts], last[starts]
-        for k in (1, 2):
-            of = kind_of == k
-            a, b = toxic[of], ordinary[of]
-            sums = [k, a.sum(), b.sum(), (a == 1).sum(), (a == 2).sum(), (b == 1).sum(), (b == 2).sum(), of.sum()]
+        word, _, toxic, ordinary = _added(*(column(t, c) for c in ("word", "toxic", "ordinary")))
+        lists = [t.column(c).combine_chunks() for c in ("pairs", "pairs_toxic", "pairs_ordinary")]
+        pair, first, pair_toxic, pair_ordinary = _added(*(x.flatten().to_numpy() for x in lists))
+        of = np.searchsorted(word, np.repeat(column(t, "word"), np.diff(lists[0].offsets.to_numpy()))[first])
+        for k, a, b in ((1, toxic, ordinary), (2, pair_toxic, pair_ordinary)):
+            sums = [k, a.sum(), b.sum(), (a == 1).sum(), (a == 2).sum(), (b == 1).sum(), (b == 2).sum(), len(a)]
             yield from deal(np.zeros(1, np.int32), {c: np.array([v], np.int64) for c, v in zip(SUM_NAMES, sums)}, SUMS)
-        keep = toxic >= LEAST_DOCUMENTS
-        yield from deal(np.zeros(int(keep.sum()), np.int32), {"expression": e[keep], "last": last[keep], "kind_of": kind_of[keep],
-                                                              "toxic": toxic[keep], "ordinary": ordinary[keep]}, MODEL)
+        last = (mix(word) >> U(48)).astype(np.uint16)
+        # by words, so that what belongs to the word is the same in neighbouring rows
+        by_word = np.argsort(of, kind="stable")
+        of, pair, pair_toxic, pair_ordinary = (x[by_word] for x in (of, pair, pair_toxic, pair_ordinary))
+        of = np.append(np.arange(len(word)), of)
+        keep = toxic[of] >= LEAST_DOCUMENTS
+        model = {"expression": np.append(word, pair), "last": last[of], "kind_of": np.repeat(np.array([1, 2], np.int8), [len(word), len(pair)]),
+                 "toxic": np.append(toxic, pair_toxic), "ordinary": np.append(ordinary, pair_ordinary),
+                 "word_toxic": toxic[of], "word_ordinary": ordinary[of]}
+        yield from deal(np.zeros(int(keep.sum()), np.int32), {c: v[keep] for c, v in model.items()}, MODEL)
     for kind, names in ((SUMS, SUM_NAMES), (SAMPLE, ["value", "label"])):
         if kind in kinds:
             t = kinds[kind]
@@ -136,12 +181,32 @@ class Smoothing:
             both = max(s["toxic"] + s["ordinary"], 1)
             self.kinds[k] = (classes, min(max(taken / both, 0.05), 0.9), both + 0.5 * max(s["rows"], 1))
 
-    def difference(self, kind_of: int, toxic: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
-        classes, rest, total = self.kinds[kind_of]
+    def _words(self, toxic: np.ndarray, ordinary: np.ndarray) -> list[np.ndarray]:
+        classes, rest, total = self.kinds[1]
         shared = rest * (toxic + ordinary + 0.5) / total
-        logs = [np.log((1 - rest) * np.maximum(c - d, 0) / n + shared) for c, (n, d) in zip((toxic, ordinary), classes)]
+        return [(1 - rest) * np.maximum(c - d, 0) / n + shared for c, (n, d) in zip((toxic, ordinary), classes)]
+
+    def words(self, toxic: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
+        of_toxic, of_ordinary = self._words(toxic, ordinary)
+        return np.log(of_toxic) - np.log(of_ordinary)
+
+    def pairs(self, toxic: np.ndarray, ordinary: np.ndarray, word_toxic: np.ndarray, word_ordinary: np.ndarray) -> np.ndarray:
+        """The same for pairs, given the counts of the words that end them."""
+        classes, rest, total = self.kinds[2]
+        lower = self._words(word_toxic, word_ordinary)
+        shared = rest * (toxic + ordinary + 0.5) / total / ((lower[0] + lower[1]) / 2)
+        logs = [np.log((1 - rest) * np.maximum(c - d, 0) / n + shared * w) for c, (n, d), w in zip((toxic, ordinary), classes, lower)]
         return logs[0] - logs[1]
 
+    def telling(self, table: pa.Table) -> np.ndarray:
+        """Which expressions can be above the margin or take their word from there: by all counts, or without one document's."""
+        counts = [column(table, c).astype(np.int64) for c in COUNT_NAMES]
+        out = column(table, "kind_of") == 1
+        for own in ((0, 0), (1, 0), (0, 1)):
+            a, b, c, d = (np.maximum(n - own[i % 2], 0) for i, n in enumerate(counts))
+            out |= (self.pairs(a, b, c, d) > MARGIN) | (self.words(c, d) > MARGIN)
+        return out
+
 
 class Block:
     """Expressions with their counts, looked up for all tokens of a batch."""
@@ -153,7 +218,8 @@ class Block:
             of = column(table, "kind_of") == k
             keys = column(table, "expression")[of]
             self.find[k] = Sorted(keys, np.arange(len(keys), dtype=np.int32), bits=22)
-            self.toxic[k], self.ordinary[k] = (column(table, c)[of].astype(float) for c in ("toxic", "ordinary"))
+            self.toxic[k], self.ordinary[k], *word = (column(table, c)[of].astype(np.int32) for c in COUNT_NAMES)
+        self.word = word  # counts of the words that end the pairs
 
     def excess(self, texts, label: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Tokens of each text, and the sum of what their differences exceed the margin by.
@@ -165,11 +231,11 @@ class Block:
         for k, keys in ((1, words), (2, pairs)):
             at = self.find[k].find(keys, -1)
             hit = np.flatnonzero(at >= 0)
-            toxic, ordinary = self.toxic[k][at[hit]], self.ordinary[k][at[hit]]
+            counts = [c[at[hit]] for c in (self.toxic[k], self.ordinary[k], *(self.word if k == 2 else ()))]
             if label is not None:
                 own = label[text[hit]]
-                toxic, ordinary = toxic - own, ordinary - (1 - own)
-            out[hit] = np.maximum(self.smoothing.difference(k, np.maximum(toxic, 0), np.maximum(ordinary, 0)) - MARGIN, 0)
+                counts = [np.maximum(c - (1 - own if i % 2 else own), 0) for i, c in enumerate(counts)]
+            out[hit] = np.maximum((self.smoothing.words if k == 1 else self.smoothing.pairs)(*counts) - MARGIN, 0)
         n = len(texts)
         return np.bincount(text, minlength=n), np.bincount(text, out, minlength=n).astype(float)
 
@@ -194,11 +260,12 @@ class ToxicityModel:
                 mine = column(t, "last").astype(np.int64) % blocks == number
                 yield pa.RecordBatch.from_pydict({
                     "expression": column(t, "expression")[mine].view(np.int64), "kind_of": column(t, "kind_of")[mine].astype(np.int32),
-                    "toxic": column(t, "toxic")[mine], "ordinary": column(t, "ordinary")[mine]})
+                    **{c: column(t, c)[mine] for c in COUNT_NAMES}})
 
-        held = self.rows.transform(map_batches, run, "expression long, kind_of int, toxic long, ordinary long").toArrow()
+        counts = ", ".join(f"{c} long" for c in COUNT_NAMES)
+        held = self.rows.transform(map_batches, run, f"expression long, kind_of int, {counts}").toArrow()
         keys = column(held.combine_chunks(), "expression").view(U) if held.num_rows else np.zeros(0, U)
-        return Block(pa.table({"expression": keys, **{c: held.column(c).to_numpy() for c in ("kind_of", "toxic", "ordinary")}}), self.smoothing)
+        return Block(pa.table({"expression": keys, **{c: held.column(c).to_numpy() for c in ("kind_of", *COUNT_NAMES)}}), self.smoothing)
 
     def scored(self, docs: DataFrame, text_column: str = "text") -> DataFrame:
         """``row`` (the document, all columns) and ``score``."""
@@ -258,7 +325,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_column: str
     texts = docs.filter(F.col(id_column).isNotNull() & ~held_out(id_column)).select(
         F.col(id_column).cast("string").alias("id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("value"))
     texts = texts.withColumn("spread", F.xxhash64("id", "value"))
-    dealt = _by_id(texts, TEXTS, buckets).unionByName(_by_id(marks, MARKS, buckets))
+    # only documents that can have a label are shuffled
+    dealt = _by_id(texts, TEXTS, buckets, spark.sparkContext.broadcast(_labelled(marks))).unionByName(_by_id(marks, MARKS, buckets))
     counted = by_bucket(dealt, _count(buckets, calibration_rows / max(n_marks, calibration_rows)), BLOB_SCHEMA)
     found = staged(by_bucket(counted, _add_counts, BLOB_SCHEMA), "expressions", ["kind"])
     sums = {}
@@ -270,15 +338,16 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_column: str
     documents = sums.get(0, dict.fromkeys(SUM_NAMES, 0))
     every = documents["toxic"] + documents["ordinary"]
     prior = documents["toxic"] / every if every else 0.5
-    model_rows = found.filter(F.col("kind") == MODEL).select("blob")
-    n_rows = sum(s["toxic"] // LEAST_DOCUMENTS for s in (sums.get(1), sums.get(2)) if s)
-    if n_rows > BLOCK_ROWS:
-        def sizes(batches):
-            for batch in batches:
-                yield pa.RecordBatch.from_pydict({"n": [unpack([b]).num_rows for b in batch.column("blob").to_pylist()]})
-
-        n_rows = model_rows.mapInArrow(sizes, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    model = ToxicityModel(model_rows, Smoothing(sums), n_rows, min(max(prior, 1e-3), 1 - 1e-3))
+    smoothing = Smoothing(sums)
+
+    def tell(batches):
+        for t in unpacked(batches):
+            kept = t.filter(pa.array(smoothing.telling(t))).combine_chunks()
+            yield pa.RecordBatch.from_pydict({"n": [kept.num_rows], "blob": [pack({c: kept.column(c).combine_chunks() for c in kept.column_names})]})
+
+    telling = staged(found.filter(F.col("kind") == MODEL).select("blob").transform(map_batches, tell, "n long, blob binary"), "telling")
+    n_rows = telling.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    model = ToxicityModel(telling.select("blob"), smoothing, n_rows, min(max(prior, 1e-3), 1 - 1e-3))
     _calibrate(model, found.filter(F.col("kind") == SAMPLE))
     return model
 

@@ -99,3 +99,50 @@ def test_given_labels(spark):
     docs, labels = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "labels"))
     rows = toxicity.report(docs, labels).join(labels, "doc_id").filter("held_out").collect()
     assert np.mean([r.predicted == r.toxic for r in rows]) > 0.93
+
+
+def test_scores_are_those_of_all_counts(tables):
+    """Every text's excess by plain counting of all words and pairs, those of a single document too."""
+    import math
+    from collections import Counter
+
+    import pyarrow as pa
+
+    d, l, docs, labels = tables
+    block = toxicity.fit(d, l).block(0)
+    counts = [(Counter(), Counter()), (Counter(), Counter())]  # of words and pairs: toxic, ordinary
+    for i, t, _ in docs:
+        if i in labels and zlib.crc32(str(i).encode()) % 5:
+            ws = t.lower().split()
+            for of, found in zip(counts, (ws, zip(ws, ws[1:]))):
+                of[1 - labels[i]].update(set(found))
+    smooth = []
+    for of in counts:
+        sizes = [max(sum(c.values()), 1) for c in of]
+        once, twice = ([sum(n == k for n in c.values()) for c in of] for k in (1, 2))
+        off = [a / (a + 2 * b) if a and b else 0.75 for a, b in zip(once, twice)]
+        both = max(sum(sizes), 1)
+        rest = min(max(sum(min(x, 1) * (a + 2 * b) for x, a, b in zip(off, once, twice)) / both, 0.05), 0.9)
+        smooth.append((sizes, off, rest, both + 0.5 * max(len(set(of[0]) | set(of[1])), 1)))
+
+    def likelihoods(k, key, lower):
+        sizes, off, rest, total = smooth[k]
+        n = [c[key] for c in counts[k]]
+        return [(1 - rest) * max(c - x, 0) / size + rest * (sum(n) + 0.5) / total * w for c, x, size, w in zip(n, off, sizes, lower)]
+
+    def excess(ws):
+        out = 0.0
+        for k, w in enumerate(ws):
+            of_word = likelihoods(0, w, (1, 1))
+            pair = (ws[k - 1], w) if k else None
+            if pair in counts[1][0] or pair in counts[1][1]:
+                mean = sum(of_word) / 2
+                of_word = likelihoods(1, pair, [x / mean for x in of_word])
+            out += max(math.log(of_word[0]) - math.log(of_word[1]) - toxicity.MARGIN, 0)
+        return out
+
+    texts = [t for _, t, _ in docs[:300]]
+    n, got = block.excess(pa.array(texts))
+    assert n.tolist() == [len(t.split()) for t in texts]
+    assert got == pytest.approx([excess(t.lower().split()) for t in texts])
+    assert sum(c == 1 for c in counts[0][0].values()) > 20
