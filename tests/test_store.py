@@ -82,3 +82,12 @@ def test_invalidate_expire_and_vacuum(spark, store):
     store.expire(F.lit(dt.datetime(2030, 1, 1)))
     assert values(store) == {}
     assert len(FeatureStore(spark, staging_path(spark, "store")).read().collect()) == 0
+
+
+def test_rows_of_a_staged_file_are_bounded(spark):
+    """A well compressed table is read by several tasks, and comes back whole."""
+    from lendframe.staging import staged
+
+    back = staged(spark.range(1000).coalesce(1), "bounded", rows_per_file=100)
+    assert len(back.inputFiles()) == 10 and back.rdd.getNumPartitions() > 1
+    assert sorted(r.id for r in back.collect()) == list(range(1000))
