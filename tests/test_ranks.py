@@ -130,6 +130,39 @@ def test_selection_in_many_rounds(spark, groups, narrow_rounds):
             assert np.isclose(one[key, p], np.quantile(clean, p), rtol=1e-12, atol=1e-12), (key, p)
 
 
+def test_brackets_of_named_expressions_in_many_rounds(spark, groups, monkeypatch):
+    """Brackets that hold too much are counted and bracketed again, also where they miss their rank."""
+    monkeypatch.setattr(ranks, "_SKETCH", 20)
+    monkeypatch.setattr(ranks, "_HELD", 4)
+    monkeypatch.setattr(ranks, "_TURNED", 2)
+    groups = {k: groups[k] for k in ("hot", "ties", "with_null", "one")} | {"far": np.logspace(-20, 20, 160)}
+    rows = frame(spark, groups).cache()
+    values = {k: F.when(F.col("key") == k, F.col("value")) for k in groups}
+    keep, missed = ranks._rank_brackets, []
+
+    def beside(source, few):
+        # the first brackets lie beside their ranks: below them, or above
+        wrong = [(h, q if missed else [q[0], q[0]] if i % 2 else [q[1], q[1]]) for i, (h, q) in enumerate(few)]
+        missed.append(len(few))
+        keep(source, wrong)
+
+    monkeypatch.setattr(ranks, "_rank_brackets", beside)
+    found = ranks.quantile_map(rows, values, RANKS)
+    assert len(missed) > 1
+    for key, held in groups.items():
+        clean = [v for v in held if v is not None]
+        for p in RANKS:
+            assert np.isclose(found[key, p], np.quantile(clean, p), rtol=1e-12, atol=1e-12), (key, p)
+
+
+def test_brackets_take_one_scan_for_all_columns(spark, monkeypatch):
+    """No aggregate per column: those cost a reading of the rows for every few columns."""
+    monkeypatch.setattr(ranks, "_aggregated", lambda *_: pytest.fail("an aggregate per column"))
+    df = spark.range(1, 1001).select(F.col("id").cast("double").alias("a"), (-F.col("id")).cast("double").alias("b"))
+    found = ranks.quantile_map(df, {"a": F.col("a"), "b": F.col("b")}, (0.5, 1.0))
+    assert found == {("a", 0.5): 500.5, ("a", 1.0): 1000.0, ("b", 0.5): -500.5, ("b", 1.0): -1.0}
+
+
 def test_groups_are_narrowed_by_pieces(spark, groups, narrow_rounds, monkeypatch):
     monkeypatch.setattr(ranks, "_PIECES", 8)
     found = quantiles(frame(spark, groups))
