@@ -8,7 +8,7 @@ from lendframe import schema as S
 from lendframe.operators.evaluation import auc
 from lendframe.operators.sampling import permute_labels
 from lendframe.plans.training import logistic_regression
-from lendframe.staging import staged
+from lendframe.staging import VECTORS_PER_FILE, discard, staged
 
 
 def overlap(train: DataFrame, test: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -33,21 +33,30 @@ def overlap(train: DataFrame, test: DataFrame, columns: list[str] | None = None)
 def shuffled_target(train: DataFrame, test: DataFrame, label: str = S.TARGET_CLASS,
                     features: str = "features", runs: int = 5, tolerance: float = 0.05,
                     seed: int = 42, iterations: int = 500) -> DataFrame:
-    """AUC on the true test labels of models fitted to permuted train labels."""
-    train = train.select("application_id", label, features).persist()
-    test = test.select("application_id", label, features).persist()
-    scored = None
+    """AUC on the true test labels of models fitted to permuted train labels.
+
+    Labels are dealt to the numbers of rows; the vectors meet the labels of all runs in one join.
+    """
+    rows = staged(train.select("application_id", label, features).withColumn("_row", F.monotonically_increasing_id()),
+                  "labelled", rows_per_file=VECTORS_PER_FILE)
+    dealt = None
+    for run in range(runs):
+        one = permute_labels(rows.select("_row", "application_id", label), label, seed + run).select(
+            "_row", F.col(label).alias(f"_label{run}"))
+        dealt = one if dealt is None else dealt.join(one, "_row")
+    dealt = staged(rows.select("_row", features).join(dealt, "_row").drop("_row"), "permuted", rows_per_file=VECTORS_PER_FILE)
+    discard(rows)
+    test, scored = test.select(label, features), None
     for run in range(runs):
-        dealt = staged(permute_labels(train, label, seed + run), "permuted")
-        model = logistic_regression(label, features, iterations=iterations).fit(dealt)
+        model = logistic_regression(label, features, iterations=iterations).fit(
+            dealt.select(features, F.col(f"_label{run}").alias(label)))
         one = model.transform(test).select(
             F.lit(run).alias("run"), F.col(label).alias("label"),
             vector_to_array("probability")[1].alias("score"))
         scored = one if scored is None else scored.unionByName(one)
+    discard(dealt)
     # one row per run: the inputs are read again by nothing after this
     per_run = [(r["run"], r["auc"]) for r in auc(scored, by=("run",)).select("run", "auc").collect()]
-    train.unpersist()
-    test.unpersist()
     found = train.sparkSession.createDataFrame(per_run, "run int, auc double")
     passed = F.abs(F.avg("auc") - 0.5) <= tolerance
     return found.agg(

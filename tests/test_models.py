@@ -111,6 +111,20 @@ def test_shuffled_labels_give_no_signal(spark):
     assert r["n_runs"] == 2 and r["passed"]
 
 
+def test_labels_are_dealt_without_the_vectors(spark, monkeypatch):
+    """Only ids and labels are ranked; the vectors are written and joined once, whatever the number of runs."""
+    ranked, written, permute, keep = [], [], leakage.permute_labels, leakage.staged
+    monkeypatch.setattr(leakage, "permute_labels", lambda df, *args: ranked.append(df.columns) or permute(df, *args))
+    monkeypatch.setattr(leakage, "staged", lambda df, *args, **options: written.append(df.count()) or keep(df, *args, **options))
+    train = points(spark, 60, 1, 3.0)
+    # ids that repeat or are null are rows of their own
+    train = train.withColumn("application_id", F.when(F.col("application_id") > 5, F.col("application_id") % 40))
+    r = leakage.shuffled_target(train, points(spark, 60, 2, 0.0), runs=3, iterations=5).first()
+    assert r["n_runs"] == 3 and len(r["all_runs"]) == 3
+    assert len(ranked) == 3 and all("features" not in columns for columns in ranked)
+    assert written == [60, 60]
+
+
 def test_models_learn_and_tune(spark):
     from pyspark.ml.classification import RandomForestClassifier
 
