@@ -125,6 +125,30 @@ def test_labels_are_dealt_without_the_vectors(spark, monkeypatch):
     assert written == [60, 60]
 
 
+def test_later_stages_read_what_the_first_ones_wrote(spark):
+    from pyspark.ml import Estimator, Model, Transformer
+    from pyspark.ml.feature import VectorAssembler
+
+    class Shuffle(Transformer):
+        def _transform(self, df):
+            return df.dropDuplicates()
+
+    class Probe(Estimator):
+        def _fit(self, df):
+            seen.append((df.count(), "Exchange" in df._jdf.queryExecution().executedPlan().toString()))
+            return Same()
+
+    class Same(Model):
+        def _transform(self, df):
+            return df
+
+    seen, rows = [], points(spark, 50, 1, 3.0).select("a", "b")
+    stages = [Shuffle(), VectorAssembler(inputCols=["a", "b"], outputCol="v"), Probe(), Probe()]
+    model = M.fit_stages(stages, rows.unionAll(rows))
+    assert seen == [(50, False), (50, False)]
+    assert len(model.stages) == 4 and model.transform(rows).count() == 50
+
+
 def test_models_learn_and_tune(spark):
     from pyspark.ml.classification import RandomForestClassifier
 
