@@ -66,6 +66,42 @@ def test_replay_goes_on_from_earlier_misses(spark, visits):
     assert got(cache.mark_hits(rows, after)) == {e: want[e] for e, _, _ in late}
 
 
+@pytest.mark.parametrize("ttl, span", [(600, 20_000), (600, 4_000), (61, 30_000), (5_000, 12_000)])
+def test_replay_across_blocks(spark, ttl, span):
+    """Few and many events a lifetime, equal times, whole seconds so that lifetimes end at events, and earlier misses."""
+    rng = random.Random(ttl + span)
+    rows = [(i, 1 + i % 4, float(rng.randrange(-span // 3, span))) for i in range(400)] + [(1000 + i, 9, i * ttl * 3.0) for i in range(40)]
+    assert got(cache.replay(events(spark, rows), ttl=ttl)) == by_hand(rows, ttl)
+    early, late = [r for r in rows if r[2] < span / 2], [r for r in rows if r[2] >= span / 2]
+    prior = cache.replay_misses(events(spark, early), ttl=ttl).select("user_id", "_at")
+    want = by_hand(rows, ttl)
+    assert got(cache.replay(events(spark, late), ttl=ttl, prior=prior)) == {e: want[e] for e, _, _ in late}
+
+
+def test_replay_of_repeated_rows(spark):
+    """An event that stands twice misses or hits twice, and is not multiplied."""
+    rows = [(i, 1, i * 7.0 * HOUR) for i in range(12)]
+    twice = cache.replay(events(spark, rows + rows)).collect()
+    want = by_hand(rows)
+    assert sorted((r["event_id"], r["cache_hit"]) for r in twice) == sorted((e, want[e]) for e, _, _ in rows + rows)
+
+
+def test_replay_shuffles_few_rows_again(spark, monkeypatch):
+    """Only the places where a chain may enter a block are joined, round after round."""
+    written = []
+
+    def counted(df, *more, **named):
+        out = whole(df, *more, **named)
+        written.append(out.count())
+        return out
+
+    whole = cache.staged
+    monkeypatch.setattr(cache, "staged", counted)
+    rows = [(i, i % 10, i // 10 * 900.0) for i in range(10 * 4 * 100)]  # every quarter of an hour, for a hundred hours
+    assert got(cache.replay(events(spark, rows), ttl=HOUR)) == by_hand(rows, HOUR)
+    assert sum(written) < 1.2 * len(rows) and max(written) < len(rows) / 4
+
+
 def test_replay_of_nothing(spark):
     assert cache.replay(events(spark, [])).count() == 0
 
