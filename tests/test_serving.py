@@ -86,6 +86,12 @@ def test_replay_of_repeated_rows(spark):
     assert sorted((r["event_id"], r["cache_hit"]) for r in twice) == sorted((e, want[e]) for e, _, _ in rows + rows)
 
 
+def test_replay_of_events_without_a_time(spark):
+    """A key with such an event has no first miss, other keys are not touched."""
+    rows = [(1, 1, 0.0), (2, 1, None), (3, 2, 0.0), (4, 2, 1.0)]
+    assert got(cache.replay(events(spark, rows))) == {1: True, 2: True, 3: False, 4: True}
+
+
 def test_replay_shuffles_few_rows_again(spark, monkeypatch):
     """Only the places where a chain may enter a block are joined, round after round."""
     written = []
