@@ -42,7 +42,7 @@ def _power(n: int) -> np.uint64:
 class Sorted:
     """Sorted keys with values; a bit table answers most absent keys without a search."""
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray, bits: int = 24):
+    def __init__(self, keys: np.ndarray, values: np.ndarray, bits: int = 21):
         order = np.argsort(keys)
         self.keys, self.values = keys[order], values[order]
         self.shift = U(64 - bits)
@@ -103,6 +103,8 @@ class Vocabulary:
             b = np.array([k[1] for k in self.pairs], U) if self.pairs else np.zeros(0, U)
             self.merge = Sorted((a << U(32)) | b, np.array(list(self.pairs.values()), np.int64))
             self._spines()
+            # the arrays hold all of it; every worker has its own
+            self.pairs = self.trees = self.rank = None
             self._known = (np.zeros(0, U), np.zeros(0, bool))
 
     def _spines(self) -> None:

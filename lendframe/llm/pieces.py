@@ -25,7 +25,7 @@ from lendframe.llm.packed import map_batches
 
 MARK = "▁"
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-REMEMBERED, TEXT_BYTES = 500_000, 4 << 20
+REMEMBERED, TEXT_BYTES = 500_000, 2 << 20
 
 
 def _taken(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:

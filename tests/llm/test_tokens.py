@@ -107,3 +107,12 @@ def test_unigram_scores_pick_the_best_path():
             if all(p in score for p in parts):
                 best = max(best, sum(score[p] for p in parts))
         assert got == pytest.approx(best)
+
+
+def test_a_worker_holds_a_vocabulary_as_arrays_only():
+    import public_tokenizers
+    from lendframe.llm.lattice import piece_vocabulary
+
+    vocabulary = piece_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))[0]
+    assert vocabulary.pairs is vocabulary.trees is vocabulary.rank is None
+    assert vocabulary.table.seen.nbytes + vocabulary.merge.seen.nbytes <= 4 << 20
