@@ -68,9 +68,14 @@ def stream_metric(stream: DataFrame, metric: Callable[[DataFrame], DataFrame], k
     return latest(stream.sparkSession, out, keys, updates.schema)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt over all cores: a micro-batch takes few files, and a file of one row group is read by one task."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def stream_score(stream: DataFrame, score: Callable[[DataFrame], DataFrame], name: str = "score") -> DataFrame:
     """Score rows as they arrive, by a narrow function of the row."""
-    scored = score(stream)
+    scored = score(spread(stream))
     out, _ = run_available(scored, name, mode="append")
     return stream.sparkSession.read.schema(scored.schema).parquet(f"{out}/batch=*")
 
@@ -86,8 +91,8 @@ def stream_requests(stream: DataFrame, features: Callable[[DataFrame], DataFrame
     out, checkpoint = staging_path(spark, f"{name}-out"), staging_path(spark, f"{name}-checkpoint")
 
     def write(df: DataFrame, batch: int) -> None:
-        judged = df.persist()
-        valid, refused = judge_requests(judged)
+        judged = judged_requests(spread(df)).persist()
+        valid, refused = sides(judged)
         score(features(valid)).write.mode("overwrite").parquet(f"{out}/scored/batch={batch}")
         refused.write.mode("overwrite").parquet(f"{out}/refused/batch={batch}")
         judged.unpersist()
@@ -98,14 +103,22 @@ def stream_requests(stream: DataFrame, features: Callable[[DataFrame], DataFrame
     return spark.read.parquet(f"{out}/scored/batch=*"), spark.read.parquet(f"{out}/refused/batch=*")
 
 
-def judge_requests(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(raw rows of valid requests, the others with ``problems``)."""
+def judged_requests(df: DataFrame) -> DataFrame:
+    """Raw rows as one column, with ``problems`` and ``valid``."""
     raw = normalize_columns(df)
     read = coerce_numbers(clean_currency(raw.withColumn("_raw", F.struct(*raw.columns))))
-    judged = validate_requests(read)
+    return validate_requests(read).select("_raw", "problems", "valid")
+
+
+def sides(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(raw rows of valid requests, the others with ``problems``)."""
     return judged.filter("valid").select("_raw.*"), judged.filter(~F.col("valid")).select("_raw.*", "problems")
 
 
+def judge_requests(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return sides(judged_requests(df))
+
+
 def stream_replay(stream: DataFrame, ttl: int = S.CACHE_TTL_SECONDS,
                   checkpoint: str | None = None, out: str | None = None,
                   lateness_seconds: int = LATENESS_SECONDS) -> DataFrame:

@@ -205,3 +205,16 @@ def test_request_stream_answers_every_request(spark, sample, tmp_path):
     want = scoring.score_with_rules(model.transform(valid))
     assert sorted(scored.drop("batch").collect()) == sorted(want.collect()) and scored.count() == 12
     assert [r["problems"] for r in refused.collect()] == [["requested_amount"]] and bad.count() == 1
+
+
+def test_one_file_is_scored_by_all_cores(spark, sample, tmp_path):
+    """A file of one row group is one task of the scan; the work on its rows is dealt over more."""
+    from lendframe.operators import scoring
+
+    sample.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(sample.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    scored = jobs.stream_score(stream, scoring.score_with_rules)
+    assert len(scored.inputFiles()) > 1
+    assert sorted(scored.collect()) == sorted(scoring.score_with_rules(sample).collect())
+    scored, _ = jobs.stream_requests(stream, lambda rows: rows, scoring.score_with_rules)
+    assert len(scored.inputFiles()) > 1 and scored.count() == 10
