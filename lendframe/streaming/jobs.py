@@ -11,7 +11,7 @@ from lendframe import schema as S
 from lendframe.operators.cache import mark_hits, replay_misses
 from lendframe.operators.cleaning import clean_currency, coerce_numbers, normalize_columns
 from lendframe.operators.scoring import validate_requests
-from lendframe.staging import staged, staging_path
+from lendframe.staging import small_methods, staged, staging_path
 
 LATENESS_SECONDS = 600
 LATENESS = f"{LATENESS_SECONDS} seconds"
@@ -36,7 +36,8 @@ def run_available(stream: DataFrame, name: str, mode: str = "update",
     checkpoint = checkpoint or staging_path(spark, f"{name}-checkpoint")
 
     def write(df: DataFrame, batch: int) -> None:
-        df.write.mode("overwrite").parquet(f"{out}/batch={batch}")
+        with small_methods(df.sparkSession):
+            df.write.mode("overwrite").parquet(f"{out}/batch={batch}")
 
     query = (stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).foreachBatch(write).start())
@@ -93,7 +94,8 @@ def stream_requests(stream: DataFrame, features: Callable[[DataFrame], DataFrame
     def write(df: DataFrame, batch: int) -> None:
         judged = judged_requests(spread(df)).persist()
         valid, refused = sides(judged)
-        score(features(valid)).write.mode("overwrite").parquet(f"{out}/scored/batch={batch}")
+        with small_methods(df.sparkSession):
+            score(features(valid)).write.mode("overwrite").parquet(f"{out}/scored/batch={batch}")
         refused.write.mode("overwrite").parquet(f"{out}/refused/batch={batch}")
         judged.unpersist()
 
