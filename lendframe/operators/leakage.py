@@ -8,7 +8,7 @@ from lendframe import schema as S
 from lendframe.operators.evaluation import auc
 from lendframe.operators.sampling import permute_labels
 from lendframe.plans.training import logistic_regression
-from lendframe.staging import VECTORS_PER_FILE, discard, staged
+from lendframe.staging import VECTORS_PER_FILE, discard, release, staged
 
 
 def overlap(train: DataFrame, test: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -46,6 +46,9 @@ def shuffled_target(train: DataFrame, test: DataFrame, label: str = S.TARGET_CLA
         dealt = one if dealt is None else dealt.join(one, "_row")
     dealt = staged(rows.select("_row", features).join(dealt, "_row").drop("_row"), "permuted", rows_per_file=VECTORS_PER_FILE)
     discard(rows)
+    del rows, one
+    # what dealt the labels is larger than the vectors
+    release(train.sparkSession)
     test, scored = test.select(label, features), None
     for run in range(runs):
         model = logistic_regression(label, features, iterations=iterations).fit(
