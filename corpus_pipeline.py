@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lendframe.llm import decontaminate, jaccard_join, pieces, suffix_dedup, toxicity
 from lendframe.llm.queries import table, tokenizer
-from lendframe.staging import staging_path
+from lendframe.staging import release, staging_path, temporary
 
 #: No SQL expresses the language models and the tokenizer; tests compare the stages with brute force.
 ORACLE_SQL = None
@@ -60,6 +60,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = staging_path(spark, "pipeline")
     for number, (name, stage) in enumerate(STAGES):
         path = f"{root}/{number}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with temporary():
+            stage(spark, docs, sf_dir).write.parquet(path)
+        release(spark)
         docs = spark.read.parquet(path)
     return docs

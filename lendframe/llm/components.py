@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendframe.staging import staged
+from lendframe.staging import discard, staged
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -39,9 +39,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     now = staged(ordered, "links")
     mark = _mark(now)
     while mark[0]:
-        now = staged(_star(_star(now, True), False), "links")
+        last, now = now, staged(_star(_star(now, True), False), "links")
+        discard(last)
         before, mark = mark, _mark(now)
         if before == mark:
             break
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+    found = now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+    found.staged_path = now.staged_path
+    return found

@@ -35,7 +35,7 @@ from lendframe.llm.components import components
 from lendframe.llm.ids import keyed
 from lendframe.llm.packed import BLOB_SCHEMA, bucket_count, bucket_of, by_bucket, column, deal, gathered, mix, map_batches, unpack, unpacked
 from lendframe.llm.token_counts import parts
-from lendframe.staging import staged
+from lendframe.staging import discard, release, staged
 
 #: The sketch has 2 ** SKETCH_BITS counters; prefixes grow by at most LONGEST - 1 shingles.
 SKETCH_BITS, LONGEST, PART_BYTES = 20, 8, 4 << 20
@@ -378,7 +378,11 @@ class _Work:
         self.texts = self._of(self.found, TEXTS)
 
     def _kept(self, blobs: DataFrame, name: str) -> DataFrame:
-        return staged(blobs, name, ["kind"]).select("bucket", F.col("kind").cast("int").alias("kind"), "blob")
+        back = staged(blobs, name, ["kind"])
+        kept = back.select("bucket", F.col("kind").cast("int").alias("kind"), "blob")
+        kept.staged_path = back.staged_path
+        release(blobs.sparkSession)
+        return kept
 
     @staticmethod
     def _of(blobs: DataFrame, kind: int) -> DataFrame:
@@ -389,20 +393,28 @@ class _Work:
         wanted = self._kept(by_bucket(every, _candidates(self.buckets), BLOB_SCHEMA), "candidates")
         sent = by_bucket(self.texts.unionByName(self._of(wanted, WANTED)), _send, BLOB_SCHEMA)
         checked = by_bucket(sent.unionByName(self._of(wanted, PAIRS)), _verify(self.size, self.percent, self.buckets), BLOB_SCHEMA)
-        return self._kept(checked, "links")
+        links = self._kept(checked, "links")
+        discard(wanted)
+        return links
 
     def joined(self) -> DataFrame:
         """``node`` and ``component`` of the texts that link with another text."""
         entries = _prefix_entries(self.texts, _estimates(self.found), self.size, self.percent, self.buckets)
         lists = self._kept(by_bucket(entries, _pair_with_first(self.percent, self.buckets), BLOB_SCHEMA), "lists")
         first = self._links(self._of(lists, PAIRS), None)
-        nodes = staged(components(_rows(self._of(first, LINKS), ["x", "y"]), "x", "y"), "components")
+        found = components(_rows(self._of(first, LINKS), ["x", "y"]), "x", "y")
+        nodes = staged(found, "components")
+        discard(found)
         labels = _blobs(nodes, "node", LABELS, self.buckets)
         labelled = by_bucket(self._of(lists, LISTS).unionByName(labels), _label(self.buckets), BLOB_SCHEMA)
         rest = by_bucket(labelled, _pair_components(self.percent, self.buckets), BLOB_SCHEMA)
         second = self._links(rest, self._of(first, TRIED))
+        discard(lists)
         links = nodes.select(F.col("node").alias("x"), F.col("component").alias("y")).unionByName(_rows(self._of(second, LINKS), ["x", "y"]))
-        return components(links, "x", "y")
+        found = components(links, "x", "y")
+        for written in (first, second, nodes):
+            discard(written)
+        return found
 
 
 def report(docs: DataFrame, size: int = 5, percent: int = 75, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -33,7 +33,7 @@ from lendframe.llm.bytes_np import U, flat, sliding_min
 from lendframe.llm.ids import keyed
 from lendframe.llm.packed import BLOB_SCHEMA, bucket_count, bucket_of, by_bucket, column, deal, gathered, map_batches, mix
 from lendframe.llm.token_counts import parts
-from lendframe.staging import staged
+from lendframe.staging import release, staged
 
 ANCHOR, PART_BYTES, SORT_BYTES, DEAL_BYTES = 40, 1 << 20, 1 << 20, 8 << 20
 TEXTS, SPANS, WANTED, RUNS = range(4)
@@ -305,6 +305,8 @@ def _deduplicated(docs: DataFrame, length: int, id_column: str, text_column: str
     rows = keyed(docs, id_column, text_column)
     found = staged(by_bucket(_run_blobs(rows, length, buckets), _compare_runs(length, buckets), BLOB_SCHEMA), "runs", ["kind"])
     found = found.select("bucket", F.col("kind").cast("int").alias("kind"), "blob")
+    # every string's record was shuffled for them
+    release(docs.sparkSession)
     texts = _text_blobs(rows, buckets)
     contexts = by_bucket(texts.unionByName(found.filter(F.col("kind") == WANTED)), _fetch(length, buckets), BLOB_SCHEMA)
     spans = by_bucket(contexts, _sort_contexts(length, buckets), BLOB_SCHEMA)
